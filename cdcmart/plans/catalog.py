@@ -213,3 +213,242 @@ x AS (SELECT shop_id, date, product_name, demand,
   {_RECIPE_SQL[_recipe]} FROM demand)
 SELECT shop_id, date, product_name, demand, {", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in MATERIALS)} FROM x""")(
         _recipe_query(_recipe))
+
+
+# --------------------------------------------------------------------------- material marts
+
+_MATS = list(MATERIALS)
+
+
+def _grams_union_sql(recipe: str, value_sql: str = "CAST(SUM(quantity) AS DOUBLE)") -> str:
+    """Reference-shaped grams mart: recipe CTE, three-way UNION ALL, GROUP BY."""
+    union = "\n  UNION ALL\n  ".join(
+        f"SELECT shop_id, date, '{m}' AS material_name, {m} AS quantity FROM raw_material" for m in _MATS)
+    return f""",
+raw_material AS (SELECT shop_id, date,
+  {_RECIPE_SQL[recipe]} FROM demand)
+SELECT date, shop_id, material_name, {value_sql} AS quantity_g FROM (
+  {union}) AS unpivoted
+GROUP BY date, shop_id, material_name"""
+
+
+def _grams(spark: SparkSession, sf_dir: str, recipe: str = "sql", as_text: bool = False) -> DataFrame:
+    from ..operators.materials import material_demand
+    out = material_demand(fx.demand(spark, sf_dir), unit="g", recipe=recipe, as_text=as_text)
+    return out if as_text else out.withColumn("quantity_g", F.col("quantity_g").cast("double"))
+
+
+@register("material_grams", with_fixtures("demand") + _grams_union_sql("sql"))
+def material_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grams mart: SQL recipe, sum by date/shop/material, NULL shop kept."""
+    return _grams(spark, sf_dir, "sql")
+
+
+@register("mart_text_columns", with_fixtures("demand")
+          + _grams_union_sql("sql", "CAST(CAST(SUM(quantity) AS DECIMAL(38,4)) AS VARCHAR)"))
+def mart_text_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grams mart with the quantity stored as text."""
+    return _grams(spark, sf_dir, "sql", as_text=True)
+
+
+_KG_UNION = "\nUNION ALL\n".join(
+    f"SELECT CAST(date AS DATE) AS date, shop_id, '{m}' AS raw_material, "
+    f"CAST({m} AS DOUBLE) / 1000 AS demand_kg FROM g" for m in _MATS)
+
+
+@register("material_kg", with_fixtures("demand") + f""",
+w AS (SELECT date, shop_id,
+  {_RECIPE_SQL["frame"]} FROM demand WHERE date IS NOT NULL AND shop_id IS NOT NULL),
+g AS (SELECT date, shop_id, {", ".join(f"coalesce(sum({m}), 0) AS {m}" for m in _MATS)}
+      FROM w GROUP BY date, shop_id)
+{_KG_UNION}""")
+def material_kg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kilogram mart: frame recipe, NULL keys dropped, sums then melt, g -> kg, DATE."""
+    from ..operators.materials import material_demand
+    out = material_demand(fx.demand(spark, sf_dir), unit="kg")
+    return out.withColumn("demand_kg", F.col("demand_kg").cast("double"))
+
+
+@register("upsert_material", with_fixtures("demand") + """,
+raw_sql AS (SELECT shop_id, date,
+  """ + _RECIPE_SQL["sql"] + """ FROM demand),
+raw_frame AS (SELECT shop_id, date,
+  """ + _RECIPE_SQL["frame"] + """ FROM demand),
+tgt AS (""" + " UNION ALL ".join(
+    f"SELECT date, shop_id, '{m}' AS material_name, SUM({m}) AS quantity_g FROM raw_sql GROUP BY date, shop_id"
+    for m in _MATS) + """),
+src AS (""" + " UNION ALL ".join(
+    f"SELECT date, shop_id, '{m}' AS material_name, SUM({m}) AS quantity_g FROM raw_frame GROUP BY date, shop_id"
+    for m in _MATS) + """)
+SELECT date, shop_id, material_name, CAST(quantity_g AS DOUBLE) AS quantity_g FROM tgt t
+  WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.date = t.date AND s.shop_id = t.shop_id
+                    AND s.material_name = t.material_name)
+UNION ALL
+SELECT date, shop_id, material_name, CAST(quantity_g AS DOUBLE) AS quantity_g FROM src""")
+def upsert_material(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upsert the frame-recipe grams mart into the SQL-recipe one on
+    (date, shop_id, material_name); NULL shops never conflict (J2, M8)."""
+    from ..operators.materials import material_demand
+    from ..operators.merge import upsert
+    demand = fx.demand(spark, sf_dir)
+    target = material_demand(demand, unit="g", recipe="sql")
+    source = material_demand(demand, unit="g", recipe="frame")
+    out = upsert(target, source, keys=("date", "shop_id", "material_name"))
+    return out.withColumn("quantity_g", F.col("quantity_g").cast("double"))
+
+
+# --------------------------------------------------------------------------- checks and constraints
+
+@register("column_check_report", _MERGE_O.replace("WITH ", "WITH ", 1).replace(
+    "\nSELECT t.", ",\nm AS (SELECT t.", 1) + """)
+SELECT 'id' AS "column", 'null_check' AS "check", CAST(count(*) FILTER (WHERE id IS NULL) AS DOUBLE) AS actual,
+       'equal_to' AS comparator, 0.0::DOUBLE AS expected, 0.0::DOUBLE AS tolerance,
+       count(*) FILTER (WHERE id IS NULL) = 0 AS passed FROM m
+UNION ALL
+SELECT 'quantity', 'null_check', CAST(count(*) FILTER (WHERE quantity IS NULL) AS DOUBLE), 'equal_to', 0.0,
+       CAST(NULL AS DOUBLE), count(*) FILTER (WHERE quantity IS NULL) = 0 FROM m
+UNION ALL
+SELECT 'quantity', 'min', CAST(coalesce(min(quantity), 0) AS DOUBLE), 'geq_to', -1012.0,
+       CAST(NULL AS DOUBLE), coalesce(min(quantity), 0) >= -1012 FROM m""")
+def column_check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The configured checks on the merged table, one aggregation pass (A4, A5, Q1-Q6)."""
+    from ..operators.checks import column_checks
+    from ..schemas import RETAIL_CHECKS
+    return column_checks(merge_full(spark, sf_dir), RETAIL_CHECKS)
+
+
+MIXED_CHECKS = {
+    "id": {"unique_check": {"equal_to": 0}, "distinct_check": {"geq_to": 1000, "tolerance": 0.1}},
+    "price": {"max": {"leq_to": 50, "tolerance": 0.5}, "min": {"greater_than": 0}},
+    "customer_id": {"null_check": {"less_than": 1}},
+}
+
+
+@register("column_check_mix", with_fixtures("stage_o") + """
+SELECT 'id' AS "column", 'unique_check' AS "check", CAST(count(id) - count(DISTINCT id) AS DOUBLE) AS actual,
+       'equal_to' AS comparator, 0.0::DOUBLE AS expected, CAST(NULL AS DOUBLE) AS tolerance,
+       count(id) - count(DISTINCT id) = 0 AS passed FROM stage_o
+UNION ALL
+SELECT 'id', 'distinct_check', CAST(count(DISTINCT id) AS DOUBLE), 'geq_to', 1000.0, 0.1,
+       count(DISTINCT id) >= 900 FROM stage_o
+UNION ALL
+SELECT 'price', 'max', CAST(max(price) AS DOUBLE), 'leq_to', 50.0, 0.5, max(price) <= 75 FROM stage_o
+UNION ALL
+SELECT 'price', 'min', CAST(min(price) AS DOUBLE), 'greater_than', 0.0, CAST(NULL AS DOUBLE), min(price) > 0 FROM stage_o
+UNION ALL
+SELECT 'customer_id', 'null_check', CAST(count(*) FILTER (WHERE customer_id IS NULL) AS DOUBLE), 'less_than', 1.0,
+       CAST(NULL AS DOUBLE), count(*) FILTER (WHERE customer_id IS NULL) < 1 FROM stage_o""")
+def column_check_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every check kind and comparator, tolerance widening the bound (Q1, Q3, Q4)."""
+    from ..operators.checks import column_checks
+    return column_checks(fx.stage_o(spark, sf_dir), MIXED_CHECKS)
+
+
+@register("key_violations", with_fixtures("stage_o") + """
+SELECT id, CAST(count(*) AS BIGINT) AS n, 'duplicate' AS reason FROM stage_o WHERE id IS NOT NULL
+  GROUP BY id HAVING count(*) > 1
+UNION ALL
+SELECT id, CAST(count(*) AS BIGINT) AS n, 'null_key' AS reason FROM stage_o WHERE id IS NULL GROUP BY id""")
+def key_violations_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids repeated in the change feed, NULL ids."""
+    from ..operators.keys import key_violations
+    return key_violations(fx.stage_o(spark, sf_dir), ["id"])
+
+
+def _length_sql() -> str:
+    from ..schemas import RETAIL_LENGTHS
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", CAST(max(length({c})) AS BIGINT) AS max_length, "
+        f"CAST({n} AS BIGINT) AS limit_length, CAST(count(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) "
+        f"AS violations FROM stage_o" for c, n in RETAIL_LENGTHS.items())
+
+
+@register("length_violations", with_fixtures("stage_o") + "\n" + _length_sql())
+def length_violations_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VARCHAR(100) / char(1) limits of the change feed, one pass."""
+    from ..operators.keys import length_violations
+    from ..schemas import RETAIL_LENGTHS
+    return length_violations(fx.stage_o(spark, sf_dir), RETAIL_LENGTHS)
+
+
+@register("month_path", with_fixtures("demand") + """
+SELECT strftime(date, '%Y/%m') AS month_path, CAST(count(*) AS BIGINT) AS n FROM demand GROUP BY 1""")
+def month_path_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lake month folder (yyyy/MM) of every demand row, counted."""
+    from ..functions.interval import month_path
+    return (fx.demand(spark, sf_dir).groupBy(month_path("date").alias("month_path"))
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+
+
+@register("default_dates")
+def default_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that omits both dates gets today at midnight (K11, E8); rows-only
+    check because the value depends on the day it runs."""
+    from ..schemas import RETAIL_SCHEMA
+    from ..sources.tables import apply_defaults, retail_defaults
+    loaded = fx.origin_o(spark, sf_dir).drop("invoicedate", "last_updated")
+    return apply_defaults(loaded, RETAIL_SCHEMA, retail_defaults())
+
+
+# --------------------------------------------------------------------------- files
+
+@register("csv_round_trip", with_fixtures("demand") + "\nSELECT shop_id, date, product_name, demand FROM demand")
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Demand written to the lake as day-partitioned CSV in year/month folders
+    and read back by schema (S1, S6, S8, K1, K6)."""
+    from ..schemas import DEMAND_SCHEMA
+    from ..session import scratch_path
+    from ..sources.lake import read_partitioned, write_partitioned
+    root = scratch_path(spark, "lake")
+    write_partitioned(fx.demand(spark, sf_dir), root, "product_demand", "date", fmt="csv")
+    return read_partitioned(spark, root, "product_demand", DEMAND_SCHEMA, fmt="csv")
+
+
+@register("interval_overwrite", with_fixtures("demand") + "\nSELECT shop_id, date, product_name, demand FROM demand")
+def interval_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full extract, then the first day re-extracted twice: each rerun replaces
+    that day's folder and leaves the others, so the lake still holds every row
+    exactly once (S10, K1, K5, B3)."""
+    from ..schemas import DEMAND_SCHEMA
+    from ..session import scratch_path
+    from ..sources.lake import read_partitioned, write_partitioned
+    from .jobs import data_span, run_extract
+    demand = fx.demand(spark, sf_dir)
+    root = scratch_path(spark, "lake")
+    write_partitioned(demand, root, "product_demand", "date", fmt="csv")
+    first = Interval.day(data_span((demand, "date")).start)
+    run_extract(demand, root, first)
+    run_extract(demand, root, first)
+    return read_partitioned(spark, root, "product_demand", DEMAND_SCHEMA, fmt="csv")
+
+
+# --------------------------------------------------------------------------- replay
+
+# Fixed span of the oracle: every day of January 2024 (the events' month).
+REPLAY_ORACLE_START, REPLAY_ORACLE_DAYS = "2024-01-01", 31
+
+
+def _replay_sql() -> str:
+    import datetime as dt
+    start = dt.date.fromisoformat(REPLAY_ORACLE_START)
+    parts = [with_fixtures("origin_e", "stage_e"), f"s0 AS (SELECT {_COLS} FROM origin_e WHERE false)"]
+    for i in range(1, REPLAY_ORACLE_DAYS + 1):
+        lo, hi = start + dt.timedelta(days=i - 1), start + dt.timedelta(days=i)
+        cond = f"WHERE invoicedate >= TIMESTAMP '{lo}' AND invoicedate < TIMESTAMP '{hi}'"
+        parts.append(f"a{i} AS (SELECT {_COLS} FROM s{i - 1} UNION ALL SELECT {_COLS} FROM origin_e {cond})")
+        parts.append(_latest_sql("stage_e", f"l{i}", where=cond))
+        parts.append(f"s{i} AS ({_merge_sql(f'a{i}', f'l{i}', list(RETAIL_COLUMNS))})")
+    return ",\n".join(parts) + f"\nSELECT * FROM s{REPLAY_ORACLE_DAYS}"
+
+
+@register("replay_state", _replay_sql())
+def replay_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day of the feed in order: append the day's origin rows, merge the
+    day's latest changes, check, publish a snapshot; the last snapshot (B1, B2, B6)."""
+    from ..session import scratch_path
+    from ..sources.snapshots import SnapshotStore
+    from .jobs import data_span, replay
+    origin, changes = fx.origin_e(spark, sf_dir), fx.stage_e(spark, sf_dir)
+    span = data_span((origin, "invoicedate"), (changes, "invoicedate"))
+    store = SnapshotStore(spark, scratch_path(spark, "replay"))
+    return replay(store, origin, changes, span.start, span.end)

@@ -50,14 +50,27 @@ def _width(field: T.StructField):
     return F.coalesce(F.octet_length(c.cast("string")), F.lit(0))
 
 
-def measure(df: DataFrame) -> tuple[int, int]:
-    """(rows, bytes) of ``df`` in one pass."""
+def _size_agg(df: DataFrame, tag: int) -> DataFrame:
     row_bytes = F.lit(ROW_OVERHEAD_BYTES)
     for field in df.schema.fields:
         row_bytes = row_bytes + _width(field)
-    r = df.agg(F.count(F.lit(1)).alias("rows"),
-               F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")).first()
-    return int(r["rows"]), int(r["bytes"])
+    return df.agg(F.lit(tag).alias("tag"), F.count(F.lit(1)).cast("bigint").alias("rows"),
+                  F.coalesce(F.sum(row_bytes), F.lit(0)).cast("bigint").alias("bytes"))
+
+
+def measure(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df`` in one pass."""
+    return measure_many([df])[0]
+
+
+def measure_many(frames: list[DataFrame]) -> list[tuple[int, int]]:
+    """(rows, bytes) of several frames with a single job (one row each)."""
+    out = None
+    for i, df in enumerate(frames):
+        one = _size_agg(df, i)
+        out = one if out is None else out.unionByName(one)
+    got = {r["tag"]: (int(r["rows"]), int(r["bytes"])) for r in out.collect()}
+    return [got[i] for i in range(len(frames))]
 
 
 def fits_broadcast(df: DataFrame, limit_bytes: int | None = None) -> bool:

@@ -19,38 +19,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.interval import DateLike, Interval, in_interval
-from ..operators.checks import column_checks
+from ..operators.checks import ObservedChecks, column_checks
 from ..operators.keys import ConstraintViolation
 from ..operators.latest import latest_per_key
 from ..operators.materials import material_demand
 from ..operators.merge import append_interval, apply_changes, upsert
-from ..operators.sizing import fits_broadcast
+from ..operators.sizing import broadcast_limit, fits_broadcast, measure_many
 from ..schemas import DEMAND_SCHEMA, RETAIL_CHECKS, RETAIL_SCHEMA
 from ..sources.lake import read_interval, write_interval
 from ..sources.snapshots import SnapshotStore
 
 
 def new_key_collisions(state: DataFrame, new_rows: DataFrame, keys: Sequence[str],
-                       broadcast_limit_bytes: int | None = None) -> DataFrame:
+                       broadcast: bool | None = None) -> DataFrame:
     """Keys of ``new_rows`` that already exist in ``state`` or repeat inside
     ``new_rows`` (the insert would violate the key). Only the new day's keys
-    are checked; the state is read for its key columns."""
+    are checked; the state is read for its key columns. The new keys are
+    broadcast only when their measured size fits (``broadcast=None`` measures)."""
     keys = list(keys)
     new_keys = new_rows.select(*keys)
-    probe = F.broadcast(new_keys) if fits_broadcast(new_keys, broadcast_limit_bytes) else new_keys
+    if broadcast is None:
+        broadcast = fits_broadcast(new_keys)
+    probe = F.broadcast(new_keys) if broadcast else new_keys
     existing = state.select(*keys).join(probe, keys, "left_semi").distinct()
     repeated = new_keys.groupBy(*keys).count().where(F.col("count") > 1).select(*keys)
     return existing.unionByName(repeated)
 
 
 def run_origin(state: DataFrame, origin: DataFrame, interval: Interval, column: str = "invoicedate",
-               keys: Sequence[str] | None = ("id", "last_updated")) -> DataFrame:
+               keys: Sequence[str] | None = ("id", "last_updated"),
+               broadcast: bool | None = None) -> DataFrame:
     """Append the interval's origin rows to the state (B1). With ``keys``, a
     new row whose key already exists raises, as the table's key would."""
     appended = append_interval(state, origin, interval, column)
     if keys:
         new_rows = in_interval(origin, interval, column)
-        bad = new_key_collisions(state, new_rows, keys).limit(5).collect()
+        bad = new_key_collisions(state, new_rows, keys, broadcast).limit(5).collect()
         if bad:
             raise ConstraintViolation(f"append of {interval.ds} repeats key {tuple(keys)}: "
                                       + ", ".join(str(tuple(r)) for r in bad))
@@ -74,37 +78,55 @@ def empty_state(spark: SparkSession, schema=RETAIL_SCHEMA) -> DataFrame:
 def run_day(store: SnapshotStore, origin: DataFrame, changes: DataFrame, ds: DateLike,
             column: str = "invoicedate", checks: Mapping | None = RETAIL_CHECKS,
             keys: Sequence[str] | None = ("id", "last_updated"), strategy: str = "auto",
-            schema=RETAIL_SCHEMA) -> str:
-    """One day: previous snapshot -> append -> merge -> write -> check -> publish.
-
-    The snapshot is checked from its written files (no recomputation) and
-    published only when every check passes; otherwise nothing is published
-    and ``ConstraintViolation`` is raised.
+            schema=RETAIL_SCHEMA, previous: str | None = None) -> str:
+    """One day: previous snapshot -> append -> merge -> write (+checks) -> publish.
+
+    The checks are observed metrics of the snapshot write itself (no extra
+    pass); the snapshot is published only when every check passes, otherwise
+    nothing is published and ``ConstraintViolation`` is raised.
+    ``previous`` is the previous day's snapshot folder when the caller knows
+    it (the replay does); otherwise the newest published one before ``ds``.
     """
     spark = store.spark
     interval = Interval.day(ds)
-    prev = store.latest_before(interval.start)
-    state = spark.read.parquet(prev[1]) if prev else empty_state(spark, schema)
-    state = run_origin(state, origin, interval, column, keys)
+    if previous is None:
+        prev = store.latest_before(interval.start)
+        previous = prev[1] if prev else None
+    state = spark.read.parquet(previous) if previous else empty_state(spark, schema)
+    # One job measures the day's origin keys and U/D changes for the broadcast decisions.
+    origin_day = in_interval(origin, interval, column)
+    changes_day = in_interval(changes, interval, column)
+    limit = broadcast_limit(spark)
+    probes = [changes_day.where(F.col("operation").isin("U", "D"))]
+    if keys:
+        probes.append(origin_day.select(*keys))
+    sizes = measure_many(probes)
+    fits = [0 <= limit and size <= limit for _, size in sizes]
+    if strategy == "auto":
+        strategy = "broadcast" if fits[0] else "shuffle"
+    state = run_origin(state, origin, interval, column, keys, broadcast=fits[-1] if keys else None)
     merged, _ = run_changes(state, changes, interval, column, checks=None, strategy=strategy)
-    path = store.stage(merged, interval.start)
-    if checks:
-        report = column_checks(spark.read.parquet(path), checks)
-        failed = report.where(~F.col("passed")).collect()
+    observed = ObservedChecks(merged, checks) if checks else None
+    path = store.stage(observed.df if observed else merged, interval.start)
+    if observed:
+        failed = observed.failures()
         if failed:
             raise ConstraintViolation(f"checks failed for {interval.ds}, snapshot not published: "
-                                      + "; ".join(f"{r['column']}.{r['check']}={r['actual']}" for r in failed))
+                                      + "; ".join(f"{c}.{k}={a} not {op} {e}" for c, k, a, op, e in failed))
     store.publish(interval.start, path)
     return path
 
 
 def replay(store: SnapshotStore, origin: DataFrame, changes: DataFrame, start: DateLike, end: DateLike,
            **kwargs) -> DataFrame:
-    """Run every day of ``[start, end)`` in order (B6); returns the last state."""
-    last = None
+    """Run every day of ``[start, end)`` in order (B6); returns the last state.
+    Each day starts from the snapshot the day before wrote."""
+    last = kwargs.pop("previous", None)
+    ran = False
     for day in Interval.parse(start, end).days():
-        last = run_day(store, origin, changes, day.start, **kwargs)
-    if last is None:
+        last = run_day(store, origin, changes, day.start, previous=last, **kwargs)
+        ran = True
+    if not ran:
         raise ValueError("empty replay span")
     return store.spark.read.parquet(last)
 

@@ -452,3 +452,15 @@ def replay_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     span = data_span((origin, "invoicedate"), (changes, "invoicedate"))
     store = SnapshotStore(spark, scratch_path(spark, "replay"))
     return replay(store, origin, changes, span.start, span.end)
+
+
+@register("replay_catchup", _replay_sql())
+def replay_catchup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same state as ``replay_state`` (every day appended and merged in
+    order) computed in one pass: per-key live/dead events over the days, the
+    last delete and the last update per key, one join (B6 as a catch-up)."""
+    from ..operators.catchup import catch_up
+    from .jobs import data_span
+    origin, changes = fx.origin_e(spark, sf_dir), fx.stage_e(spark, sf_dir)
+    span = data_span((origin, "invoicedate"), (changes, "invoicedate"))
+    return catch_up(origin, changes, span.start, span.end)

@@ -133,17 +133,16 @@ def replay(store: SnapshotStore, origin: DataFrame, changes: DataFrame, start: D
 
 def data_span(*frames_and_columns: tuple[DataFrame, str]) -> Interval:
     """The day span ``[min day, max day + 1)`` covered by the given columns
-    (one small aggregate per frame)."""
-    lo = hi = None
+    (one job; one small aggregate row per frame)."""
+    parts = None
     for df, column in frames_and_columns:
-        r = df.agg(F.min(F.to_date(F.col(column))).alias("lo"), F.max(F.to_date(F.col(column))).alias("hi")).first()
-        if r["lo"] is None:
-            continue
-        lo = r["lo"] if lo is None else min(lo, r["lo"])
-        hi = r["hi"] if hi is None else max(hi, r["hi"])
-    if lo is None:
+        d = F.to_date(F.col(column))
+        one = df.agg(F.min(d).alias("lo"), F.max(d).alias("hi"))
+        parts = one if parts is None else parts.unionByName(one)
+    r = parts.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
+    if r["lo"] is None:
         raise ValueError("no dated rows")
-    return Interval(lo, hi + dt.timedelta(days=1))
+    return Interval(r["lo"], r["hi"] + dt.timedelta(days=1))
 
 
 # ----------------------------------------------------------------- demand -> material jobs

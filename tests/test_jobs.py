@@ -110,3 +110,41 @@ def test_demand_jobs(spark, tmp_path):
                                    "quantity_g decimal(38,4)")
     g = run_material_g(spark, demand, target, day)
     assert g.count() == 6  # S1 and the NULL shop, three materials each
+
+
+def test_catch_up_equals_day_by_day(spark, tmp_path):
+    from cdcmart.operators.catchup import catch_up
+    origin, changes = retail(spark, origin_rows()), retail(spark, change_rows())
+    days = [dt.date(2024, 1, d) for d in range(1, 5)]
+    expect = brute_force(full_rows(spark, origin_rows()), full_rows(spark, change_rows()), days)
+    one_pass = catch_up(origin, changes, "2024-01-01", "2024-01-05")
+    assert rows_of(one_pass, "id", "invoice", "quantity", "operation") == expect
+    # from a snapshot: days 1-2 replayed, then days 3-4 caught up from it
+    store = SnapshotStore(spark, str(tmp_path / "snap"))
+    mid = replay(store, origin, changes, "2024-01-01", "2024-01-03")
+    rest = catch_up(origin, changes, "2024-01-03", "2024-01-05", initial=mid)
+    assert rows_of(rest, "id", "invoice", "quantity", "operation") == expect
+
+
+def test_catch_up_edge_histories(spark):
+    from cdcmart.operators.catchup import catch_up
+    d = lambda day, h: ts(f"2024-01-0{day} {h:02d}:00")
+    origin = retail(spark, [(1, "o1", 1, d(1, 1), d(1, 1), None), (1, "o1b", 2, d(3, 1), d(3, 1), None),
+                            (2, "o2", 1, d(1, 1), d(1, 1), None)])
+    changes = retail(spark, [
+        (1, "d1", 0, d(2, 5), d(2, 5), "D"),   # kills o1
+        (1, "i1", 0, d(2, 6), d(2, 6), "I"),   # same day, later: the latest of day 2 is this I -> inserts?
+        (2, "u2", 7, d(1, 5), d(1, 5), "U"),   # same day as the append: applies
+        (2, "x2", 8, d(2, 5), d(2, 5), "X"),
+        (3, "i3", 9, d(1, 5), d(1, 5), "I"),   # new id inserted
+        (3, "u3", 10, d(2, 5), d(2, 5), "U"),  # then updated
+        (3, "d3", 11, d(3, 5), d(3, 5), "D"),  # then deleted
+        (3, "i3b", 12, d(4, 5), d(4, 5), "I"),  # and inserted again
+    ])
+    days = [dt.date(2024, 1, k) for k in range(1, 5)]
+    expect = brute_force(full_rows(spark, [(1, "o1", 1, d(1, 1), d(1, 1), None),
+                                           (1, "o1b", 2, d(3, 1), d(3, 1), None),
+                                           (2, "o2", 1, d(1, 1), d(1, 1), None)]),
+                         [tuple(r) for r in changes.collect()], days)
+    got = rows_of(catch_up(origin, changes, "2024-01-01", "2024-01-05"), "id", "invoice", "quantity", "operation")
+    assert got == expect

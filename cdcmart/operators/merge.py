@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from ..functions.interval import Interval, in_interval
 from ..schemas import OP_DELETE, OP_INSERT, OP_UPDATE
+from ..session import shared_dir
 from .keys import require_key
 from .latest import _as_list, latest_per_key
 from .sizing import fits_broadcast
@@ -61,7 +62,8 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: str | Sequence[st
                   op_col: str = "operation", strategy: str = "auto",
                   broadcast_limit_bytes: int | None = None,
                   upsert_unmatched_updates: bool = False,
-                  size_probe: DataFrame | None = None) -> DataFrame:
+                  size_probe: DataFrame | None = None,
+                  materialize: bool | None = None) -> DataFrame:
     """Merge ``changes`` (one row per key) into ``target``.
 
     The output has ``target``'s columns in ``target``'s order. When ``target``
@@ -71,6 +73,10 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: str | Sequence[st
     default the U/D changes themselves are measured.
     ``upsert_unmatched_updates`` also inserts unmatched 'U' changes (off: the
     reference behaviour drops them).
+    ``materialize``: the change set feeds two joins; when it is large (the
+    shuffle plan, or ``True``) it is computed once and written as a reliable
+    checkpoint in the session's checkpoint folder, keeping its key
+    partitioning. A small (broadcast) change set is simply recomputed.
     """
     keys = _as_list(keys)
     cols = target.columns
@@ -79,10 +85,14 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: str | Sequence[st
     if missing:
         raise ValueError(f"changes lack target columns {missing}")
     op = F.col(op_col)
-
+    probe = size_probe if size_probe is not None else changes
+    plan = _pick_strategy(strategy, probe.where(op.isin(OP_UPDATE, OP_DELETE)), broadcast_limit_bytes)
+    if materialize is None:
+        materialize = plan == "shuffle"
+    if materialize:
+        shared_dir(changes.sparkSession)
+        changes = changes.checkpoint(eager=True)
     touching = changes.where(op.isin(OP_UPDATE, OP_DELETE))
-    probe = size_probe.where(F.col(op_col).isin(OP_UPDATE, OP_DELETE)) if size_probe is not None else touching
-    plan = _pick_strategy(strategy, probe, broadcast_limit_bytes)
 
     right = touching.select(*keys, op.alias(_OP), *[F.col(v).alias(_NEW + v) for v in values])
     right = right.withColumn(_M, F.lit(True))

@@ -464,3 +464,19 @@ def replay_catchup(spark: SparkSession, sf_dir: str) -> DataFrame:
     origin, changes = fx.origin_e(spark, sf_dir), fx.stage_e(spark, sf_dir)
     span = data_span((origin, "invoicedate"), (changes, "invoicedate"))
     return catch_up(origin, changes, span.start, span.end)
+
+
+@register("stream_merge", _MERGE_O)
+def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change feed landed as files and consumed by a Structured Streaming
+    query (``availableNow``): the micro-batch's latest change per id is merged
+    into the published target snapshot in ``foreachBatch``; the newest snapshot."""
+    from ..session import scratch_path
+    from ..sources.snapshots import SnapshotStore
+    from ..streaming.changes import merge_stream
+    root = scratch_path(spark, "stream")
+    store = SnapshotStore(spark, f"{root}/state")
+    store.write(fx.origin_o(spark, sf_dir), "1900-01-01")
+    fx.stage_o(spark, sf_dir).write.parquet(f"{root}/changes")
+    merge_stream(spark, f"{root}/changes", store)
+    return spark.read.parquet(store.newest()[1])

@@ -85,6 +85,15 @@ class SnapshotStore:
                .orderBy(F.col("ds").desc(), F.col("run").desc()).select("ds", "path").first())
         return (row["ds"], row["path"]) if row else None
 
+    def newest(self) -> tuple[str, str] | None:
+        """(ds, folder) of the most recently published snapshot, whatever its
+        day (run names start with a UTC time stamp)."""
+        recs = self._records()
+        if recs is None:
+            return None
+        row = recs.orderBy(F.col("run").desc()).select("ds", "path").first()
+        return (row["ds"], row["path"]) if row else None
+
     def read(self, ds: DateLike) -> DataFrame:
         path = self.path(ds)
         if path is None:

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ..functions.interval import DateLike, Interval, in_interval
 from ..schemas import OP_DELETE, OP_INSERT, OP_UPDATE
+from ..session import shared_dir
 from .latest import _as_list, latest_per_key
 from .sizing import fits_broadcast
 
@@ -44,10 +45,13 @@ def catch_up(origin: DataFrame, changes: DataFrame, start: DateLike, end: DateLi
              column: str = "invoicedate", keys: str | Sequence[str] = "id",
              order_by: str | Sequence[str] = "last_updated", tie_break: Sequence[str] = (),
              op_col: str = "operation", initial: DataFrame | None = None,
-             broadcast_limit_bytes: int | None = None) -> DataFrame:
+             broadcast_limit_bytes: int | None = None, materialize: bool = True) -> DataFrame:
     """State after every day of ``[start, end)``: day by day, origin rows of
     the day are appended and the day's latest change per key is merged.
-    ``initial`` is the state before ``start`` (default: empty)."""
+    ``initial`` is the state before ``start`` (default: empty).
+    ``materialize`` writes the per-(key, day) latest changes once as a
+    reliable checkpoint (they feed three steps; the feed is then scanned and
+    shuffled once)."""
     keys, order_by = _as_list(keys), _as_list(order_by)
     span = Interval.parse(start, end)
     cols = (initial.columns if initial is not None else origin.columns)
@@ -63,6 +67,9 @@ def catch_up(origin: DataFrame, changes: DataFrame, start: DateLike, end: DateLi
     # The latest change per key and day (one row per key-day).
     sliced = in_interval(changes, span, column).withColumn(_DAY, day_of)
     latest = latest_per_key(sliced, keys + [_DAY], order_by, tie_break)
+    if materialize:
+        shared_dir(latest.sparkSession)
+        latest = latest.checkpoint(eager=True)
 
     # Liveness just before each day's change: the last of A / I / D events before it.
     appends = born.select(*keys, F.col(_BIRTH).alias(_DAY)).distinct() \

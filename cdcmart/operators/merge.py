@@ -191,3 +191,25 @@ def upsert(target: DataFrame, source: DataFrame,
         require_key(source, keys, allow_null=True)
     kept = target.join(source.select(*keys), keys, "left_anti")
     return kept.unionByName(source.select(*target.columns))
+
+
+def merge_into_table(changes: DataFrame, table: str, keys: str | Sequence[str] = "id",
+                     op_col: str = "operation") -> None:
+    """The same outcome table as ``apply_changes`` as a table MERGE, for
+    catalogs whose tables support row-level changes (``DataFrame.mergeInto``).
+    ``changes`` holds one row per key. File-based tables (plain Parquet) do
+    not support MERGE; use ``apply_changes`` and a snapshot there."""
+    keys = _as_list(keys)
+    cols = changes.sparkSession.table(table).columns
+    src = changes.alias("cdcmart_src")
+    cond = None
+    for k in keys:
+        term = F.col(f"cdcmart_src.{k}") == F.col(f"{table}.{k}")
+        cond = term if cond is None else cond & term
+    op = F.col(f"cdcmart_src.{op_col}")
+    new = {c: F.col(f"cdcmart_src.{c}") for c in cols}
+    (src.mergeInto(table, cond)
+        .whenMatched(op == OP_DELETE).delete()
+        .whenMatched(op == OP_UPDATE).update({c: v for c, v in new.items() if c not in keys})
+        .whenNotMatched(op == OP_INSERT).insert(new)
+        .merge())

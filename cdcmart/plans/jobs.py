@@ -41,7 +41,7 @@ def new_key_collisions(state: DataFrame, new_rows: DataFrame, keys: Sequence[str
     if broadcast is None:
         broadcast = fits_broadcast(new_keys)
     probe = F.broadcast(new_keys) if broadcast else new_keys
-    existing = state.select(*keys).join(probe, keys, "left_semi").distinct()
+    existing = state.select(*keys).join(probe, keys, "left_semi")
     repeated = new_keys.groupBy(*keys).count().where(F.col("count") > 1).select(*keys)
     return existing.unionByName(repeated)
 
@@ -105,7 +105,7 @@ def run_day(store: SnapshotStore, origin: DataFrame, changes: DataFrame, ds: Dat
     if strategy == "auto":
         strategy = "broadcast" if fits[0] else "shuffle"
     state = run_origin(state, origin, interval, column, keys, broadcast=fits[-1] if keys else None)
-    merged, _ = run_changes(state, changes, interval, column, checks=None, strategy=strategy)
+    merged = apply_changes(state, latest_per_key(changes_day), strategy=strategy, size_probe=changes_day)
     observed = ObservedChecks(merged, checks) if checks else None
     path = store.stage(observed.df if observed else merged, interval.start)
     if observed:

@@ -167,3 +167,15 @@ def test_upsert_new_existing_and_duplicate_keys(spark):
     dup = spark.createDataFrame([("d1", "s1", "robusta", 1.0), ("d1", "s1", "robusta", 2.0)], schema)
     with pytest.raises(ConstraintViolation):
         upsert(target, dup)
+
+
+def test_merge_into_file_table_is_rejected(spark):
+    from pyspark.errors import PySparkException
+    from cdcmart.operators.merge import merge_into_table
+    from cdcmart.sources.tables import ensure_table
+    from cdcmart.schemas import RETAIL_SCHEMA
+    ensure_table(spark, "wh_test.merge_target", RETAIL_SCHEMA, replace=True)
+    with pytest.raises(PySparkException) as err:
+        merge_into_table(changes_10(spark), "wh_test.merge_target")
+    assert "does not support MERGE" in str(err.value)
+    spark.sql("DROP TABLE wh_test.merge_target")

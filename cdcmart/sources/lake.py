@@ -65,7 +65,9 @@ def write_interval(df: DataFrame, root: str, dataset: str, interval: Interval,
     """
     sliced = in_interval(df, interval, column)
     if interval.end.toordinal() - interval.start.toordinal() == 1:
-        (_writer(sliced, fmt, header).mode("overwrite")
+        # AQE rebalance: a wide scan's few rows per task become files of the
+        # advisory size instead of one small file per task; a large day is split.
+        (_writer(sliced.hint("rebalance"), fmt, header).mode("overwrite")
             .save(partition_path(root, dataset, interval.start)))
     else:
         write_partitioned(sliced, root, dataset, column, fmt, header)

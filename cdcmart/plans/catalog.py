@@ -480,3 +480,17 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx.stage_o(spark, sf_dir).write.parquet(f"{root}/changes")
     merge_stream(spark, f"{root}/changes", store)
     return spark.read.parquet(store.newest()[1])
+
+
+@register("merge_bucketed", _MERGE_O)
+def merge_bucketed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target stored partitioned by id bucket; the merge reads and rewrites
+    only the buckets the latest changes touch (staged, then partition
+    overwrite); the whole table afterwards (J1, M2-M5 at scale)."""
+    from ..session import scratch_path
+    from ..sources.bucketed import merge_bucketed, read_bucketed, write_bucketed
+    root = scratch_path(spark, "bucketed")
+    write_bucketed(fx.origin_o(spark, sf_dir), f"{root}/table", "id", buckets=64)
+    merge_bucketed(spark, f"{root}/table", latest_per_key(fx.stage_o(spark, sf_dir)), f"{root}/staging-1",
+                   "id", buckets=64)
+    return read_bucketed(spark, f"{root}/table")

@@ -30,3 +30,27 @@ def test_bucket_emptied_by_deletes(spark, tmp_path):
     write_bucketed(target, path, "id", buckets=4)
     merge_bucketed(spark, path, retail(spark, [(1, "d", 0, T1, T1, "D")]), str(tmp_path / "s1"), "id", buckets=4)
     assert read_bucketed(spark, path).count() == 0
+
+
+def test_bucketed_replay_matches_brute_force(spark, tmp_path):
+    import datetime as dt
+    from cdcmart.plans.jobs import replay_bucketed
+    from test_jobs import brute_force, change_rows, full_rows, origin_rows
+    origin, changes = retail(spark, origin_rows()), retail(spark, change_rows())
+    got = replay_bucketed(spark, str(tmp_path / "table"), origin, changes, "2024-01-01", "2024-01-05",
+                          str(tmp_path / "staging"), buckets=4)
+    days = [dt.date(2024, 1, d) for d in range(1, 5)]
+    expect = brute_force(full_rows(spark, origin_rows()), full_rows(spark, change_rows()), days)
+    assert rows_of(got, "id", "invoice", "quantity", "operation") == expect
+
+
+def test_bucketed_day_failing_checks_changes_nothing(spark, tmp_path):
+    import pytest
+    from cdcmart.operators.keys import ConstraintViolation
+    from cdcmart.plans.jobs import run_day_bucketed
+    path = str(tmp_path / "table")
+    write_bucketed(retail(spark, [(1, "a", 5, T0, T0, None)]), path, "id", buckets=4)
+    bad = retail(spark, [(1, "u", -5000, T1, T1, "U")])
+    with pytest.raises(ConstraintViolation):
+        run_day_bucketed(spark, path, bad.where("false"), bad, "2024-01-02", str(tmp_path / "s"), buckets=4)
+    assert rows_of(read_bucketed(spark, path), "invoice") == [("a",)]

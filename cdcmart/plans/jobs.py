@@ -93,7 +93,7 @@ def run_day(store: SnapshotStore, origin: DataFrame, changes: DataFrame, ds: Dat
     if previous is None:
         prev = store.latest_before(interval.start)
         previous = prev[1] if prev else None
-    state = spark.read.parquet(previous) if previous else empty_state(spark, schema)
+    state = spark.read.schema(schema).parquet(previous) if previous else empty_state(spark, schema)
     # One job measures the day's origin keys and U/D changes for the broadcast decisions.
     origin_day = in_interval(origin, interval, column)
     changes_day = in_interval(changes, interval, column)

@@ -36,7 +36,7 @@ def merge_batch(store: SnapshotStore, batch: DataFrame, schema: T.StructType = R
     if day is None:
         return None
     newest = store.newest()
-    state = spark.read.parquet(newest[1]) if newest else spark.createDataFrame([], schema)
+    state = spark.read.schema(schema).parquet(newest[1]) if newest else spark.createDataFrame([], schema)
     merged = apply_changes(state, latest_per_key(batch), size_probe=batch)
     observed = ObservedChecks(merged, checks) if checks else None
     path = store.stage(observed.df if observed else merged, day)

@@ -8,10 +8,12 @@ map task already drops all but its own top row per key, so a key that holds a
 third of all rows reaches the reducer as at most one row per map task.
 
 ``first_per_key`` is the literal ``first_value(col) OVER w`` + ``DISTINCT``
-formulation of the same thing. It first keeps only the rows tied for the top
-(``rank() = 1``, also reduced before the shuffle), then evaluates the
-``first_value`` window over that remainder; the window and the DISTINCT reuse
-the key partitioning, so there is one exchange.
+formulation of the same thing. It first keeps one top row per key
+(``row_number() = 1``, reduced before the shuffle like above; among rows tied
+for the top the literal form picks an arbitrary one too, so a key whose rows
+all tie still reaches one task as one row per map task), then evaluates the
+``first_value`` window and the DISTINCT over that remainder; both reuse the
+key partitioning, so there is one exchange.
 """
 
 from __future__ import annotations
@@ -65,8 +67,8 @@ def first_per_key(df: DataFrame, keys: str | Sequence[str] = "id",
     if columns is None:
         columns = [c for c in df.columns if c not in keys]
     w = latest_window(keys, order_by)
-    # rank() = 1 keeps every row tied for the top; the reduction runs map-side.
-    top = (df.withColumn(_RN, F.rank().over(w))
+    # one top row per key (an arbitrary one among ties); the reduction runs map-side.
+    top = (df.withColumn(_RN, F.row_number().over(w))
              .where(F.col(_RN) == 1)
              .drop(_RN))
     firsts = [F.first(F.col(c), ignorenulls=False).over(w).alias(c) for c in columns]

@@ -494,3 +494,18 @@ def merge_bucketed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     merge_bucketed(spark, f"{root}/table", latest_per_key(fx.stage_o(spark, sf_dir)), f"{root}/staging-1",
                    "id", buckets=64)
     return read_bucketed(spark, f"{root}/table")
+
+
+@register("merge_classified", with_fixtures("origin_o", "stage_o") + ",\n" + _latest_sql("stage_o") + """,
+tk AS (SELECT id, count(*) AS n FROM origin_o GROUP BY id)
+SELECT c.id, c.operation, tk.id IS NOT NULL AS matched, CAST(coalesce(tk.n, 0) AS BIGINT) AS target_rows,
+       CASE WHEN tk.id IS NOT NULL AND c.operation = 'D' THEN 'delete'
+            WHEN tk.id IS NOT NULL AND c.operation = 'U' THEN 'update'
+            WHEN tk.id IS NOT NULL THEN 'matched_noop'
+            WHEN c.operation = 'I' THEN 'insert'
+            ELSE 'unmatched_ignored' END AS outcome
+FROM latest c LEFT JOIN tk ON tk.id = c.id""")
+def merge_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome of every latest change (op x matched) and the target rows it touches (M5)."""
+    from ..operators.merge import classify_changes
+    return classify_changes(fx.origin_o(spark, sf_dir), latest_per_key(fx.stage_o(spark, sf_dir)))

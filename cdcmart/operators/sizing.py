@@ -50,12 +50,11 @@ def _width(field: T.StructField):
     return F.coalesce(F.octet_length(c.cast("string")), F.lit(0))
 
 
-def _size_agg(df: DataFrame, tag: int) -> DataFrame:
+def _row_bytes(df: DataFrame):
     row_bytes = F.lit(ROW_OVERHEAD_BYTES)
     for field in df.schema.fields:
         row_bytes = row_bytes + _width(field)
-    return df.agg(F.lit(tag).alias("tag"), F.count(F.lit(1)).cast("bigint").alias("rows"),
-                  F.coalesce(F.sum(row_bytes), F.lit(0)).cast("bigint").alias("bytes"))
+    return row_bytes.cast("bigint")
 
 
 def measure(df: DataFrame) -> tuple[int, int]:
@@ -64,13 +63,22 @@ def measure(df: DataFrame) -> tuple[int, int]:
 
 
 def measure_many(frames: list[DataFrame]) -> list[tuple[int, int]]:
-    """(rows, bytes) of several frames with a single job (one row each)."""
-    out = None
+    """(rows, bytes) of several frames in a single job without a shuffle: the
+    counts are observed metrics of one pass over all frames into a no-op sink."""
+    from pyspark.sql import Observation
+    tagged = None
     for i, df in enumerate(frames):
-        one = _size_agg(df, i)
-        out = one if out is None else out.unionByName(one)
-    got = {r["tag"]: (int(r["rows"]), int(r["bytes"])) for r in out.collect()}
-    return [got[i] for i in range(len(frames))]
+        one = df.select(F.lit(i).alias("tag"), _row_bytes(df).alias("b"))
+        tagged = one if tagged is None else tagged.unionByName(one)
+    metrics = []
+    for i in range(len(frames)):
+        hit = F.col("tag") == i
+        metrics += [F.count(F.when(hit, 1)).alias(f"r{i}"),
+                    F.coalesce(F.sum(F.when(hit, F.col("b"))), F.lit(0)).alias(f"b{i}")]
+    obs = Observation("cdcmart_size")
+    tagged.observe(obs, *metrics).write.format("noop").mode("overwrite").save()
+    got = obs.get
+    return [(int(got[f"r{i}"]), int(got[f"b{i}"])) for i in range(len(frames))]
 
 
 def fits_broadcast(df: DataFrame, limit_bytes: int | None = None) -> bool:

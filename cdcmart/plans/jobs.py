@@ -133,17 +133,19 @@ def replay(store: SnapshotStore, origin: DataFrame, changes: DataFrame, start: D
 
 
 def data_span(*frames_and_columns: tuple[DataFrame, str]) -> Interval:
-    """The day span ``[min day, max day + 1)`` covered by the given columns
-    (one job; one small aggregate row per frame)."""
-    parts = None
+    """The day span ``[min day, max day + 1)`` covered by the given columns:
+    one pass over the columns, the bounds collected as observed metrics."""
+    from pyspark.sql import Observation
+    days_ = None
     for df, column in frames_and_columns:
-        d = F.to_date(F.col(column))
-        one = df.agg(F.min(d).alias("lo"), F.max(d).alias("hi"))
-        parts = one if parts is None else parts.unionByName(one)
-    r = parts.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
-    if r["lo"] is None:
+        one = df.select(F.to_date(F.col(column)).alias("d"))
+        days_ = one if days_ is None else days_.unionByName(one)
+    obs = Observation("cdcmart_span")
+    days_.observe(obs, F.min("d").alias("lo"), F.max("d").alias("hi")).write.format("noop").mode("overwrite").save()
+    lo, hi = obs.get["lo"], obs.get["hi"]
+    if lo is None:
         raise ValueError("no dated rows")
-    return Interval(r["lo"], r["hi"] + dt.timedelta(days=1))
+    return Interval(lo, hi + dt.timedelta(days=1))
 
 
 # ----------------------------------------------------------------- demand -> material jobs

@@ -179,17 +179,23 @@ def append_interval(target: DataFrame, source: DataFrame, interval: Interval,
 
 
 def upsert(target: DataFrame, source: DataFrame,
-           keys: Sequence[str] = ("date", "shop_id", "material_name"), check: bool = True) -> DataFrame:
+           keys: Sequence[str] = ("date", "shop_id", "material_name"), check: bool = True,
+           broadcast_limit_bytes: int | None = None) -> DataFrame:
     """``INSERT ... ON CONFLICT (keys) DO UPDATE`` all columns.
 
     A key repeated inside ``source`` is an error (as a database raises when a
     row would be affected twice); ``check`` enforces it before the merge.
-    NULL key parts never conflict.
+    NULL key parts never conflict. The source keys are broadcast to the anti
+    join only when their measured size fits the broadcast limit (a daily batch
+    against a large mart: the mart is then never shuffled).
     """
     keys = list(keys)
     if check:
         require_key(source, keys, allow_null=True)
-    kept = target.join(source.select(*keys), keys, "left_anti")
+    source_keys = source.select(*keys)
+    if fits_broadcast(source_keys, broadcast_limit_bytes):
+        source_keys = F.broadcast(source_keys)
+    kept = target.join(source_keys, keys, "left_anti")
     return kept.unionByName(source.select(*target.columns))
 
 

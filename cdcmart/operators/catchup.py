@@ -6,8 +6,9 @@ key the history reduces to a live/dead state machine over at most two events
 per day: "origin rows were appended" (phase 0) and "the day's latest change"
 (phase 1). A change 'I' inserts only when the key is dead just before it; 'A'
 and 'I' make the key live, 'D' makes it dead, 'U' and others leave it as is.
-Then, for every row (appended on its invoice day, or inserted on its change
-day):
+A key with a NULL part never matches, so its 'I' changes always insert and
+its 'U'/'D' changes touch nothing. Then, for every row (appended on its
+invoice day, or inserted on its change day):
 
 * it is deleted iff some day's latest change is 'D' on or after its birth day
   (i.e. the key's last 'D' day >= birth day);
@@ -18,7 +19,8 @@ Plan. Latest change per (key, day) is reduced map-side (partial
 ``WindowGroupLimit``); the append events are a partial-aggregated DISTINCT;
 the liveness window runs over the compact per-key event list (at most two
 rows per key per day, whatever the data volume, so a hot key cannot overload
-a task); the per-key summary (last D day, last U row) is a partial
+a task) and yields the inserted rows directly (each change event carries its
+row); the per-key summary (last D day, last U row) is a partial
 aggregation; rows meet their key's summary in one equi-join, broadcast only
 when the summary's measured size fits.
 """
@@ -39,6 +41,7 @@ from .sizing import fits_broadcast
 
 _DAY, _PHASE, _KIND, _BIRTH = "__cdcmart_day", "__cdcmart_phase", "__cdcmart_kind", "__cdcmart_birth"
 _LAST_D, _LAST_U = "__cdcmart_last_d", "__cdcmart_last_u"
+_ROW, _PREV = "__cdcmart_row", "__cdcmart_prev"
 
 
 def catch_up(origin: DataFrame, changes: DataFrame, start: DateLike, end: DateLike,
@@ -72,21 +75,25 @@ def catch_up(origin: DataFrame, changes: DataFrame, start: DateLike, end: DateLi
         latest = latest.checkpoint(eager=True)
 
     # Liveness just before each day's change: the last of A / I / D events before it.
+    # Each change event carries its row, so the inserts come straight out of the window.
     appends = born.select(*keys, F.col(_BIRTH).alias(_DAY)).distinct() \
-                  .select(*keys, _DAY, F.lit(0).alias(_PHASE), F.lit("A").alias(_KIND))
-    change_events = latest.select(*keys, _DAY, F.lit(1).alias(_PHASE), F.col(op_col).alias(_KIND))
+                  .select(*keys, _DAY, F.lit(0).alias(_PHASE), F.lit("A").alias(_KIND),
+                          F.lit(None).cast(latest.select(F.struct(*cols)).schema[0].dataType).alias(_ROW))
+    change_events = latest.select(*keys, _DAY, F.lit(1).alias(_PHASE), F.col(op_col).alias(_KIND),
+                                  F.struct(*cols).alias(_ROW))
     events = appends.unionByName(change_events)
     w = (Window.partitionBy(*keys).orderBy(_DAY, _PHASE)
          .rowsBetween(Window.unboundedPreceding, -1))
     life = F.when(F.col(_KIND).isin("A", OP_INSERT, OP_DELETE), F.col(_KIND))
-    before_change = F.last(life, ignorenulls=True).over(w)
+    prev = F.last(life, ignorenulls=True).over(w)
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()  # a NULL key never matches: an 'I' always inserts
     # The window runs over all events (appends carry the liveness); filter after it.
-    emitted = (events.withColumn("__cdcmart_prev", before_change)
-               .where((F.col(_PHASE) == 1) & (F.col(_KIND) == OP_INSERT)
-                      & (F.col("__cdcmart_prev").isNull() | (F.col("__cdcmart_prev") == OP_DELETE)))
-               .select(*keys, _DAY))
-    inserted = (latest.where(F.col(op_col) == OP_INSERT).join(emitted, keys + [_DAY], "left_semi")
-                .select(*cols, F.col(_DAY).alias(_BIRTH)))
+    inserted = (events.withColumn(_PREV, prev)
+                .where((F.col(_PHASE) == 1) & (F.col(_KIND) == OP_INSERT)
+                       & (F.col(_PREV).isNull() | (F.col(_PREV) == OP_DELETE) | null_key))
+                .select(*[F.col(f"{_ROW}.{c}").alias(c) for c in cols], F.col(_DAY).alias(_BIRTH)))
     rows = born.unionByName(inserted)
 
     # Per key: the last delete day and the last update (its day and values).

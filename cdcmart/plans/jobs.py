@@ -119,16 +119,24 @@ def run_day(store: SnapshotStore, origin: DataFrame, changes: DataFrame, ds: Dat
 
 
 def replay(store: SnapshotStore, origin: DataFrame, changes: DataFrame, start: DateLike, end: DateLike,
-           **kwargs) -> DataFrame:
+           resume: bool = False, **kwargs) -> DataFrame:
     """Run every day of ``[start, end)`` in order (B6); returns the last state.
-    Each day starts from the snapshot the day before wrote."""
+    Each day starts from the snapshot the day before wrote. With ``resume``,
+    days already published in the span are skipped: the run continues after
+    the newest published day (a replay cut short by a lost driver picks up
+    where it stopped)."""
+    span = Interval.parse(start, end)
     last = kwargs.pop("previous", None)
-    ran = False
-    for day in Interval.parse(start, end).days():
-        last = run_day(store, origin, changes, day.start, previous=last, **kwargs)
-        ran = True
-    if not ran:
+    days_ = list(span.days())
+    if resume:
+        done = store.latest_before(span.end)
+        if done and dt.date.fromisoformat(done[0]) >= span.start:
+            last = done[1]
+            days_ = [d for d in days_ if d.start > dt.date.fromisoformat(done[0])]
+    if not days_ and last is None:
         raise ValueError("empty replay span")
+    for day in days_:
+        last = run_day(store, origin, changes, day.start, previous=last, **kwargs)
     return store.spark.read.parquet(last)
 
 

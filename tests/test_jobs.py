@@ -166,3 +166,15 @@ def test_catch_up_null_keys_match_day_by_day(spark, tmp_path):
     assert rows_of(one, "id", "invoice", "quantity") == rows_of(seq, "id", "invoice", "quantity")
     # day 3's latest NULL-id change is the 'U' (05:00 after the 'D' at 04:00): unmatched, ignored
     assert rows_of(one, "id", "invoice") == [(1, "u1"), (None, "iN1"), (None, "iN2"), (None, "oN")]
+
+
+def test_replay_resumes_after_the_last_published_day(spark, tmp_path):
+    origin, changes = retail(spark, origin_rows()), retail(spark, change_rows())
+    store = SnapshotStore(spark, str(tmp_path / "snap"))
+    replay(store, origin, changes, "2024-01-01", "2024-01-03")          # cut short after day 2
+    first_day2 = store.path("2024-01-02")
+    final = replay(store, origin, changes, "2024-01-01", "2024-01-05", resume=True)
+    assert store.path("2024-01-02") == first_day2                       # days 1-2 not rerun
+    days = [dt.date(2024, 1, d) for d in range(1, 5)]
+    expect = brute_force(full_rows(spark, origin_rows()), full_rows(spark, change_rows()), days)
+    assert rows_of(final, "id", "invoice", "quantity", "operation") == expect

@@ -45,10 +45,17 @@ def _writer(df: DataFrame, fmt: str, header: bool):
 
 
 def write_partitioned(df: DataFrame, root: str, dataset: str, column: str = "date",
-                      fmt: str = "csv", header: bool = True) -> None:
+                      fmt: str = "csv", header: bool = True, rebalance: bool = True) -> None:
     """Write ``df`` under ``root/dataset`` partitioned by the day of ``column``;
-    partitions present in ``df`` are replaced, all others are left as they are."""
-    out = _with_partitions(df, column).hint("rebalance", *PARTITION_COLUMNS)
+    partitions present in ``df`` are replaced, all others are left as they are.
+
+    ``rebalance`` shuffles rows by day first (AQE: few files per day, hot days
+    split). Input already clustered by date (e.g. read from date-ordered files)
+    can skip that shuffle with ``rebalance=False``: rows are then only sorted
+    by day inside each task, which writes its few days one after another."""
+    out = _with_partitions(df, column)
+    out = (out.hint("rebalance", *PARTITION_COLUMNS) if rebalance
+           else out.sortWithinPartitions(*PARTITION_COLUMNS))
     (_writer(out, fmt, header).mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITION_COLUMNS)

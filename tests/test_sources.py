@@ -116,3 +116,11 @@ def test_default_applies_only_to_omitted_columns(spark):
     r = out.first()
     assert r["invoicedate"] is None and r["last_updated"] is not None
     assert out.where(F.col("operation").isNull()).count() == 1
+
+
+def test_write_partitioned_without_shuffle(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    df = spark.createDataFrame([("S1", ts("2009-12-01 08:00"), "cheap", "1"), ("S2", ts("2009-12-02 08:00"), "x", "2")],
+                               DEMAND_SCHEMA)
+    write_partitioned(df, root, "demand", "date", rebalance=False)
+    assert rows_of(read_partitioned(spark, root, "demand", DEMAND_SCHEMA)) == rows_of(df)

@@ -1,6 +1,7 @@
 """Touched-bucket merge equals the plain merge; untouched buckets are not rewritten."""
 
 import os
+import re
 
 from conftest import retail, rows_of, ts
 
@@ -54,3 +55,16 @@ def test_bucketed_day_failing_checks_changes_nothing(spark, tmp_path):
     with pytest.raises(ConstraintViolation):
         run_day_bucketed(spark, path, bad.where("false"), bad, "2024-01-02", str(tmp_path / "s"), buckets=4)
     assert rows_of(read_bucketed(spark, path), "invoice") == [("a",)]
+
+
+def test_bucketed_merge_reads_only_touched_buckets(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from cdcmart.sources.bucketed import BUCKET
+    path = str(tmp_path / "table")
+    write_bucketed(retail(spark, [(i, f"T{i}", i, T0, T0, None) for i in range(40)]), path, "id", buckets=8)
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        spark.read.parquet(path).where(F.col(BUCKET).isin([1, 5])).explain("formatted")
+    assert re.search(r"PartitionFilters: \[bucket#\d+ IN \(1,5\)\]", buf.getvalue())

@@ -61,8 +61,8 @@ def summary(df: DataFrame) -> dict:
 def render(name: str, s: dict) -> str:
     out = [f"### {name}", ""]
     for sc in s["scans"]:
-        out.append(f"- scan `{sc['path']}` read `{sc['read'][:120]}`"
-                   + (f" pushed `{sc['pushed'][:160]}`" if sc["pushed"] else ""))
+        out.append(f"- scan `{sc['path']}` read `{sc['read']}`"
+                   + (f" pushed `{sc['pushed']}`" if sc["pushed"] else ""))
     out.append(f"- exchanges: {len(s['exchanges'])}"
                + ("".join(f"\n  - `{e[:140]}`" for e in s["exchanges"]) if s["exchanges"] else ""))
     out.append(f"- joins: {', '.join(s['joins']) or 'none'}; broadcast exchanges: {s['broadcasts']}")
@@ -79,8 +79,9 @@ def main(argv: list[str]) -> None:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or ["latest_change_per_id", "first_value_distinct", "merge_full", "merge_small_change",
                          "merge_interval", "replay_catchup", "material_grams", "material_kg",
-                         "column_check_report", "key_violations", "upsert_material"]
+                         "column_check_report", "key_violations", "upsert_material", "merge_classified"]
     spark = local_session()
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # untruncated scan details
     q = queries()
     for name in names:
         print(render(name, summary(q[name](spark, sf_dir))))

@@ -299,8 +299,11 @@ def upsert_material(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- checks and constraints
 
-@register("column_check_report", _MERGE_O.replace("WITH ", "WITH ", 1).replace(
-    "\nSELECT t.", ",\nm AS (SELECT t.", 1) + """)
+# The merge oracle as a CTE ``m``: its first SELECT opens the CTE.
+_MERGE_O_AS_M = _MERGE_O.replace("\nSELECT t.", ",\nm AS (SELECT t.", 1) + ")"
+
+
+@register("column_check_report", _MERGE_O_AS_M + """
 SELECT 'id' AS "column", 'null_check' AS "check", CAST(count(*) FILTER (WHERE id IS NULL) AS DOUBLE) AS actual,
        'equal_to' AS comparator, 0.0::DOUBLE AS expected, 0.0::DOUBLE AS tolerance,
        count(*) FILTER (WHERE id IS NULL) = 0 AS passed FROM m

@@ -87,6 +87,8 @@ def run_day(store: SnapshotStore, origin: DataFrame, changes: DataFrame, ds: Dat
     nothing is published and ``ConstraintViolation`` is raised.
     ``previous`` is the previous day's snapshot folder when the caller knows
     it (the replay does); otherwise the newest published one before ``ds``.
+    A quiet day (no origin rows, no changes) publishes the previous folder
+    again instead of copying the state.
     """
     spark = store.spark
     interval = Interval.day(ds)
@@ -94,18 +96,24 @@ def run_day(store: SnapshotStore, origin: DataFrame, changes: DataFrame, ds: Dat
         prev = store.latest_before(interval.start)
         previous = prev[1] if prev else None
     state = spark.read.schema(schema).parquet(previous) if previous else empty_state(spark, schema)
-    # One job measures the day's origin keys and U/D changes for the broadcast decisions.
+    # One pass measures the day's U/D changes, its origin keys and all its
+    # changes: the broadcast decisions, and whether the day changes anything.
     origin_day = in_interval(origin, interval, column)
     changes_day = in_interval(changes, interval, column)
     limit = broadcast_limit(spark)
-    probes = [changes_day.where(F.col("operation").isin("U", "D"))]
-    if keys:
-        probes.append(origin_day.select(*keys))
-    sizes = measure_many(probes)
-    fits = [0 <= limit and size <= limit for _, size in sizes]
+    key_cols = list(keys) if keys else ["id"]
+    (ud_rows, ud_bytes), (new_rows, new_bytes), (all_rows, _) = measure_many(
+        [changes_day.where(F.col("operation").isin("U", "D")), origin_day.select(*key_cols), changes_day])
+    if previous and new_rows == 0 and all_rows == 0:
+        # A quiet day: the state is unchanged and was checked when published.
+        store.publish(interval.start, previous)
+        return previous
     if strategy == "auto":
-        strategy = "broadcast" if fits[0] else "shuffle"
-    state = run_origin(state, origin, interval, column, keys, broadcast=fits[-1] if keys else None)
+        strategy = "broadcast" if 0 <= limit and ud_bytes <= limit else "shuffle"
+    if keys and new_rows:
+        state = run_origin(state, origin, interval, column, keys, broadcast=0 <= limit and new_bytes <= limit)
+    else:
+        state = append_interval(state, origin, interval, column)
     merged = apply_changes(state, latest_per_key(changes_day), strategy=strategy, size_probe=changes_day)
     observed = ObservedChecks(merged, checks) if checks else None
     path = store.stage(observed.df if observed else merged, interval.start)

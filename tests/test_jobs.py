@@ -178,3 +178,13 @@ def test_replay_resumes_after_the_last_published_day(spark, tmp_path):
     days = [dt.date(2024, 1, d) for d in range(1, 5)]
     expect = brute_force(full_rows(spark, origin_rows()), full_rows(spark, change_rows()), days)
     assert rows_of(final, "id", "invoice", "quantity", "operation") == expect
+
+
+def test_quiet_day_republishes_previous_snapshot(spark, tmp_path):
+    origin, changes = retail(spark, origin_rows()), retail(spark, change_rows())
+    store = SnapshotStore(spark, str(tmp_path / "snap"))
+    final = replay(store, origin, changes, "2024-01-01", "2024-01-07")   # days 5 and 6 have no rows
+    assert store.path("2024-01-05") == store.path("2024-01-04") == store.path("2024-01-06")
+    days = [dt.date(2024, 1, d) for d in range(1, 5)]
+    expect = brute_force(full_rows(spark, origin_rows()), full_rows(spark, change_rows()), days)
+    assert rows_of(final, "id", "invoice", "quantity", "operation") == expect

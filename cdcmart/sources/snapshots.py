@@ -57,8 +57,9 @@ class SnapshotStore:
         """Make a staged folder the snapshot of ``ds`` (one small record)."""
         day = parse_date(ds).isoformat()
         run = path.rstrip("/").rsplit("run=", 1)[-1]
-        record = self.spark.createDataFrame([(day, path, run)], _RECORD)
-        record.coalesce(1).write.mode("append").json(self.published_path)
+        record = self.spark.range(1).select(F.lit(day).alias("ds"), F.lit(path).alias("path"),
+                                            F.lit(run).alias("run"))
+        record.write.mode("append").json(self.published_path)
 
     def write(self, df: DataFrame, ds: DateLike) -> str:
         """Stage and publish the snapshot of ``ds``; returns its folder."""

@@ -124,3 +124,17 @@ def test_write_partitioned_without_shuffle(spark, tmp_path):
                                DEMAND_SCHEMA)
     write_partitioned(df, root, "demand", "date", rebalance=False)
     assert rows_of(read_partitioned(spark, root, "demand", DEMAND_SCHEMA)) == rows_of(df)
+
+
+def test_multi_day_interval_write_and_read(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    rows = [("S1", ts("2009-12-01 08:00"), "a", "1"), ("S2", ts("2009-12-02 08:00"), "b", "2"),
+            ("S3", ts("2009-12-03 08:00"), "c", "3")]
+    df = spark.createDataFrame(rows, DEMAND_SCHEMA)
+    write_partitioned(df, root, "demand", "date")
+    changed = spark.createDataFrame([("S1x", ts("2009-12-01 09:00"), "a", "9"), ("S2x", ts("2009-12-02 09:00"), "b", "9"),
+                                     ("S3x", ts("2009-12-03 09:00"), "c", "9")], DEMAND_SCHEMA)
+    write_interval(changed, root, "demand", Interval.parse("2009-12-01", "2009-12-03"))  # days 1-2 replaced
+    assert rows_of(read_partitioned(spark, root, "demand", DEMAND_SCHEMA), "shop_id") == [("S1x",), ("S2x",), ("S3",)]
+    two = read_interval(spark, root, "demand", DEMAND_SCHEMA, Interval.parse("20091202", "20091204"))
+    assert rows_of(two, "shop_id") == [("S2x",), ("S3",)]

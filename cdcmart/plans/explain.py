@@ -38,7 +38,14 @@ _NODE = re.compile(r"^[\s:+\-|]*(\*?\(\d+\)\s*)?(?P<name>[A-Za-z]+)")
 
 
 def plan_text(df: DataFrame) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan tree as ``df.explain()`` prints it."""
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    text = buf.getvalue()
+    return text.split("== Physical Plan ==", 1)[-1]
 
 
 def summary(df: DataFrame) -> dict:

@@ -59,3 +59,9 @@ def srt(rows):
 def rows_of(df, *cols):
     cols = cols or tuple(df.columns)
     return srt(tuple(r[c] for c in cols) for r in df.collect())
+
+
+def plan_of(df):
+    """The physical plan as ``df.explain()`` prints it."""
+    from cdcmart.plans.explain import plan_text
+    return plan_text(df)

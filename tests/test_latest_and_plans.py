@@ -1,7 +1,7 @@
 """Latest per key, intervals, and what the physical plans look like."""
 
 import pytest
-from conftest import SF_SMALL, retail, rows_of, ts
+from conftest import SF_SMALL, plan_of, retail, rows_of, ts
 
 from cdcmart.functions.interval import Interval, days, in_interval, parse_date
 from cdcmart.operators.latest import first_per_key, latest_per_key
@@ -10,10 +10,6 @@ from cdcmart.operators.merge import apply_changes
 from cdcmart.plans import fixtures as fx
 
 
-def plan_text(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def test_parse_both_spellings():
     assert parse_date("2009-12-01") == parse_date("20091201")
     iv = Interval.parse("2009-12-01", "20091202")
@@ -63,20 +59,20 @@ def test_hot_key_reduced_before_shuffle(spark):
     hot = stage.withColumn("id", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")))
     latest = latest_per_key(hot)
     assert latest.where("id = 0").count() == 1
-    txt = plan_text(latest)
+    txt = plan_of(latest)
     assert "WindowGroupLimit" in txt
     assert txt.index("WindowGroupLimit") < txt.rindex("Exchange") or "Partial" in txt
 
 
 def test_interval_filter_reaches_parquet_scan(spark):
     df = in_interval(fx.table(spark, SF_SMALL, "events"), Interval.day("2024-01-03"), "ts")
-    txt = df._jdf.queryExecution().executedPlan().toString()
+    txt = plan_of(df)
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in txt and "LessThan(ts," in txt
 
 
 def test_projection_prunes_columns(spark):
     df = fx.table(spark, SF_SMALL, "events").select("event_id", "ts")
-    txt = plan_text(df)
+    txt = plan_of(df)
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in txt
 
 
@@ -84,7 +80,7 @@ def test_broadcast_merge_does_not_shuffle_target(spark):
     target = fx.origin_o(spark, SF_SMALL)
     latest = latest_per_key(fx.stage_o(spark, SF_SMALL))
     out = apply_changes(target, latest, strategy="broadcast")
-    txt = out._jdf.queryExecution().executedPlan().toString()
+    txt = plan_of(out)
     assert "BroadcastHashJoin" in txt
     # the only full-row exchanges are on the change side; the target is never hash-partitioned whole
     assert "SortMergeJoin" not in txt
@@ -92,8 +88,8 @@ def test_broadcast_merge_does_not_shuffle_target(spark):
 
 def test_material_mart_one_scan_no_python(spark):
     out = material_demand(fx.demand(spark, SF_SMALL), unit="g")
-    txt = plan_text(out)
+    txt = plan_of(out)
     assert txt.count("FileScan parquet") == 2  # lineitem and part, each once
     assert "Expand" in txt  # the unpivot
     assert "Python" not in txt and "ArrowEval" not in txt
-    assert "HashAggregate" in txt and "partial" in out._jdf.queryExecution().executedPlan().toString().lower()
+    assert "HashAggregate" in txt and "partial" in plan_of(out).lower()

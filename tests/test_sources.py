@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import rows_of, ts
+from conftest import plan_of, rows_of, ts
 from pyspark.sql import functions as F
 
 from cdcmart.functions.interval import Interval
@@ -77,7 +77,7 @@ def test_write_interval_replaces_only_its_day(spark, tmp_path):
     assert rows_of(read_partitioned(spark, root, "demand", DEMAND_SCHEMA), "shop_id") == [("S2",)]
     got = read_interval(spark, root, "demand", DEMAND_SCHEMA, Interval.day("20091202"))
     assert rows_of(got, "shop_id") == [("S2",)]
-    assert "PartitionFilters" in got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan_of(got)
     assert interval_path(day1) == "2009/12"
     assert (tmp_path / "lake" / "demand" / "year=2009" / "month=12" / "ds=2009-12-02").is_dir()
 
@@ -96,7 +96,7 @@ def test_tables_lifecycle_and_defaults(spark, tmp_path):
     assert sliced.count() == 2
     assert read_table(spark, name, Interval.day("2009-12-02"), "invoicedate").count() == 0
     assert "PushedFilters: [IsNotNull(invoicedate), GreaterThanOrEqual(invoicedate" in \
-        sliced._jdf.queryExecution().executedPlan().toString()
+        plan_of(sliced)
     clear(spark, name)
     assert read_table(spark, name).count() == 0
     p = write_text(tmp_path / "seed.csv", HEADER + "\n2,b,s,d,2,2009-12-02 00:00:00,2.0,c,n,2009-12-02 00:00:00,U\n")

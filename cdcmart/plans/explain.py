@@ -74,8 +74,10 @@ def summary(df: DataFrame) -> dict:
                       or "Exchange RoundRobin" in ln or "REBALANCE" in ln],
         "broadcasts": text.count("BroadcastExchange"),
         "joins": [f"{a} {b}" for a, b in joins],
-        "partial_aggregates": len(re.findall(r"HashAggregate\(keys=[^\n]*functions=\[[^\]]*partial_", text))
-        + text.count("ObjectHashAggregate") // 2,
+        # map-side (partial) aggregates: an aggregate right below an exchange
+        "partial_aggregates": sum(
+            1 for a, b in zip(lines, lines[1:])
+            if "Exchange " in a and re.search(r"(Hash|ObjectHash|Sort)Aggregate\(", b)),
         "window_group_limit": {"partial": len(re.findall(r"WindowGroupLimit [^\n]*, Partial", text)),
                                "final": len(re.findall(r"WindowGroupLimit [^\n]*, Final", text))},
         "expand": "Expand" in nodes,

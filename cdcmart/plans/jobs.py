@@ -204,7 +204,7 @@ def run_day_bucketed(spark: SparkSession, path: str, origin: DataFrame, changes:
     staged new buckets *before* anything is replaced, so a failing day leaves
     the table as it was. Returns the touched buckets.
     """
-    from ..sources.bucketed import BUCKET, bucket_of
+    from ..sources.bucketed import BUCKET, bucket_of, stage_bucketed, swap_staged
     interval = Interval.day(ds)
     origin_day = in_interval(origin, interval, column)
     latest = latest_per_key(in_interval(changes, interval, column))
@@ -216,22 +216,14 @@ def run_day_bucketed(spark: SparkSession, path: str, origin: DataFrame, changes:
     current = table.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
     state = run_origin(current, origin, interval, column, keys)
     merged = apply_changes(state, latest, size_probe=in_interval(changes, interval, column))
-    staged = merged.withColumn(BUCKET, bucket_of("id", buckets)).hint("rebalance", BUCKET)
-    staged.write.mode("errorifexists").partitionBy(BUCKET).parquet(staging)
-    written = spark.read.schema(staged.schema).parquet(staging)
+    written = stage_bucketed(spark, merged, staging, touched, "id", buckets)
     if checks:
         whole = table.where(~F.col(BUCKET).isin(touched)).unionByName(written)
         failed = column_checks(whole, checks).where(~F.col("passed")).collect()
         if failed:
             raise ConstraintViolation(f"checks failed for {interval.ds}; table left unchanged: "
                                       + "; ".join(f"{r['column']}.{r['check']}={r['actual']}" for r in failed))
-    (written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET).parquet(path))
-    kept = {r[BUCKET] for r in written.select(BUCKET).distinct().collect()}
-    empty = spark.createDataFrame([], schema)
-    for b in touched:
-        if b not in kept:
-            empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BUCKET}={b}")
+    swap_staged(spark, path, staging, schema, touched)
     return touched
 
 

@@ -13,8 +13,9 @@ therefore
 4. replaces exactly those partitions of the live table from the staging copy
    (dynamic partition overwrite) and empties touched buckets left with no rows.
 
-A failure in step 4 leaves the staging copy complete, so the step can be rerun
-from it. Untouched buckets are neither read nor written: the cost of a day is
+The staging folder also records the touched buckets; a failure in step 4
+leaves it complete, and ``swap_staged(spark, path, staging, schema)`` finishes
+the swap from it. Untouched buckets are neither read nor written: the cost of a day is
 proportional to the touched buckets, not to the table.
 """
 
@@ -24,6 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.latest import _as_list
 from ..operators.merge import apply_changes
@@ -46,6 +48,43 @@ def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BUCKET)
 
 
+def _record_touched(spark: SparkSession, staging: str, touched: list[int]) -> None:
+    spark.range(1).select(F.array(*[F.lit(b) for b in touched]).alias("touched")) \
+        .write.mode("errorifexists").json(f"{staging.rstrip('/')}/_touched")
+
+
+def staged_touched(spark: SparkSession, staging: str) -> list[int]:
+    """The touched buckets recorded with a staged merge."""
+    return list(spark.read.json(f"{staging.rstrip('/')}/_touched").first()["touched"])
+
+
+def swap_staged(spark: SparkSession, path: str, staging: str, schema, touched: list[int] | None = None) -> None:
+    """Replace the touched buckets of the live table with the staged ones and
+    empty touched buckets the staging holds no rows for. Repeatable: if it
+    fails part-way, calling it again with the same staging folder finishes it."""
+    touched = staged_touched(spark, staging) if touched is None else touched
+    staged_schema = schema if BUCKET in schema.fieldNames() else \
+        T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType())])
+    written = spark.read.schema(staged_schema).parquet(f"{staging.rstrip('/')}/data")
+    (written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BUCKET).parquet(path))
+    kept = {r[BUCKET] for r in written.select(BUCKET).distinct().collect()}
+    empty = spark.createDataFrame([], written.drop(BUCKET).schema)
+    for b in touched:
+        if b not in kept:  # every row of the bucket was deleted
+            empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BUCKET}={b}")
+
+
+def stage_bucketed(spark: SparkSession, merged: DataFrame, staging: str, touched: list[int],
+                   keys: str | Sequence[str] = "id", buckets: int = 64) -> DataFrame:
+    """Write the merged touched buckets and the touched list to a new staging
+    folder; returns the staged rows (with their bucket column)."""
+    staged = merged.withColumn(BUCKET, bucket_of(keys, buckets)).hint("rebalance", BUCKET)
+    staged.write.mode("errorifexists").partitionBy(BUCKET).parquet(f"{staging.rstrip('/')}/data")
+    _record_touched(spark, staging, touched)
+    return spark.read.schema(staged.schema).parquet(f"{staging.rstrip('/')}/data")
+
+
 def merge_bucketed(spark: SparkSession, path: str, changes: DataFrame, staging: str,
                    keys: str | Sequence[str] = "id", buckets: int = 64, op_col: str = "operation",
                    strategy: str = "auto") -> list[int]:
@@ -59,15 +98,6 @@ def merge_bucketed(spark: SparkSession, path: str, changes: DataFrame, staging:
     table = spark.read.parquet(path)
     current = table.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
     merged = apply_changes(current, changes, keys, op_col, strategy=strategy)
-    staged = merged.withColumn(BUCKET, bucket_of(keys, buckets)).hint("rebalance", BUCKET)
-    staged.write.mode("errorifexists").partitionBy(BUCKET).parquet(staging)
-
-    written = spark.read.schema(staged.schema).parquet(staging)  # no files when all rows went
-    (written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET).parquet(path))
-    kept = {r[BUCKET] for r in written.select(BUCKET).distinct().collect()}
-    empty = spark.createDataFrame([], table.drop(BUCKET).schema)
-    for b in touched:
-        if b not in kept:  # every row of the bucket was deleted
-            empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BUCKET}={b}")
+    stage_bucketed(spark, merged, staging, touched, keys, buckets)
+    swap_staged(spark, path, staging, current.schema, touched)
     return touched

@@ -68,3 +68,17 @@ def test_bucketed_merge_reads_only_touched_buckets(spark, tmp_path):
     with contextlib.redirect_stdout(buf):
         spark.read.parquet(path).where(F.col(BUCKET).isin([1, 5])).explain("formatted")
     assert re.search(r"PartitionFilters: \[bucket#\d+ IN \(1,5\)\]", buf.getvalue())
+
+
+def test_swap_can_be_finished_from_staging(spark, tmp_path):
+    from cdcmart.schemas import RETAIL_SCHEMA
+    from cdcmart.sources.bucketed import staged_touched, swap_staged
+    target = retail(spark, [(i, f"T{i}", i, T0, T0, None) for i in range(20)])
+    changes = retail(spark, [(3, "u3", 0, T1, T1, "U"), (4, "d4", 0, T1, T1, "D"), (50, "i50", 0, T1, T1, "I")])
+    path, staging = str(tmp_path / "table"), str(tmp_path / "staging")
+    write_bucketed(target, path, "id", buckets=4)
+    touched = merge_bucketed(spark, path, changes, staging, "id", buckets=4)
+    assert staged_touched(spark, staging) == touched
+    swap_staged(spark, path, staging, RETAIL_SCHEMA)     # a repeated (recovering) swap changes nothing
+    assert "bucket" not in RETAIL_SCHEMA.fieldNames()
+    assert rows_of(read_bucketed(spark, path)) == rows_of(apply_changes(target, changes))

@@ -138,3 +138,16 @@ def test_multi_day_interval_write_and_read(spark, tmp_path):
     assert rows_of(read_partitioned(spark, root, "demand", DEMAND_SCHEMA), "shop_id") == [("S1x",), ("S2x",), ("S3",)]
     two = read_interval(spark, root, "demand", DEMAND_SCHEMA, Interval.parse("20091202", "20091204"))
     assert rows_of(two, "shop_id") == [("S2x",), ("S3",)]
+
+
+def test_parquet_lake_round_trip_and_day_replace(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    rows = [("S1", ts("2009-12-01 08:00"), "a", "1"), ("S2", ts("2009-12-02 08:00"), None, "2")]
+    df = spark.createDataFrame(rows, DEMAND_SCHEMA)
+    write_partitioned(df, root, "demand", "date", fmt="parquet")
+    redo = spark.createDataFrame([("S9", ts("2009-12-02 09:00"), "b", "7")], DEMAND_SCHEMA)
+    write_interval(redo, root, "demand", Interval.day("2009-12-02"), fmt="parquet")
+    back = read_partitioned(spark, root, "demand", DEMAND_SCHEMA, fmt="parquet")
+    assert rows_of(back, "shop_id", "product_name") == [("S1", "a"), ("S9", "b")]
+    assert rows_of(read_interval(spark, root, "demand", DEMAND_SCHEMA, Interval.day("2009-12-01"), fmt="parquet"),
+                   "shop_id") == [("S1",)]

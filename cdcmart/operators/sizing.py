@@ -1,9 +1,10 @@
 """Measured size of a DataFrame, used to decide whether a side may be broadcast.
 
 Broadcasting is only safe when the side's size is known to be bounded. The
-bound here is measured, not estimated: one aggregation pass returns the row
-count and the payload bytes (string octets + fixed widths + a per-row
-overhead). The result is a single row.
+bound here is measured, not estimated: one pass over the frame (several frames
+at once) collects the row count and the payload bytes (string octets + fixed
+widths + a per-row overhead) as observed metrics into a no-op sink, so the
+measurement is one job without a shuffle and only two numbers reach the driver.
 """
 
 from __future__ import annotations

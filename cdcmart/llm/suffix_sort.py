@@ -14,13 +14,12 @@ than their successor) or S (smaller); an S suffix after an L suffix is a seed.
 
 The queues keep a bounded number of tuples in memory and the rest on disk
 (the task's own temporary folder; the files have no name and go with the
-process). The byte level pops a whole symbol at once, as numpy arrays; the
-recursion's alphabet has no bound, so it pops tuple by tuple.
+process). The byte level pops a whole symbol at once; the recursion's alphabet
+has no bound, so it pops runs of symbols that are complete.
 """
 
 from __future__ import annotations
 
-import heapq
 import tempfile
 from collections.abc import Iterator
 
@@ -73,45 +72,27 @@ class SymbolQueue:
         return np.concatenate(parts) if parts else None
 
 
-class TupleQueue:
-    """A priority queue of (key, position): a heap, and sorted runs on disk."""
+class SlotQueue:
+    """The queue for alphabets without bound: the tuples of a symbol have a
+    fixed number of slots, filled in the order of arrival. The slots lie on
+    disk when there are more than ``in_memory``."""
 
-    def __init__(self, in_memory: int = IN_MEMORY):
-        self.heap: list[tuple[int, int]] = []
-        self.runs: list[tuple[int, int, Iterator[tuple[int, int]]]] = []
-        self.in_memory = in_memory
+    def __init__(self, symbols: np.ndarray, alphabet: int, in_memory: int):
+        self.symbol = np.sort(symbols)  # of each slot
+        self.start = np.searchsorted(self.symbol, np.arange(alphabet + 1))
+        self.head = self.start[:-1].copy()
+        size = len(symbols)
+        self.slots = (np.memmap(tempfile.TemporaryFile(), np.int64, "w+", shape=size) if size > in_memory
+                      else np.empty(size, np.int64))
 
-    def push(self, key: int, position: int) -> None:
-        heapq.heappush(self.heap, (key, position))
-        if len(self.heap) > self.in_memory:
-            rows = np.array(sorted(self.heap), np.int64)
-            file = tempfile.TemporaryFile()
-            file.write(rows.tobytes())
-            self.heap = []
-            self._advance(self._read(file, len(rows)))
-
-    @staticmethod
-    def _read(file, n: int, step: int = 4096) -> Iterator[tuple[int, int]]:
-        for lo in range(0, n, step):
-            file.seek(lo * 16)
-            yield from map(tuple, np.frombuffer(file.read(min(step, n - lo) * 16), np.int64).reshape(-1, 2).tolist())
-
-    def _advance(self, run: Iterator[tuple[int, int]]) -> None:
-        head = next(run, None)
-        if head is not None:
-            heapq.heappush(self.runs, (*head, run))
-
-    def first(self) -> int | None:
-        """The smallest key."""
-        keys = [q[0][0] for q in (self.heap, self.runs) if q]
-        return min(keys) if keys else None
-
-    def pop(self) -> tuple[int, int]:
-        if self.runs and (not self.heap or self.runs[0][0] < self.heap[0][0]):
-            key, position, run = heapq.heappop(self.runs)
-            self._advance(run)
-            return key, position
-        return heapq.heappop(self.heap)
+    def push(self, symbols: np.ndarray, positions: np.ndarray) -> None:
+        """Tuples in their order of arrival."""
+        order = np.argsort(symbols, kind="stable")
+        own = symbols[order]
+        begin = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        count = np.diff(np.append(begin, len(own)))
+        self.slots[np.repeat(self.head[own[begin]] - begin, count) + np.arange(len(own))] = positions[order]
+        self.head[own[begin]] += count
 
 
 def suffix_types(text: np.ndarray, last_smaller: bool) -> np.ndarray:
@@ -170,51 +151,73 @@ def substring_ranks(text: np.ndarray, is_s: np.ndarray, seeds: np.ndarray, bits:
     return rank
 
 
+def _induce(text: np.ndarray, takes: np.ndarray, seeds: np.ndarray, begin: int | None, in_memory: int) -> np.ndarray:
+    """Scan in the order of symbols, under each the queue's tuples and then the
+    (sorted) seeds; push what precedes a scanned suffix where ``takes`` holds.
+    The queue's suffixes in their order.
+
+    Many symbols are scanned at once: up to the first under which one of the
+    scanned suffixes pushes, as that one's tuples are not complete."""
+    alphabet = int(text.max()) + 1
+    queue = SlotQueue(text[takes], alphabet, in_memory)
+    edge = np.searchsorted(text[seeds], np.arange(alphabet + 1))
+    before = queue.start + edge
+    if begin is not None:
+        queue.push(text[[begin]], np.array([begin]))
+
+    def pushes(scanned: np.ndarray) -> np.ndarray:
+        pred = scanned[scanned > 0] - 1
+        return pred[takes[pred]]
+
+    c, wanted = 0, 512
+    while c < alphabet:
+        until = max(c + 1, int(np.searchsorted(before, before[c] + wanted, "right")) - 1)
+        slots = np.arange(queue.start[c], queue.start[until])
+        slots = slots[slots < queue.head[queue.symbol[slots]]]
+        own = seeds[edge[c]:edge[until]]
+        key = np.concatenate([queue.symbol[slots] * 2, text[own] * 2 + 1])
+        order = np.argsort(key, kind="stable")
+        key, scanned = key[order], np.concatenate([queue.slots[slots], own])[order]
+        pred = pushes(scanned)
+        if len(pred):
+            nearest = int(text[pred].min())
+            if nearest == c:  # a run of one symbol: its tuples push under the symbol itself
+                done = queue.start[c]
+                while done < queue.head[c]:
+                    upto = queue.head[c]
+                    pred = pushes(np.asarray(queue.slots[done:upto]))
+                    done = upto
+                    if len(pred):
+                        queue.push(text[pred], pred)
+                pred, until = pushes(seeds[edge[c]:edge[c + 1]]), c + 1
+            elif nearest < until:
+                until, wanted = nearest, max(64, wanted // 2)
+                pred = pushes(scanned[:np.searchsorted(key, 2 * nearest)])
+            else:
+                wanted = min(1 << 16, wanted * 2)
+            if len(pred):
+                queue.push(text[pred], pred)
+        c = until
+    return queue.slots
+
+
 def induced_order(names: np.ndarray, in_memory: int = IN_MEMORY) -> np.ndarray:
     """The sorted order of all suffixes of a string of numbers."""
     n = len(names)
     order = np.argsort(names, kind="stable")
     if n < 2 or (np.diff(names[order]) > 0).all():
         return order
-    text = np.searchsorted(names[order], names)
+    text = np.cumsum(np.append(0, np.diff(names[order]) > 0))[np.argsort(order, kind="stable")]
     is_s = suffix_types(text, False)
     seeds = seed_positions(is_s)
     if len(seeds):
-        bits = int(2 * n + 2).bit_length()
-        ranks = substring_ranks(text, is_s, seeds, bits, False)
+        ranks = substring_ranks(text, is_s, seeds, int(2 * n + 2).bit_length(), False)
         seeds = seeds[induced_order(ranks, in_memory)]
-    symbols, types, starts = text.tolist(), is_s.tolist(), seeds.tolist()
-    shift = int(n).bit_length() + 1
-    queue, rising, arrival, at = TupleQueue(in_memory), [], 0, 0
-    queue.push(symbols[n - 1] << shift, n - 1)
-    while True:
-        first = queue.first()
-        if first is not None and (at == len(starts) or first >> shift <= symbols[starts[at]]):
-            p = queue.pop()[1]
-            rising.append(p)
-        elif at < len(starts):
-            p = starts[at]
-            at += 1
-        else:
-            break
-        if p and not types[p - 1]:
-            arrival += 1
-            queue.push(symbols[p - 1] << shift | arrival, p - 1)
-    queue, falling, arrival, at = TupleQueue(in_memory), [], 0, len(rising) - 1
-    while True:
-        first = queue.first()
-        if first is not None and (at < 0 or n - (first >> shift) >= symbols[rising[at]]):
-            p = queue.pop()[1]
-        elif at >= 0:
-            p = rising[at]
-            at -= 1
-        else:
-            break
-        falling.append(p)
-        if p and types[p - 1]:
-            arrival += 1
-            queue.push((n - symbols[p - 1]) << shift | arrival, p - 1)
-    return np.array(falling[::-1], np.int64)
+    rising = _induce(text, ~is_s, seeds, n - 1, in_memory)
+    falling = _induce(text.max() - text, is_s, np.asarray(rising[::-1]), None, in_memory)
+    both = np.concatenate([rising, falling[::-1]])
+    smaller = np.append(np.zeros(len(rising), np.int64), np.ones(len(falling), np.int64))
+    return both[np.argsort(text[both] * 2 + smaller, kind="stable")]
 
 
 class _Inducer:

@@ -143,6 +143,33 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
     return LanguageModel(names, logits, bias, float(best), threshold)
 
 
+def _judge(model: LanguageModel | None, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score and rejection of each text of an Arrow column."""
+    data, offsets = utf8(texts)
+    letters = np.concatenate([[0], np.cumsum((_FOLD[data] >= 97) & (_FOLD[data] <= 122))])
+    has = letters[offsets[1:]] > letters[offsets[:-1]]
+    for i in np.flatnonzero(~has & (np.diff(offsets) > 0)):
+        has[i] = any(c.isalpha() for c in data[offsets[i]:offsets[i + 1]].tobytes().decode("utf-8", "replace"))
+    if model is None or not len(has):
+        return np.full(len(has), UNDETERMINED, object), np.zeros(len(has)), np.ones(len(has), bool)
+    p = model.scores(data, offsets)
+    best = p.argmax(axis=1)
+    score = np.where(has, p[np.arange(len(p)), best], 0.0)
+    names = np.where(has, np.array(model.languages, object)[best], UNDETERMINED)
+    return names, score, ~has | (score < model.threshold)
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``identify`` does not
+    reject. Without a model every row goes."""
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(~_judge(model, batch.column(at))[2]))
+
+    at = docs.columns.index(text_col)
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def identify(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score, rejected per row of ``docs``, from the text alone.
 
@@ -156,21 +183,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column("text"))
-            letters = np.concatenate([[0], np.cumsum((_FOLD[data] >= 97) & (_FOLD[data] <= 122))])
-            has = letters[offsets[1:]] > letters[offsets[:-1]]
-            for i in np.flatnonzero(~has & (np.diff(offsets) > 0)):
-                has[i] = any(c.isalpha() for c in data[offsets[i]:offsets[i + 1]].tobytes().decode("utf-8", "replace"))
-            names, score = np.full(len(has), UNDETERMINED, object), np.zeros(len(has))
-            rejected = ~has
-            if model is not None and len(has):
-                p = model.scores(data, offsets)
-                best = p.argmax(axis=1)
-                score = np.where(has, p[np.arange(len(p)), best], 0.0)
-                names = np.where(has, np.array(model.languages, object)[best], UNDETERMINED)
-                rejected = ~has | (score < model.threshold)
-            else:
-                rejected = np.ones(len(has), bool)
+            names, score, rejected = _judge(model, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(score, pa.float64()),
                  pa.array(rejected, pa.bool_())], ["doc_id", "lang_pred", "score", "rejected"])

@@ -3,13 +3,14 @@ its production parameters, to the whole of its table."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,7 +21,11 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 def register(name: str, sql: str | None = None):
     def keep(function):
-        QUERIES[name] = function
+        @functools.wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return function(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return function
@@ -46,6 +51,13 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), length=50)
 
 
+@register("op2_sampled_segmentations")
+def op2_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two different sampled segmentations of every document, with inclusion scores."""
+    from .sampling import sample_segmentations
+    return sample_segmentations(_table(spark, sf_dir, "documents"), PIECES, k=2, with_ids=False)
+
+
 @register("op3_merkle_fingerprints")
 def op3_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle fingerprints of every text, of its edited text, and how alike they are."""
@@ -53,7 +65,22 @@ def op3_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edited(_table(spark, sf_dir, "documents"))
 
 
-@register("op4_minhash_near_dedup")
+@register("op4_minhash_near_dedup", """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] ELSE list_distinct(
+        [array_to_string(ws[i:i + 4], ' ') for i in range(1, greatest(len(ws) - 4, 1) + 1)]) END AS sh FROM w),
+n AS (SELECT doc_id, CAST(len(sh) AS BIGINT) AS n FROM s),
+e AS (SELECT doc_id, unnest(sh) AS x FROM s),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+pair AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(a, b) AS (SELECT a, b FROM pair UNION SELECT r.a, k.b FROM reach r JOIN pair k ON r.b = k.a),
+least AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(least.m, n.doc_id)) AS component_id,
+       least(n.doc_id, coalesce(least.m, n.doc_id)) = n.doc_id AS kept
+FROM n LEFT JOIN least ON least.a = n.doc_id""")
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets are 85 % alike."""
     from .minhash import near_duplicates
@@ -82,6 +109,36 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+@register("op7_exact_top_k", """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[]) AS BIGINT) AS score
+           FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10""")
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest inner products of every hundredth vector with all others."""
+    from .topk import exact_top_k
+    return exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@register("op8_warc_bundles", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+     d AS (SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+     f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
+FROM f""")
+def op8_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record into seekable bundles and read back."""
+    from .warc import read_records, write_bundles
+    folder = scratch_path(spark, "warc")
+    index = write_bundles(_table(spark, sf_dir, "pages"), folder)
+    return read_records(index, folder).drop("url")
+
+
 @register("op9_length_buckets")
 def op9_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bucket, batch and padding of every document, by its number of words."""

@@ -326,7 +326,7 @@ class _Deduper:
             "n_removed": pa.array(sums[offsets[1:]] - sums[offsets[:-1]]),
             "n_spans": pa.array(np.diff(first_span)), "kept_sha256": pa.array(digests, pa.string())}
         if "carried" in docs.column_names:
-            columns |= {"spans": spans, "kept": pa.array(kept, pa.binary()), "carried": docs.column("carried")}
+            columns |= {"spans": spans, "kept_text": pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()), "carried": docs.column("carried")}
         return pa.table(columns)
 
 
@@ -334,7 +334,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                    carry: list[str] | None = None, in_memory: int = 1 << 20) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 per row of ``docs``; with
     ``carry`` (columns to pass through in the struct ``carried``) also spans (the
-    removed byte ranges) and kept (the remaining bytes).
+    removed byte ranges) and kept_text (the remaining bytes as text, without code
+    points that were cut in half).
 
     A byte goes if a string of ``length`` bytes that covers it also starts in a
     row with a smaller doc_id; matches never cross rows, and strings are judged
@@ -364,5 +365,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     out = T.StructType().add("doc_id", "long").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long") \
         .add("kept_sha256", "string")
     if carry is not None:
-        out = out.add("spans", "array<struct<start:long,end:long>>").add("kept", "binary").add(rows.schema["carried"])
+        out = out.add("spans", T.ArrayType(T.StructType().add("start", "long").add("end", "long"))).add("kept_text", "string").add(rows.schema["carried"])
     return by_block.cogroup(shared.unionByName(firsts).groupBy("block")).applyInArrow(_on_pair(step.cut), out)

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -56,6 +57,24 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from wherever they run: it is
+    zipped once per application and handed to Spark's own file distribution."""
+    sc = spark.sparkContext
+    if getattr(sc, "_cdcmart_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="cdcmart-package-"), "cdcmart_package.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._cdcmart_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared folder (never reused)."""
     root = shared_dir(spark).rstrip("/")

@@ -10,11 +10,15 @@
    every other node. The pairs are confirmed on the full shingle sets.
 4. A node left outside the largest component of one of its buckets meets the
    nodes of that bucket's other components too, so no bucketed pair between
-   two components goes unchecked.
+   two components goes unchecked. Such a pair comes out of the join only if
+   the odd sketches of both sets differ in no more bits than linked sets may
+   differ in shingles.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +33,7 @@ WORDS = 5
 BANDS, ROWS = 25, 4
 #: sets up to this size get exact keys besides the bands (see ``band_keys``)
 SMALL = 13
+SKETCH_LONGS = 32
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
 _STEP = [np.uint64(pow(0xD1342543DE82EF95, i, 1 << 64)) for i in range(WORDS)]
@@ -98,11 +103,20 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
     keys = mix((bands * _BAND_STEP).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * _SHORT)
     if len(hashes) <= SMALL + 1:
         each = mix(hashes)
-        total = each.sum(dtype=np.uint64)
-        keys = np.concatenate([keys, mix(np.append(total - each, total) ^ _DROPPED)])
+        total = each.sum(dtype=np.uint64, keepdims=True)
+        less = total - each if len(hashes) > 1 else each[:0]  # the empty set is no key
+        keys = np.concatenate([keys, mix(np.concatenate([less, total]) ^ _DROPPED)])
     return np.unique(keys)
 
 
+def odd_sketch(hashes: np.ndarray) -> np.ndarray:
+    """2048 bits, each the parity of the shingles that fall on it. As one
+    shingle flips one bit, two sketches differ in at most as many bits as the
+    sets differ in shingles."""
+    bits = np.bincount(((hashes * _BAND_STEP[0]) >> np.uint64(53)).astype(np.int64), minlength=64 * SKETCH_LONGS) & 1
+    return np.packbits(bits.astype(bool)).view(np.uint64)
+
+
 def _as_lists(parts: list[np.ndarray]) -> pa.Array:
     sizes = np.fromiter((len(p) for p in parts), np.int64, len(parts))
     flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
@@ -123,8 +137,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
              pa.array([_identity(s) for s in sets], pa.int64()),
-             _as_lists([band_keys(s) if len(s) else none for s in sets])],
-            ["doc_id", "n", "node", "keys"])
+             _as_lists([band_keys(s) if len(s) else none for s in sets]),
+             _as_lists([odd_sketch(s) if len(s) else none for s in sets])],
+            ["doc_id", "n", "node", "keys", "sketch"])
 
 
 def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,10 +162,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     empty table gives an empty result; other columns are ignored.
     """
     rows = text_rows(docs, id_col, text_col)
-    sketches = scratch_table(rows.mapInArrow(_sketch, "doc_id long, n long, node long, keys array<long>"), "sketches")
+    sketches = scratch_table(rows.mapInArrow(_sketch, "doc_id long, n long, node long, keys array<long>, sketch array<long>"), "sketches")
     nodes = scratch_table(
         sketches.where("n > 0 AND doc_id IS NOT NULL").groupBy("node")
-        .agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("keys").alias("keys")), "nodes")
+        .agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("keys").alias("keys"),
+             F.first("sketch").alias("sketch")), "nodes")
     keyed = nodes.select(F.explode("keys").alias("key"), "node", "doc", "n")
     centres = scratch_table(
         keyed.groupBy("key").agg(F.min(F.struct("doc", "node", "n")).alias("c"), F.count("*").alias("size"))
@@ -178,15 +194,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     several = scratch_table(
         parts.groupBy("key").agg(F.max(F.struct("size", "part")).alias("m"), F.count("*").alias("parts"))
         .where("parts > 1").select("key", F.col("m.part").alias("largest")), "several")
-    open_rows = placed.join(several, "key")
-    apart = scratch_table(open_rows, "apart")
-    left = apart.where("part != largest").select("key", "node", "n", "part")
-    right = apart.select("key", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("part").alias("other_part"))
-    pairs = (left.join(right, "key").where("part != other_part").where(close)
-             .select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other"), "key",
-                     F.least("n", "other_n").alias("n"))
-             .groupBy("node", "other").agg(F.countDistinct("key").alias("shared"), F.first("n").alias("n"))
-             .where(f"shared > 1 OR n <= {SMALL}").select("node", "other"))
+    apart = scratch_table(placed.join(several, "key").join(nodes.select("node", "sketch"), "node"), "apart")
+    left = apart.where("part != largest").select("key", "node", "n", "part", "sketch")
+    right = apart.select("key", F.col("node").alias("other"), F.col("n").alias("other_n"),
+                         F.col("part").alias("other_part"), F.col("sketch").alias("other_sketch"))
+    differing = functools.reduce(operator.add, (F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("other_sketch")[i]))
+                                                for i in range(SKETCH_LONGS)))
+    # a link allows at most so many differing shingles, so the bound drops no link
+    possible = differing * (100 + percent) <= (F.col("n") + F.col("other_n")) * (100 - percent)
+    pairs = (left.join(right, (left["key"] == right["key"]) & (F.col("part") != F.col("other_part")) & F.expr(close) & possible)
+             .select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other")).distinct())
     more = _confirmed(pairs, sets, percent)
     joined = connected_components(links.unionByName(more), "node", "other")
 

@@ -59,6 +59,14 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut into parts of at most so many rows, for kernels that
+    hold several numbers per byte."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def row_chunks(offsets: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Runs of rows of about ``most`` bytes; a longer row is a chunk of its own."""
     n, lo = len(offsets) - 1, 0

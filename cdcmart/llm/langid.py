@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import row_chunks, utf8
+from .common import row_chunks, slices, utf8
 
 SIZES = (2, 3, 4)          # bytes of a subword
 BUCKETS = 1 << 15
@@ -163,7 +163,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel | None, text_col: str
     """The rows of ``docs``, with all their columns, that ``identify`` does not
     reject. Without a model every row goes."""
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array(~_judge(model, batch.column(at))[2]))
 
     at = docs.columns.index(text_col)
@@ -182,7 +182,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             names, score, rejected = _judge(model, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(score, pa.float64()),

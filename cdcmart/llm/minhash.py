@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, mix, row_chunks, running_hash, scratch_table, span_hash, text_rows, utf8
+from .common import CHUNK_BYTES, mix, row_chunks, running_hash, scratch_table, slices, span_hash, text_rows, utf8
 from .components import connected_components
 
 WORDS = 5
@@ -132,7 +132,7 @@ def _identity(s: np.ndarray) -> int:
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     none = np.zeros(0, np.uint64)
-    for batch in batches:
+    for batch in slices(batches):
         sets = shingle_sets(*utf8(batch.column("text")))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
@@ -143,7 +143,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         sets = shingle_sets(*utf8(batch.column("text")))
         yield pa.RecordBatch.from_arrays(
             [pa.array([_identity(s) for s in sets], pa.int64()), _as_lists(sets)], ["node", "shingles"])

@@ -88,6 +88,9 @@ def interval_predicate(df: DataFrame, column: str, interval: Interval) -> Column
     """``start <= column < end`` typed like the column."""
     data_type = df.schema[column].dataType
     c = F.col(column)
+    if isinstance(data_type, T.StringType):  # dates as text, with or without a time, compare as times
+        data_type = T.TimestampNTZType()
+        c = c.cast(data_type)
     return (c >= bound_literal(interval.start, data_type)) & (c < bound_literal(interval.end, data_type))
 
 

@@ -34,14 +34,21 @@ RECIPES = {
 }
 
 DEMAND_DECIMAL = T.DecimalType(18, 4)
+_WIDE = T.DecimalType(38, 18)
 GRAMS_DECIMAL = T.DecimalType(38, 4)
 
 
 def demand_number(demand: str | Column = "demand", strict: bool = True) -> Column:
-    """Demand text -> decimal(18,4). ``strict`` raises on bad text (ANSI cast);
-    otherwise bad text becomes NULL."""
+    """Demand text -> decimal(18,4). A text that is no number, or that does not
+    fit four decimals exactly, is bad: ``strict`` raises on it whatever the
+    session's ANSI setting, otherwise it becomes NULL."""
     c = F.col(demand) if isinstance(demand, str) else demand
-    return c.cast(DEMAND_DECIMAL) if strict else c.try_cast(DEMAND_DECIMAL)
+    number = c.try_cast(DEMAND_DECIMAL)
+    exact = F.when(number == c.try_cast(_WIDE), number)
+    if not strict:
+        return exact
+    return F.when(c.isNull(), F.lit(None)).otherwise(F.coalesce(exact, F.raise_error(
+        F.concat(F.lit("not an exact demand: "), c.cast("string"))).cast(DEMAND_DECIMAL)))
 
 
 def _grams(tier: Column, amount: Column, recipe: str, index: int) -> Column:
@@ -76,4 +83,4 @@ def expand_materials(df: DataFrame, recipe: str = "sql", strict: bool = True,
 
 def demand_rejects(df: DataFrame, demand: str = "demand") -> DataFrame:
     """Rows whose demand text is present but is not a number."""
-    return df.where(F.col(demand).isNotNull() & F.col(demand).try_cast(DEMAND_DECIMAL).isNull())
+    return df.where(F.col(demand).isNotNull() & demand_number(demand, strict=False).isNull())

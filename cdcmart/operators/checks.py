@@ -86,6 +86,8 @@ def _flatten(mapping: Mapping[str, Mapping[str, Mapping[str, float]]]):
     for column, checks in mapping.items():
         for check, spec in checks.items():
             tolerance = spec.get("tolerance")
+            if spec.get("partition_clause") is not None:
+                raise ValueError(f"check {column}.{check}: use ``where`` to filter rows, not partition_clause")
             comparators = [k for k in spec if k not in ("tolerance", "partition_clause")]
             if not comparators:
                 raise ValueError(f"check {column}.{check} has no comparator")

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..functions.interval import Interval, in_interval
 from ..schemas import OP_DELETE, OP_INSERT, OP_UPDATE
-from ..session import shared_dir
+from ..session import scratch_path
 from .keys import require_key
 from .latest import _as_list, latest_per_key
 from .sizing import fits_broadcast
@@ -63,20 +63,21 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: str | Sequence[st
                   broadcast_limit_bytes: int | None = None,
                   upsert_unmatched_updates: bool = False,
                   size_probe: DataFrame | None = None,
-                  materialize: bool | None = None) -> DataFrame:
+                  materialize: bool = True) -> DataFrame:
     """Merge ``changes`` (one row per key) into ``target``.
 
     The output has ``target``'s columns in ``target``'s order. When ``target``
     has no ``op_col`` (the 10-column form) the operation is not stored.
-    ``size_probe`` is an upper bound of the U/D change set used for the
-    ``auto`` size check (e.g. the change slice before latest-per-key); by
-    default the U/D changes themselves are measured.
+    Two change rows for one key raise, as a database's MERGE does; NULL keys
+    never match. Each side is broadcast only when that side's own measured
+    size fits, so a first load (nearly all inserts) broadcasts no keys.
     ``upsert_unmatched_updates`` also inserts unmatched 'U' changes (off: the
     reference behaviour drops them).
-    ``materialize``: the change set feeds two joins; when it is large (the
-    shuffle plan, or ``True``) it is computed once and written as a reliable
-    checkpoint in the session's checkpoint folder, keeping its key
-    partitioning. A small (broadcast) change set is simply recomputed.
+    ``materialize``: the change set feeds two joins, so it is computed once
+    and written as Parquet in the shared folder; all uses then see the same
+    row of tied changes. With ``False`` the caller vouches for a change set
+    that is one row per key and the same at every evaluation (``size_probe``
+    may then bound its U/D size).
     """
     keys = _as_list(keys)
     cols = target.columns
@@ -85,14 +86,14 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: str | Sequence[st
     if missing:
         raise ValueError(f"changes lack target columns {missing}")
     op = F.col(op_col)
-    probe = size_probe if size_probe is not None else changes
-    plan = _pick_strategy(strategy, probe.where(op.isin(OP_UPDATE, OP_DELETE)), broadcast_limit_bytes)
-    if materialize is None:
-        materialize = plan == "shuffle"
     if materialize:
-        shared_dir(changes.sparkSession)
-        changes = changes.checkpoint(eager=True)
+        spark, path = changes.sparkSession, scratch_path(changes.sparkSession, "changes")
+        changes.write.parquet(path)
+        changes = spark.read.schema(changes.schema).parquet(path)
+        require_key(changes, keys, allow_null=True)
     touching = changes.where(op.isin(OP_UPDATE, OP_DELETE))
+    plan = _pick_strategy(strategy, touching if materialize or size_probe is None
+                          else size_probe.where(op.isin(OP_UPDATE, OP_DELETE)), broadcast_limit_bytes)
 
     right = touching.select(*keys, op.alias(_OP), *[F.col(v).alias(_NEW + v) for v in values])
     right = right.withColumn(_M, F.lit(True))
@@ -108,7 +109,7 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: str | Sequence[st
     insert_ops = [OP_INSERT, OP_UPDATE] if upsert_unmatched_updates else [OP_INSERT]
     candidates = changes.where(op.isin(*insert_ops))
     target_keys = target.select(*keys)
-    if plan == "broadcast":
+    if fits_broadcast(candidates.select(*keys), broadcast_limit_bytes):
         target_keys = target_keys.join(F.broadcast(candidates.select(*keys)), keys, "left_semi")
     target_keys = target_keys.distinct()
     inserted = candidates.join(target_keys, keys, "left_anti").select(*cols)
@@ -190,6 +191,9 @@ def upsert(target: DataFrame, source: DataFrame,
     against a large mart: the mart is then never shuffled).
     """
     keys = list(keys)
+    spark, path = source.sparkSession, scratch_path(source.sparkSession, "upsert")
+    source.write.parquet(path)  # computed once: it is checked, measured, joined and added
+    source = spark.read.schema(source.schema).parquet(path)
     if check:
         require_key(source, keys, allow_null=True)
     source_keys = source.select(*keys)

@@ -9,6 +9,7 @@ and sets a scratch folder only when none is configured (local runs, tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -44,7 +45,8 @@ def shared_dir(spark: SparkSession) -> str:
 
     Reads the session's checkpoint directory (``spark.checkpoint.dir`` or one
     set on the context). Only when neither is set, as in local tests, a fresh
-    scratch folder is created and registered as the checkpoint directory.
+    scratch folder is created and registered as the checkpoint directory; any
+    other master needs the setting.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +54,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", getattr(sc, "master", "local")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="cdcmart-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

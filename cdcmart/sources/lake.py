@@ -66,9 +66,8 @@ def write_interval(df: DataFrame, root: str, dataset: str, interval: Interval,
                    column: str = "date", fmt: str = "csv", header: bool = True) -> None:
     """Write the rows of ``df`` inside ``interval`` and replace those days.
 
-    A one-day interval is written straight into its day folder, so a rerun
-    replaces the day even when it now has no rows. Longer intervals replace
-    every day that has rows.
+    Every day of the interval is replaced, also one that now has no rows: after
+    the write, day folders of the interval without rows are overwritten empty.
     """
     sliced = in_interval(df, interval, column)
     if interval.end.toordinal() - interval.start.toordinal() == 1:
@@ -77,7 +76,12 @@ def write_interval(df: DataFrame, root: str, dataset: str, interval: Interval,
         (_writer(sliced.hint("rebalance"), fmt, header).mode("overwrite")
             .save(partition_path(root, dataset, interval.start)))
     else:
+        written = {r["d"] for r in sliced.select(F.to_date(F.col(column)).alias("d")).distinct().collect()}
         write_partitioned(sliced, root, dataset, column, fmt, header)
+        for day in interval.days():  # a day each: the driver holds the interval's days only
+            if day.start not in written:
+                (_writer(sliced.limit(0), fmt, header).mode("overwrite")
+                    .save(partition_path(root, dataset, day.start)))
 
 
 def read_partitioned(spark: SparkSession, root: str, dataset: str, schema: T.StructType,

@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +31,10 @@ _RECORD = T.StructType([
 ])
 
 
+def _stamp() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
+
+
 class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -42,13 +47,15 @@ class SnapshotStore:
     def _records(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(_RECORD).json(self.published_path)
-        except Exception:  # nothing published yet
-            return None
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise  # an unreadable store is not an empty one
+            return None  # nothing published yet
 
     def stage(self, df: DataFrame, ds: DateLike) -> str:
         """Write the snapshot of ``ds`` into a new run folder (not yet visible)."""
         day = parse_date(ds).isoformat()
-        run = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
+        run = _stamp()
         path = f"{self.root}/ds={day}/run={run}"
         df.write.mode("errorifexists").parquet(path)
         return path
@@ -56,7 +63,7 @@ class SnapshotStore:
     def publish(self, ds: DateLike, path: str) -> None:
         """Make a staged folder the snapshot of ``ds`` (one small record)."""
         day = parse_date(ds).isoformat()
-        run = path.rstrip("/").rsplit("run=", 1)[-1]
+        run = _stamp()  # of this publication: a folder published again becomes the newest
         record = self.spark.range(1).select(F.lit(day).alias("ds"), F.lit(path).alias("path"),
                                             F.lit(run).alias("run"))
         record.write.mode("append").json(self.published_path)

@@ -6,15 +6,13 @@ import os
 import pytest
 from conftest import ROOT, SF_SMALL
 
+from cdcmart.plans import catalog
 from oracle import compare, duck
 
 spec = importlib.util.spec_from_file_location("spark_entry", os.path.join(ROOT, "__spark_entry__.py"))
 entry_mod = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry_mod)
 
-# Queries that write a lake or replay every day: run them only when asked.
-SLOW = {"csv_round_trip", "interval_overwrite", "replay_state"}
-
 
 def test_entry_runs(spark):
     df = entry_mod.entry(spark)
@@ -32,10 +30,8 @@ def con():
     return duck(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
-    if name in SLOW and not os.environ.get("CDCMART_SLOW"):
-        pytest.skip("slow query; set CDCMART_SLOW=1")
     df = entry_mod.queries()[name](spark, SF_SMALL)
     ok, msg = compare(df, con, entry_mod.oracle_sql()[name])
     assert ok, msg

@@ -1,5 +1,5 @@
 """Every registered query plans without cross / nested-loop joins and without
-Python evaluation (the slow lake/replay queries are covered by their parts)."""
+Python evaluation."""
 
 import importlib.util
 import os
@@ -7,16 +7,17 @@ import os
 import pytest
 from conftest import ROOT, SF_SMALL, plan_of
 
+from cdcmart.plans import catalog
+
 spec = importlib.util.spec_from_file_location("spark_entry_plans", os.path.join(ROOT, "__spark_entry__.py"))
 entry_mod = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry_mod)
 
-SLOW = {"csv_round_trip", "interval_overwrite", "replay_state"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas")
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_mod.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_plan_has_no_cross_join_or_python(spark, name):
     plan = plan_of(entry_mod.queries()[name](spark, SF_SMALL))
     assert not [f for f in FORBIDDEN if f in plan], plan

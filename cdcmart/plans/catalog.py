@@ -481,7 +481,7 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = SnapshotStore(spark, f"{root}/state")
     store.write(fx.origin_o(spark, sf_dir), "1900-01-01")
     fx.stage_o(spark, sf_dir).write.parquet(f"{root}/changes")
-    merge_stream(spark, f"{root}/changes", store)
+    merge_stream(spark, f"{root}/changes", store, per_day=False)  # the whole feed as one slice
     return spark.read.parquet(store.newest()[1])
 
 

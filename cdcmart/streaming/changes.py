@@ -1,9 +1,10 @@
 """The change merge driven by a stream of change files.
 
 ``readStream`` picks up new change files as they land; every micro-batch is
-one slice: its latest change per key is merged into the newest published
-snapshot, the configured checks are observed during the snapshot write, and
-the snapshot is published only when they pass.
+folded day by day into the newest published snapshot (each day's latest change
+per key, in the order of days), so the result does not depend on how many days
+or files one batch holds. The configured checks are observed during the
+snapshot write, and the snapshot is published only when they pass.
 
 Re-running a micro-batch after a failure is safe: the merge of one slice is
 idempotent (an update or delete applied twice equals once, and an 'I' for a
@@ -13,12 +14,14 @@ the source offsets in the shared folder.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.catchup import catch_up
 from ..operators.checks import ObservedChecks
 from ..operators.keys import ConstraintViolation
 from ..operators.latest import latest_per_key
@@ -28,16 +31,22 @@ from ..sources.snapshots import SnapshotStore
 
 
 def merge_batch(store: SnapshotStore, batch: DataFrame, schema: T.StructType = RETAIL_SCHEMA,
-                column: str = "invoicedate", checks: Mapping | None = RETAIL_CHECKS) -> str | None:
-    """Merge one slice of changes into the newest snapshot and publish it
-    under the slice's last day. Returns the snapshot folder (None if empty)."""
+                column: str = "invoicedate", checks: Mapping | None = RETAIL_CHECKS,
+                per_day: bool = True) -> str | None:
+    """Merge the changes of a batch into the newest snapshot and publish it
+    under their last day. Returns the snapshot folder (None if empty).
+    ``per_day=False`` takes the batch as one slice: its latest change per key,
+    whatever its day."""
     spark = store.spark
-    day = batch.agg(F.max(F.to_date(F.col(column))).alias("d")).first()["d"]
+    first, day = batch.agg(F.min(F.to_date(F.col(column))), F.max(F.to_date(F.col(column)))).first()
     if day is None:
         return None
     newest = store.newest()
     state = spark.read.schema(schema).parquet(newest[1]) if newest else spark.createDataFrame([], schema)
-    merged = apply_changes(state, latest_per_key(batch), size_probe=batch)
+    if per_day:
+        merged = catch_up(state.where("false"), batch, first, day + dt.timedelta(days=1), column, initial=state)
+    else:
+        merged = apply_changes(state, latest_per_key(batch))
     observed = ObservedChecks(merged, checks) if checks else None
     path = store.stage(observed.df if observed else merged, day)
     if observed and observed.failures():
@@ -49,7 +58,7 @@ def merge_batch(store: SnapshotStore, batch: DataFrame, schema: T.StructType = R
 def merge_stream(spark: SparkSession, changes_path: str, store: SnapshotStore,
                  schema: T.StructType = RETAIL_SCHEMA, fmt: str = "parquet",
                  files_per_batch: int | None = None, checkpoint: str | None = None,
-                 checks: Mapping | None = RETAIL_CHECKS, available_now: bool = True):
+                 checks: Mapping | None = RETAIL_CHECKS, available_now: bool = True, per_day: bool = True):
     """Start (and, with ``available_now``, finish) the streaming merge of the
     change files under ``changes_path``. Returns the ``StreamingQuery``."""
     reader = spark.readStream.schema(schema).format(fmt)
@@ -58,7 +67,7 @@ def merge_stream(spark: SparkSession, changes_path: str, store: SnapshotStore,
     stream = reader.load(changes_path)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(store, batch, schema, checks=checks)
+        merge_batch(store, batch, schema, checks=checks, per_day=per_day)
 
     writer = (stream.writeStream.foreachBatch(each)
               .option("checkpointLocation", checkpoint or f"{store.root}/_stream_checkpoint"))

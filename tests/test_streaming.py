@@ -45,3 +45,17 @@ def test_stream_restart_processes_only_new_files(spark, tmp_path):
     assert spark.read.json(store.published_path).count() == published + 1
     expect = catch_up(initial.where("false"), changes, "2024-01-01", "2024-01-04", initial=initial)
     assert rows_of(spark.read.parquet(store.newest()[1])) == rows_of(expect)
+
+
+def test_batch_size_does_not_matter(spark, tmp_path):
+    rows = [(9, "new", 1, ts("2024-01-01 10:00"), ts("2024-01-01 10:00"), "I"),
+            (9, "upd", 2, ts("2024-01-02 10:00"), ts("2024-01-02 10:00"), "U")]
+    src = str(tmp_path / "changes")
+    for row in rows:
+        retail(spark, [row]).coalesce(1).write.mode("append").parquet(src)
+    states = []
+    for n, files in enumerate((1, None)):
+        store = SnapshotStore(spark, str(tmp_path / f"state{n}"))
+        merge_stream(spark, src, store, files_per_batch=files)
+        states.append(rows_of(spark.read.parquet(store.newest()[1]), "id", "invoice"))
+    assert states == [[(9, "upd")], [(9, "upd")]]

@@ -21,13 +21,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.recipes import GRAMS_DECIMAL, MATERIALS, material_columns
+from ..session import scratch_path
 
 _RANK = "__cdcmart_material_rank"
+_PLACE = "__cdcmart_place"
 KG_DECIMAL = T.DecimalType(38, 7)
 
 
@@ -78,3 +80,19 @@ def ordered(df: DataFrame, name_col: str = "raw_material") -> DataFrame:
     """Material-major order (the melt order): material, then date, then shop."""
     rank = F.array_position(F.array(*[F.lit(m) for m in MATERIALS]), F.col(name_col))
     return df.withColumn(_RANK, rank).orderBy(_RANK, "date", "shop_id").drop(_RANK)
+
+
+def with_position(df: DataFrame, name: str = "position") -> DataFrame:
+    """``df`` (a sorted frame) with each row's place in the order, from 1.
+
+    The rows are written once with their number inside their partition; only
+    the row counts of the partitions are added up over the whole, so no task
+    holds more than its own rows."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "sorted")
+    df.withColumn(_PLACE, F.monotonically_increasing_id()).write.parquet(path)
+    part = F.shiftright(_PLACE, 33).alias("__part")
+    numbered = spark.read.parquet(path).withColumn("__part", part)
+    sizes = numbered.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = sizes.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
+    place = F.col("__before") + F.col(_PLACE).bitwiseAND((1 << 33) - 1) + 1
+    return numbered.join(before, "__part").select(*[F.col(c) for c in df.columns], place.alias(name))

@@ -42,10 +42,12 @@ def register(name: str, oracle: str | None = None):
 
 
 def queries() -> dict[str, Query]:
+    from . import catalog_tables  # noqa: F401  (registers the table and file queries)
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import catalog_tables  # noqa: F401
     return dict(_ORACLES)
 
 
@@ -99,12 +101,8 @@ def latest_change_per_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(fx.stage_o(spark, sf_dir), "id", "last_updated")
 
 
-_FIRST_VALUES = ",\n  ".join(f"first_value({c}) OVER w AS {c}" for c in RETAIL_COLUMNS[1:])
-
-
 @register("first_value_distinct", with_fixtures("stage_o")
-          + f"\nSELECT DISTINCT id,\n  {_FIRST_VALUES}\nFROM stage_o\n"
-            "WINDOW w AS (PARTITION BY id ORDER BY last_updated DESC NULLS FIRST)")
+          + "\nSELECT unnest(arg_max(change, change.last_updated)) FROM stage_o AS change GROUP BY change.id")
 def first_value_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The literal first_value-over-window + DISTINCT form."""
     return first_per_key(fx.stage_o(spark, sf_dir), "id", "last_updated")
@@ -181,23 +179,23 @@ def append_interval_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- recipes
 
-_D = "CAST(demand AS DECIMAL(18,4))"
-# Oracle texts written out by hand, in the two forms the recipes come in.
-_RECIPE_SQL = {
-    "sql": f"""CASE WHEN product_name = 'cheap' THEN {_D} * 20 WHEN product_name = 'medium' THEN {_D} * 10
-       ELSE 0 END AS local_arabica,
-  CASE WHEN product_name = 'cheap' THEN 0 WHEN product_name = 'medium' THEN {_D} * 10
-       ELSE {_D} * 10 END AS foreign_arabica,
-  CASE WHEN product_name = 'cheap' THEN 0 WHEN product_name = 'medium' THEN 0
-       ELSE {_D} * 10 END AS robusta""",
-    "frame": f"""CASE WHEN product_name = 'expensive' THEN 0 WHEN product_name = 'cheap' THEN 20 * {_D}
-       ELSE 10 * {_D} END AS local_arabica,
-  CASE WHEN product_name = 'cheap' THEN 0 WHEN product_name IN ('medium', 'expensive') THEN 10 * {_D}
-       ELSE 0 END AS foreign_arabica,
-  CASE WHEN product_name IN ('cheap', 'medium') THEN 0 ELSE 10 * {_D} END AS robusta""",
+# Grams a unit of demand takes of local arabica, foreign arabica
+# and robusta, by tier; the last line is every other tier and none.
+_GRAMS_A_UNIT = {
+    "sql": (["('cheap', 20, 0, 0)", "('medium', 10, 10, 0)"], (0, 10, 10)),
+    "frame": (["('cheap', 20, 0, 0)", "('medium', 10, 10, 0)", "('expensive', 0, 10, 10)"], (10, 0, 10)),
 }
 
 
+def _amounts_sql(recipe: str, name: str = "amounts", where: str = "") -> str:
+    """CTE: every demand row with its grams, the factors joined in by tier."""
+    known, other = _GRAMS_A_UNIT[recipe]
+    grams = ", ".join(f"coalesce(u.{f}, {o}) * CAST(d.demand AS DECIMAL(24, 6)) AS {m}"
+                      for f, o, m in zip("lfr", other, MATERIALS))
+    return (f"{name} AS (SELECT d.*, {grams} FROM demand d LEFT JOIN "
+            f"(VALUES {', '.join(known)}) AS u(tier, l, f, r) ON u.tier = d.product_name {where})")
+
+
 def _recipe_query(recipe: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = expand_materials(fx.demand(spark, sf_dir), recipe)
@@ -208,10 +206,9 @@ def _recipe_query(recipe: str) -> Query:
 
 
 for _recipe in ("sql", "frame"):
-    register(f"recipe_{_recipe}", with_fixtures("demand") + f""",
-x AS (SELECT shop_id, date, product_name, demand,
-  {_RECIPE_SQL[_recipe]} FROM demand)
-SELECT shop_id, date, product_name, demand, {", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in MATERIALS)} FROM x""")(
+    register(f"recipe_{_recipe}", with_fixtures("demand") + ",\n" + _amounts_sql(_recipe) + f"""
+SELECT shop_id, date, product_name, demand, {", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in MATERIALS)}
+FROM amounts""")(
         _recipe_query(_recipe))
 
 
@@ -220,16 +217,17 @@ SELECT shop_id, date, product_name, demand, {", ".join(f"CAST({m} AS DOUBLE) AS
 _MATS = list(MATERIALS)
 
 
-def _grams_union_sql(recipe: str, value_sql: str = "CAST(SUM(quantity) AS DOUBLE)") -> str:
-    """Reference-shaped grams mart: recipe CTE, three-way UNION ALL, GROUP BY."""
-    union = "\n  UNION ALL\n  ".join(
-        f"SELECT shop_id, date, '{m}' AS material_name, {m} AS quantity FROM raw_material" for m in _MATS)
-    return f""",
-raw_material AS (SELECT shop_id, date,
-  {_RECIPE_SQL[recipe]} FROM demand)
-SELECT date, shop_id, material_name, {value_sql} AS quantity_g FROM (
-  {union}) AS unpivoted
-GROUP BY date, shop_id, material_name"""
+def _mart_sql(recipe: str, name: str) -> str:
+    """CTEs: sums per (date, shop), then one row per material."""
+    sums = ", ".join(f"sum({m}) AS {m}" for m in _MATS)
+    return (_amounts_sql(recipe, f"{name}_amounts") + f""",
+{name}_sums AS (SELECT date, shop_id, {sums} FROM {name}_amounts GROUP BY ALL),
+{name} AS (FROM {name}_sums UNPIVOT INCLUDE NULLS (quantity_g FOR material_name IN ({", ".join(_MATS)})))""")
+
+
+def _mart_query_sql(recipe: str, value: str = "CAST(quantity_g AS DOUBLE)") -> str:
+    return (with_fixtures("demand") + ",\n" + _mart_sql(recipe, "mart")
+            + f"\nSELECT date, shop_id, material_name, {value} AS quantity_g FROM mart")
 
 
 def _grams(spark: SparkSession, sf_dir: str, recipe: str = "sql", as_text: bool = False) -> DataFrame:
@@ -238,30 +236,25 @@ def _grams(spark: SparkSession, sf_dir: str, recipe: str = "sql", as_text: bool
     return out if as_text else out.withColumn("quantity_g", F.col("quantity_g").cast("double"))
 
 
-@register("material_grams", with_fixtures("demand") + _grams_union_sql("sql"))
+@register("material_grams", _mart_query_sql("sql"))
 def material_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grams mart: SQL recipe, sum by date/shop/material, NULL shop kept."""
     return _grams(spark, sf_dir, "sql")
 
 
-@register("mart_text_columns", with_fixtures("demand")
-          + _grams_union_sql("sql", "CAST(CAST(SUM(quantity) AS DECIMAL(38,4)) AS VARCHAR)"))
+@register("mart_text_columns", _mart_query_sql("sql", "CAST(CAST(quantity_g AS DECIMAL(38, 4)) AS VARCHAR)"))
 def mart_text_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grams mart with the quantity stored as text."""
     return _grams(spark, sf_dir, "sql", as_text=True)
 
 
-_KG_UNION = "\nUNION ALL\n".join(
-    f"SELECT CAST(date AS DATE) AS date, shop_id, '{m}' AS raw_material, "
-    f"CAST({m} AS DOUBLE) / 1000 AS demand_kg FROM g" for m in _MATS)
+KG_SQL = (with_fixtures("demand") + ",\n" + _mart_sql("frame", "mart") + """
+SELECT CAST(date AS DATE) AS date, shop_id, material_name AS raw_material,
+       CAST(coalesce(quantity_g, 0) AS DOUBLE) / 1000 AS demand_kg
+FROM mart WHERE date IS NOT NULL AND shop_id IS NOT NULL""")
 
 
-@register("material_kg", with_fixtures("demand") + f""",
-w AS (SELECT date, shop_id,
-  {_RECIPE_SQL["frame"]} FROM demand WHERE date IS NOT NULL AND shop_id IS NOT NULL),
-g AS (SELECT date, shop_id, {", ".join(f"coalesce(sum({m}), 0) AS {m}" for m in _MATS)}
-      FROM w GROUP BY date, shop_id)
-{_KG_UNION}""")
+@register("material_kg", KG_SQL)
 def material_kg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kilogram mart: frame recipe, NULL keys dropped, sums then melt, g -> kg, DATE."""
     from ..operators.materials import material_demand
@@ -269,22 +262,13 @@ def material_kg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("demand_kg", F.col("demand_kg").cast("double"))
 
 
-@register("upsert_material", with_fixtures("demand") + """,
-raw_sql AS (SELECT shop_id, date,
-  """ + _RECIPE_SQL["sql"] + """ FROM demand),
-raw_frame AS (SELECT shop_id, date,
-  """ + _RECIPE_SQL["frame"] + """ FROM demand),
-tgt AS (""" + " UNION ALL ".join(
-    f"SELECT date, shop_id, '{m}' AS material_name, SUM({m}) AS quantity_g FROM raw_sql GROUP BY date, shop_id"
-    for m in _MATS) + """),
-src AS (""" + " UNION ALL ".join(
-    f"SELECT date, shop_id, '{m}' AS material_name, SUM({m}) AS quantity_g FROM raw_frame GROUP BY date, shop_id"
-    for m in _MATS) + """)
-SELECT date, shop_id, material_name, CAST(quantity_g AS DOUBLE) AS quantity_g FROM tgt t
-  WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.date = t.date AND s.shop_id = t.shop_id
+@register("upsert_material", with_fixtures("demand") + ",\n" + _mart_sql("sql", "stored") + ",\n"
+          + _mart_sql("frame", "fresh") + """
+SELECT date, shop_id, material_name, CAST(quantity_g AS DOUBLE) AS quantity_g FROM stored t
+  WHERE NOT EXISTS (SELECT 1 FROM fresh s WHERE s.date = t.date AND s.shop_id = t.shop_id
                     AND s.material_name = t.material_name)
 UNION ALL
-SELECT date, shop_id, material_name, CAST(quantity_g AS DOUBLE) AS quantity_g FROM src""")
+SELECT date, shop_id, material_name, CAST(quantity_g AS DOUBLE) AS quantity_g FROM fresh""")
 def upsert_material(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upsert the frame-recipe grams mart into the SQL-recipe one on
     (date, shop_id, material_name); NULL shops never conflict (J2, M8)."""
@@ -383,10 +367,11 @@ def month_path_query(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).cast("bigint").alias("n")))
 
 
-@register("default_dates")
+@register("default_dates", with_fixtures("origin_o") + """
+SELECT * REPLACE (CAST(current_date AS TIMESTAMP) AS invoicedate, CAST(current_date AS TIMESTAMP) AS last_updated)
+FROM origin_o""")
 def default_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A load that omits both dates gets today at midnight (K11, E8); rows-only
-    check because the value depends on the day it runs."""
+    """A load that omits both dates gets today at midnight."""
     from ..schemas import RETAIL_SCHEMA
     from ..sources.tables import apply_defaults, retail_defaults
     loaded = fx.origin_o(spark, sf_dir).drop("invoicedate", "last_updated")

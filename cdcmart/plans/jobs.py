@@ -13,28 +13,32 @@ results, the manifest); no data rows pass through it.
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import operator
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.interval import DateLike, Interval, in_interval
+from ..functions.interval import DateLike, Interval, in_interval, interval_predicate
 from ..operators.checks import ObservedChecks, column_checks
 from ..operators.keys import ConstraintViolation
 from ..operators.latest import latest_per_key
 from ..operators.materials import material_demand
 from ..operators.merge import append_interval, apply_changes, upsert
 from ..operators.sizing import broadcast_limit, fits_broadcast, measure_many
-from ..schemas import DEMAND_SCHEMA, RETAIL_CHECKS, RETAIL_SCHEMA
+from ..schemas import DEMAND_SCHEMA, MATERIAL_G_SCHEMA, MATERIAL_KG_SCHEMA, RETAIL_CHECKS, RETAIL_LENGTHS, RETAIL_SCHEMA
+from ..session import scratch_path
 from ..sources.lake import read_interval, write_interval
 from ..sources.snapshots import SnapshotStore
+from ..sources.tables import append, clear, ensure_table, read_table
 
 
 def new_key_collisions(state: DataFrame, new_rows: DataFrame, keys: Sequence[str],
                        broadcast: bool | None = None) -> DataFrame:
-    """Keys of ``new_rows`` that already exist in ``state`` or repeat inside
-    ``new_rows`` (the insert would violate the key). Only the new day's keys
+    """Keys of ``new_rows`` that already exist in ``state``, repeat inside
+    ``new_rows`` or have a NULL part (the insert would violate the key). Only the new day's keys
     are checked; the state is read for its key columns. The new keys are
     broadcast only when their measured size fits (``broadcast=None`` measures)."""
     keys = list(keys)
@@ -43,7 +47,8 @@ def new_key_collisions(state: DataFrame, new_rows: DataFrame, keys: Sequence[str
         broadcast = fits_broadcast(new_keys)
     probe = F.broadcast(new_keys) if broadcast else new_keys
     existing = state.select(*keys).join(probe, keys, "left_semi")
-    repeated = new_keys.groupBy(*keys).count().where(F.col("count") > 1).select(*keys)
+    has_null = functools.reduce(operator.or_, (F.col(k).isNull() for k in keys))
+    repeated = new_keys.groupBy(*keys).count().where((F.col("count") > 1) | has_null).select(*keys)
     return existing.unionByName(repeated)
 
 
@@ -51,14 +56,18 @@ def run_origin(state: DataFrame, origin: DataFrame, interval: Interval, column:
                keys: Sequence[str] | None = ("id", "last_updated"),
                broadcast: bool | None = None) -> DataFrame:
     """Append the interval's origin rows to the state (B1). With ``keys``, a
-    new row whose key already exists raises, as the table's key would."""
+    new row whose key already exists or is NULL raises, as the table's key
+    would, and so does a text longer than its column."""
     appended = append_interval(state, origin, interval, column)
     if keys:
         new_rows = in_interval(origin, interval, column)
-        bad = new_key_collisions(state, new_rows, keys, broadcast).limit(5).collect()
+        too_long = functools.reduce(operator.or_, (F.length(c) > n for c, n in RETAIL_LENGTHS.items()
+                                                   if c in new_rows.columns), F.lit(False))
+        bad = (new_key_collisions(state, new_rows, keys, broadcast)
+               .unionByName(new_rows.where(too_long).select(*keys)).limit(5).collect())
         if bad:
-            raise ConstraintViolation(f"append of {interval.ds} repeats key {tuple(keys)}: "
-                                      + ", ".join(str(tuple(r)) for r in bad))
+            raise ConstraintViolation(f"append of {interval.ds} repeats or lacks its key {tuple(keys)}, or has a "
+                                      "text too long: " + ", ".join(str(tuple(r)) for r in bad))
     return appended
 
 
@@ -173,11 +182,30 @@ def run_extract(source: DataFrame, root: str, interval: Interval, dataset: str =
 
 
 def run_material_kg(spark: SparkSession, root: str, interval: Interval,
-                    raw: str = "product_demand", out: str = "material_demand_kg") -> DataFrame:
-    """Lake -> frame recipe -> kg mart -> lake (B4); returns the day's mart rows."""
+                    raw: str = "product_demand", out: str = "material_demand_kg",
+                    table: str | None = None) -> DataFrame:
+    """Lake -> frame recipe -> kg mart -> lake (B4); returns the interval's mart
+    rows as the lake holds them. With ``table`` they are loaded into that mart
+    table, which is created if absent; rows of the interval that an earlier run
+    loaded are replaced (the table's other rows are staged in the shared
+    folder, so a load cut short can be repeated from there)."""
     demand = read_interval(spark, root, raw, DEMAND_SCHEMA, interval)
-    mart = material_demand(demand, unit="kg")
-    write_interval(mart, root, out, interval, column="date", fmt="csv")
+    path = scratch_path(spark, "mart")
+    material_demand(demand, unit="kg").write.parquet(path)  # the lake's day files are read once
+    write_interval(spark.read.schema(MATERIAL_KG_SCHEMA).parquet(path), root, out, interval, column="date", fmt="csv")
+    mart = read_interval(spark, root, out, MATERIAL_KG_SCHEMA, interval)
+    if table is not None:
+        ensure_table(spark, table, MATERIAL_KG_SCHEMA)
+        loaded = read_table(spark, table)
+        inside = in_interval(loaded, interval, "date")
+        if inside.isEmpty():
+            append(mart, table)
+        else:
+            others = loaded.where(F.coalesce(~interval_predicate(loaded, "date", interval), F.lit(True)))
+            path = scratch_path(spark, "mart-load")
+            others.unionByName(mart).write.parquet(path)
+            clear(spark, table)
+            append(spark.read.schema(MATERIAL_KG_SCHEMA).parquet(path), table)
     return mart
 
 
@@ -190,6 +218,37 @@ def run_material_g(spark: SparkSession, source: DataFrame, target: DataFrame, in
     return upsert(target, mart, keys=("date", "shop_id", "material_name"))
 
 
+def run_material_g_landing(source: DataFrame, landing: str, store: SnapshotStore, interval: Interval) -> str:
+    """Source slice -> landing table -> SQL recipe -> upsert into the mart's
+    newest snapshot -> publish -> clear the landing table (B5).
+
+    A rerun starts with an empty landing table, so what a run cut short left
+    there is not counted twice; the mart changes only when its snapshot is
+    published. Returns the snapshot's folder."""
+    spark = store.spark
+    ensure_table(spark, landing, DEMAND_SCHEMA)
+    clear(spark, landing)
+    append(in_interval(source, interval, "date"), landing)
+    mart = material_demand(read_table(spark, landing, interval), unit="g")
+    held = store.newest()
+    stored = (spark.read.schema(MATERIAL_G_SCHEMA).parquet(held[1]) if held
+              else spark.createDataFrame([], MATERIAL_G_SCHEMA))
+    path = store.write(upsert(stored, mart, keys=("date", "shop_id", "material_name")), interval.start)
+    clear(spark, landing)
+    return path
+
+
+def rerun(store: SnapshotStore, origin: DataFrame, changes: DataFrame, ds: DateLike, **kwargs) -> DataFrame:
+    """Run ``ds`` again from the day before it, then every later published day,
+    whose state was built on the old one; returns the last state."""
+    day = Interval.day(ds)
+    before = store.latest_before(day.start)
+    last = store.latest_before(dt.date.max)
+    until = max(dt.date.fromisoformat(last[0]), day.start) if last else day.start
+    return replay(store, origin, changes, day.start, until + dt.timedelta(days=1),
+                  previous=before[1] if before else None, **kwargs)
+
+
 # ----------------------------------------------------------------- bucketed daily job
 
 def run_day_bucketed(spark: SparkSession, path: str, origin: DataFrame, changes: DataFrame, ds: DateLike,

@@ -67,7 +67,7 @@ def write_interval(df: DataFrame, root: str, dataset: str, interval: Interval,
     """Write the rows of ``df`` inside ``interval`` and replace those days.
 
     Every day of the interval is replaced, also one that now has no rows: after
-    the write, day folders of the interval without rows are overwritten empty.
+    the write, day folders that hold rows of days without any are overwritten empty.
     """
     sliced = in_interval(df, interval, column)
     if interval.end.toordinal() - interval.start.toordinal() == 1:
@@ -78,10 +78,22 @@ def write_interval(df: DataFrame, root: str, dataset: str, interval: Interval,
     else:
         written = {r["d"] for r in sliced.select(F.to_date(F.col(column)).alias("d")).distinct().collect()}
         write_partitioned(sliced, root, dataset, column, fmt, header)
-        for day in interval.days():  # a day each: the driver holds the interval's days only
-            if day.start not in written:
-                (_writer(sliced.limit(0), fmt, header).mode("overwrite")
-                    .save(partition_path(root, dataset, day.start)))
+        for day in _days_held(df, root, dataset, interval, fmt, written):
+            (_writer(sliced.limit(0), fmt, header).mode("overwrite")
+                .save(partition_path(root, dataset, day)))
+
+
+def _days_held(df: DataFrame, root: str, dataset: str, interval: Interval, fmt: str, written: set) -> list:
+    """Days of the interval outside ``written`` whose folders hold rows; only
+    their files are read."""
+    held = df.sparkSession.read.schema(df.schema).format(fmt).load(f"{root.rstrip('/')}/{dataset}")
+    if "ds" not in held.columns:
+        return []
+    day = F.col("ds").cast("date")
+    stale = held.where((day >= F.lit(interval.start)) & (day < F.lit(interval.end)))
+    if written:
+        stale = stale.where(~day.isin(sorted(written)))
+    return [r["d"] for r in stale.select(day.alias("d")).distinct().collect()]
 
 
 def read_partitioned(spark: SparkSession, root: str, dataset: str, schema: T.StructType,

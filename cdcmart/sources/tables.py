@@ -75,10 +75,13 @@ def _ddl(schema: T.StructType, defaults: Mapping[str, str] | None) -> str:
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, replace: bool = False,
                  defaults: Mapping[str, str] | None = None,
-                 partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Create the namespace and the table if absent (``replace`` drops first)."""
+                 partition_by: Sequence[str] = (), fmt: str = "parquet",
+                 namespace_location: str | None = None) -> None:
+    """Create the namespace and the table if absent (``replace`` drops first);
+    a new namespace may keep its tables under ``namespace_location``."""
     if "." in name:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name.split('.')[0]}`")
+        place = f" LOCATION '{namespace_location}'" if namespace_location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name.split('.')[0]}`{place}")
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""

@@ -30,8 +30,6 @@ RETAIL_SCHEMA = T.StructType([
     T.StructField("last_updated", T.TimestampNTZType()),
     T.StructField("operation", T.StringType()),
 ])
-CHANGE_SCHEMA = RETAIL_SCHEMA
-RETAIL_SCHEMA_NO_OP = T.StructType(RETAIL_SCHEMA.fields[:-1])
 
 # VARCHAR(100) / char(1) limits of the retail DDL.
 RETAIL_LENGTHS = {
@@ -42,14 +40,12 @@ RETAIL_LENGTHS = {
 # Operation codes.
 OP_INSERT, OP_UPDATE, OP_DELETE = "I", "U", "D"
 
-DEMAND_COLUMNS = ("shop_id", "date", "product_name", "demand")
 DEMAND_SCHEMA = T.StructType([
     T.StructField("shop_id", T.StringType()),
     T.StructField("date", T.TimestampNTZType()),
     T.StructField("product_name", T.StringType()),
     T.StructField("demand", T.StringType()),
 ])
-DEMAND_LENGTHS = {"shop_id": 100, "product_name": 100, "demand": 100}
 
 # Mart with grams per material (date kept as timestamp).
 MATERIAL_G_SCHEMA = T.StructType([
@@ -66,16 +62,6 @@ MATERIAL_KG_SCHEMA = T.StructType([
     T.StructField("demand_kg", T.DecimalType(38, 7)),
 ])
 
-CHECK_REPORT_SCHEMA = T.StructType([
-    T.StructField("column", T.StringType()),
-    T.StructField("check", T.StringType()),
-    T.StructField("actual", T.DoubleType()),
-    T.StructField("comparator", T.StringType()),
-    T.StructField("expected", T.DoubleType()),
-    T.StructField("tolerance", T.DoubleType()),
-    T.StructField("passed", T.BooleanType()),
-])
-
 # Checks configured on the merged retail table.
 RETAIL_CHECKS = {
     "id": {"null_check": {"equal_to": 0, "tolerance": 0}},

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EMPTY_MARK = "\u0001"
-TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 WRITE_TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 

@@ -22,10 +22,6 @@ from pyspark.sql import types as T
 from ..functions.interval import Interval, today_midnight
 from .delimited import read_delimited
 
-# The retail tables default both dates to today at midnight.
-RETAIL_DEFAULTS = {"invoicedate": "CAST(current_date() AS TIMESTAMP_NTZ)",
-                   "last_updated": "CAST(current_date() AS TIMESTAMP_NTZ)"}
-
 
 def read_table(spark: SparkSession, name: str, interval: Interval | None = None,
                column: str = "date") -> DataFrame:

@@ -17,6 +17,13 @@ ip                    four octets up to 255; the 32 bits
 phone                 7 to 15 digits; those after the country code
 date                  a real day from 1900 to 2099; the day among all of these
 ====================  =========================================================
+
+A card or an account may stand beside other digits or upper-case words. So at
+every place where one may begin, each run of whole groups is validated. Emails,
+accounts (at their country's length, if that is valid) and cards in a usual
+layout (unbroken, 4-4-4-4, 4-6-5, 4-6-4) are claimed first; the other kinds,
+and cards in any other layout (the longest valid one), in the text between
+them. ``01/02/2024`` is MM/dd; dd/MM is read where that is no real day.
 """
 
 from __future__ import annotations
@@ -32,11 +39,28 @@ DATE = (r"(?<![A-Za-z0-9./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}
 SSN = r"(?<![A-Za-z0-9-])\d{3}-\d{2}-\d{4}(?![A-Za-z0-9]|-\d)"
 IP = r"(?<![A-Za-z0-9.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![A-Za-z0-9]|\.\d)"
 CARD = r"(?<![A-Za-z0-9])\d(?:[ -]?\d){12,18}(?![A-Za-z0-9])"
+#: behind a plus 7 to 15 digits, written out as look-behind has no repeated groups
+_UP_TO_15 = r"(?<=\+\d" + r"[ .-]?\d" * 6 + r"(?:[ .-]?\d)?" * 8 + ")"
 PHONE = (r"(?<![A-Za-z0-9])(?:(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}"
-         r"|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}|\d{3}[.-]\d{3}[.-]\d{4})(?![A-Za-z0-9])")
+         r"|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}" + _UP_TO_15 + r"|\d{3}[.-]\d{3}[.-]\d{4})(?![A-Za-z0-9])")
 #: in this order at each place of the text
 KINDS = {"email": EMAIL, "iban": IBAN, "date": DATE, "ssn": SSN, "ip": IP, "card": CARD, "phone": PHONE}
 FOUND = "|".join(KINDS.values())
+#: claimed in the text between emails, accounts and cards of a usual layout
+WEAK = "|".join(KINDS[k] for k in ("date", "ssn", "ip", "phone"))
+#: what ``WEAK`` or a card can be found in
+WEAK_OR_CARD = f"{WEAK}|{CARD}"
+#: the longest run from each place where a card or an account may begin; a plus
+#: before digits is kept, as up to 15 digits after it are a phone number
+CARD_RUNS = r"(?<![A-Za-z0-9+])(?=(\+?\d(?:[ -]?\d){12,18}(?![A-Za-z0-9])))"
+IBAN_RUNS = f"(?=({IBAN}))"
+USUAL_CARD = r"^(?:\d+|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{4,5})$"
+#: characters of an account number by its country (ISO 13616 registry)
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
 ROUNDS = 4
 FIRST_DAY = "1900-01-01"
 #: the days from 1900-01-01 to 2099-12-31 are 17 * 4297
@@ -118,6 +142,58 @@ def _luhn_sum(digits: Column, doubled_first: Column) -> Column:
         F.lit(0), lambda s, x: s + x)
 
 
+def _forms(run: Column) -> Column:
+    """The run's first group, its first two, and so on up to the whole."""
+    return F.transform(F.array(F.split(run, "(?=[ -])")), lambda cut: F.transform(
+        F.sequence(F.lit(1), F.size(cut)), lambda k: F.array_join(F.slice(cut, 1, k), "")))[0]
+
+
+def _best(runs: Column, valid, rank) -> Column:
+    """Of each run's valid forms the one of the highest rank, then the longest:
+    structs of ``rank``, ``size`` and ``form``, the longest forms first."""
+    best = F.transform(runs, lambda run: F.array_max(F.transform(F.filter(_forms(run), valid), lambda f: F.struct(
+        rank(f).cast("int").alias("rank"), F.length(f).alias("size"), F.ltrim(f, F.lit("+")).alias("form")))))
+    return F.reverse(F.array_sort(F.array_distinct(F.filter(best, lambda b: b.isNotNull()))))
+
+
+def _card_forms(text: Column) -> Column:
+    """Per place where a valid card begins its best form; rank 1: of a usual layout."""
+    def valid(f: Column) -> Column:
+        digits = _digits(f)
+        return (F.length(digits).between(13, 19) & (~f.startswith("+") | (F.length(digits) > 15))
+                & (F.pmod(_luhn_sum(digits, F.lit(False)), F.lit(10)) == 0))
+    return _best(F.regexp_extract_all(text, F.lit(CARD_RUNS), 1), valid, lambda f: F.ltrim(f, F.lit("+")).rlike(USUAL_CARD))
+
+
+def _iban_forms(text: Column) -> Column:
+    """Per place where a valid account number begins its best form; rank 1: of its country's length."""
+    def valid(f: Column) -> Column:
+        plain = F.regexp_replace(f, " ", "")
+        return F.length(plain).between(15, 34) & _iban_valid(plain)
+
+    def exact(f: Column) -> Column:
+        known = " ".join(f"{c}{n}" for n, of in IBAN_LENGTHS.items() for c in of.split())
+        return F.lit(known).contains(F.concat(F.substring(f, 1, 2), F.length(F.regexp_replace(f, " ", "")).cast("string")))
+    return _best(F.regexp_extract_all(text, F.lit(IBAN_RUNS), 1), valid, exact)
+
+
+def _either(pattern: str, forms: Column) -> Column:
+    """A pattern that finds ``pattern`` or, as whole groups, one of ``forms``."""
+    return F.when(F.size(forms) == 0, F.lit(pattern)).otherwise(F.concat(
+        F.lit(f"{pattern}|(?<![A-Za-z0-9])(?:"), F.array_join(F.transform(forms, lambda f: f["form"]), "|"),
+        F.lit(")(?![A-Za-z0-9])")))
+
+
+def _strong(text: Column) -> Column:
+    """The pattern of the emails, accounts and usual cards of ``text``."""
+    return _either(EMAIL, F.concat(_iban_forms(text), F.filter(_card_forms(text), lambda f: f["rank"] == 1)))
+
+
+def _weak(text: Column) -> Column:
+    """The pattern of the other kinds, and of all valid cards, of ``text``."""
+    return _either(WEAK, _card_forms(text))
+
+
 def _card(key: str, match: Column) -> Column:
     digits = _digits(match)
     payload = _permuted_digits(key, "card", F.substr(digits, F.lit(1), F.length(digits) - 1))
@@ -135,10 +211,14 @@ def _mod97(text: Column) -> Column:
         .otherwise(F.pmod(r * 100 + F.ascii(c) - 55, F.lit(97))))
 
 
+def _iban_valid(plain: Column) -> Column:
+    return _mod97(F.concat(F.substr(plain, F.lit(5), F.length(plain)), F.substr(plain, F.lit(1), F.lit(4)))) == 1
+
+
 def _iban(key: str, match: Column) -> Column:
     plain = F.regexp_replace(match, " ", "")
     country, account = F.substr(plain, F.lit(1), F.lit(2)), F.substr(plain, F.lit(5), F.length(plain))
-    valid = _mod97(F.concat(account, F.substr(plain, F.lit(1), F.lit(4)))) == 1
+    valid = _iban_valid(plain)
     whole = F.transform(F.array(_permuted_text(key, "iban", account)), lambda p: F.concat(
         country, F.lpad((98 - _mod97(F.concat(p, country, F.lit("00")))).cast("string"), 2, "0"), p))[0]
     return F.when(valid, _laid_out(match, whole, "[A-Z0-9]")).otherwise(match)
@@ -179,7 +259,10 @@ def _phone(key: str, match: Column) -> Column:
 
 def _date(key: str, match: Column) -> Column:
     form = (F.when(match.rlike(r"^\d{4}-"), "yyyy-MM-dd").when(match.rlike(r"^\d{4}/"), "yyyy/MM/dd")
-            .when(match.contains("."), "dd.MM.yyyy").otherwise("MM/dd/yyyy"))
+            .when(match.contains("."), "dd.MM.yyyy")
+            .when(F.concat_ws("-", F.substr(match, F.lit(7), F.lit(4)), F.substr(match, F.lit(1), F.lit(2)),
+                              F.substr(match, F.lit(4), F.lit(2))).try_cast("date").isNotNull(), "MM/dd/yyyy")
+            .otherwise("dd/MM/yyyy"))
     parts = F.split(match, "[./-]")
     year, month, day = (F.when(form.startswith("yyyy"), parts[i]).when(form.startswith("dd"), parts[j]).otherwise(parts[k])
                         for i, j, k in ((0, 2, 2), (1, 1, 0), (2, 0, 1)))
@@ -191,7 +274,8 @@ def _date(key: str, match: Column) -> Column:
         F.lit(FIRST_DAY).cast("date"), (p["a"] * DAY_PARTS[1] + p["b"]).cast("int")))[0]
     y, m, d = (F.lpad(f(written).cast("string"), n, "0") for f, n in ((F.year, 4), (F.month, 2), (F.day, 2)))
     shown = (F.when(form == "yyyy-MM-dd", F.concat_ws("-", y, m, d)).when(form == "yyyy/MM/dd", F.concat_ws("/", y, m, d))
-             .when(form == "dd.MM.yyyy", F.concat_ws(".", d, m, y)).otherwise(F.concat_ws("/", m, d, y)))
+             .when(form == "dd.MM.yyyy", F.concat_ws(".", d, m, y))
+             .when(form == "dd/MM/yyyy", F.concat_ws("/", d, m, y)).otherwise(F.concat_ws("/", m, d, y)))
     return F.when(number.between(0, size - 1), shown).otherwise(match)
 
 
@@ -206,6 +290,25 @@ def pseudonym(match: Column, key: str) -> Column:
     return out.otherwise(match)
 
 
+def _as_it_is(text: Column) -> Column:
+    return F.struct(text.alias("text"), F.lit(0).alias("n"))
+
+
+def _written(text: Column, pattern: Column, new, between) -> Column:
+    """``text`` with ``new`` of each match of ``pattern`` and ``between`` (a
+    struct of text and n) of each gap, and the number of replaced values."""
+    # one struct holds the lists, so that each is made once
+    split = F.transform(F.array(pattern), lambda p: F.struct(
+        F.split(text, p, -1).alias("gaps"), F.regexp_extract_all(text, p, F.lit(0)).alias("old")))
+    lists = F.transform(split, lambda s: F.struct(
+        F.transform(s["gaps"], between).alias("gaps"), s["old"].alias("old"), F.transform(s["old"], new).alias("new")))
+    return F.transform(lists, lambda s: F.struct(
+        F.concat(F.array_join(F.zip_with(F.slice(s["gaps"], 1, F.size(s["new"])), s["new"], lambda g, n: F.concat(g["text"], n)), ""),
+                 F.element_at(s["gaps"], -1)["text"]).alias("text"),
+        (F.size(F.filter(F.zip_with(s["old"], s["new"], lambda o, n: o != n), lambda x: x))
+         + F.aggregate(s["gaps"], F.lit(0), lambda n, g: n + g["n"])).alias("n")))[0]
+
+
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = "n_replaced") -> DataFrame:
     """``docs`` with the personal data of ``text_col`` replaced by pseudonyms,
     all other columns as they are, and the number of replaced values in
@@ -217,18 +320,10 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     ``docs`` has a column ``count_col`` already, that column is replaced.
     """
     text = docs[text_col]
-    matches = F.regexp_extract_all(text, F.lit(FOUND), 0)
-    gaps = F.split(text, FOUND, -1)
-    new = F.transform(matches, lambda m: pseudonym(m, key))
-    # one struct holds the three lists, so that each is made once
-    written = F.transform(
-        F.array(F.struct(gaps.alias("gaps"), matches.alias("old"), new.alias("new"))),
-        lambda s: F.struct(
-            F.concat(F.array_join(F.zip_with(F.slice(s["gaps"], 1, F.size(s["new"])), s["new"], lambda g, n: F.concat(g, n)), ""),
-                     F.element_at(s["gaps"], -1)).alias("text"),
-            F.size(F.filter(F.zip_with(s["old"], s["new"], lambda o, n: o != n), lambda x: x)).alias("n")))[0]
-    done = F.when(text.rlike("[0-9@]") & text.rlike(FOUND), written).otherwise(
-        F.struct(text.alias("text"), F.lit(0).alias("n")))
+    done = F.when(text.rlike("[0-9@]") & text.rlike(FOUND), _written(
+        text, _strong(text), lambda m: pseudonym(m, key), lambda gap: F.when(
+            gap.rlike(WEAK_OR_CARD), _written(gap, _weak(gap), lambda m: pseudonym(m, key), _as_it_is))
+        .otherwise(_as_it_is(gap)))).otherwise(_as_it_is(text))
     held = "__pseudonymised"
     out = docs.withColumn(held, done)
     out = out.withColumn(text_col, F.col(f"{held}.text"))

@@ -249,6 +249,34 @@ def test_pseudonyms(spark):
     assert out[0].component_id == "x" and {r.doc_id: r.text for r in pseudonyms.pseudonymise(docs, "other").collect()}[0] != out[0].text
 
 
+def test_pseudonyms_beside_other_groups(spark):
+    card, iban = "4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00"
+    plain = iban.replace(" ", "")
+    cases = [  # text with {} for the value, the value
+        ("card {} 12/26", card), ("card {} 123 ok", card), ("order 12 {}.", card), ("12345678 {}", card), ("7 {} 2024-01-31x", card),
+        ("pay {} 9 now", card.replace(" ", "")), ("pay {}-12", card.replace(" ", "-")), ("amex {} 1234", "3782 822463 10005"),
+        ("{} EUR 100", plain), ("{} BIC", iban), ("NO12 {} EUR", iban), ("{} XK 7", iban), ("old {}", "4111 11 1111 1111 11"),
+        ("x " + "1 2 3 " * 40 + "{} 12", card), ("t +1 663 555 6869 {}", card), ("+{}", card)]
+    rows = [(i, c.format(v)) for i, (c, v) in enumerate(cases)]
+    rows += [(50, card), (51, iban), (60, f"{card} 123-45-6789 12"), (61, "on 25/12/2024"), (62, "2024-12-25"), (63, "25/25/2024"),
+             (64, "a 4111 1111 1111 1112 12 b"), (65, f"{plain} {card} joe@x.com {card} 12/26")]
+    out = {r.doc_id: r for r in pseudonyms.pseudonymise(frame(spark, rows), "key").collect()}
+    new = {card: out[50].text, iban: out[51].text}
+    new |= {card.replace(" ", s): new[card].replace(" ", s) for s in ("", "-")} | {plain: new[iban].replace(" ", "")}
+    for i, (c, v) in enumerate(cases):
+        head, tail = c.split("{}")
+        got = out[i].text[len(head):len(out[i].text) - len(tail)]
+        if "663" not in c and "1 2 3" not in c:  # there a phone number, or single digits that are valid, change too
+            assert out[i].text == head + got + tail and out[i].n_replaced == 1, (c, v)
+        assert got != v and (got == new[v] if v in new else luhn(got.replace(" ", ""))), (c, v)
+    assert out[14].n_replaced == 2 and "663 555 6869" not in out[14].text
+    assert out[60].text.startswith(new[card] + " ") and "123-45-6789" not in out[60].text and out[60].n_replaced == 2
+    y, m, d = out[62].text.split("-")
+    assert out[61].text == f"on {d}/{m}/{y}" and out[61].n_replaced == 1
+    assert all(out[i].n_replaced == 0 and out[i].text == dict(rows)[i] for i in (63, 64))
+    assert out[65].n_replaced == 4 and out[65].text.startswith(f"{new[plain]} {new[card]} ") and out[65].text.endswith(f"{new[card]} 12/26")
+
+
 def test_network_is_a_permutation(spark):
     got = (spark.range(17 * 40).select(pseudonyms._network("k", "t", F.floor(F.col("id") / 40), F.col("id") % 40,
                                                            F.lit(17), F.lit(40)).alias("p")).distinct().collect())

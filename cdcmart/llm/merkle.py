@@ -1,10 +1,16 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and clauses.
 
 DataFrame functions only. Sections are separated by blank lines, paragraphs by
-line ends, clauses end after a mark of punctuation. A paragraph's hash is taken
-over the hashes of its clauses, a section's over its paragraphs, the root over
-its sections. Equal roots mean equal texts; differing branches show where
-texts differ; the share of common clauses says how alike they are.
+line ends, clauses end after a mark of punctuation of any of the listed scripts.
+A paragraph's hash is taken over the hashes of its clauses, a section's over its
+paragraphs, the root over its sections. Equal roots mean equal texts; differing
+branches show where texts differ.
+
+Below the clause stand the leaves, runs of words that end where a word's own hash
+says so, and after 512 characters at the latest. An edit changes the leaves
+that it touches and no others, however long the clause is; the share of common
+leaves says how alike texts are. Words of more than 24 characters (also text of
+scripts without blanks) are cut by the hashes of their characters.
 """
 
 from __future__ import annotations
@@ -12,8 +18,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_CLAUSE_END = "(?<=[.!?,;:])"
-#: a leaf holds 48 bits of its clause's hash and up to 16 bits of its length
+#: Latin marks, and those of other scripts: Armenian; Arabic and Urdu; Devanagari; Tibetan; Myanmar;
+#: Ethiopic; Khmer; Chinese, Japanese and their wide forms
+_LATIN = "[.!?,;:]"
+_OTHER = ("[\u0589\u055c\u055d\u055e" "\u060c\u061b\u061f\u06d4" "\u0964\u0965" "\u0f0d\u0f0e" "\u104a\u104b"
+          "\u1361-\u1368" "\u17d4\u17d5" "\u3002\u3001\uff01\uff1f\uff0c\uff1b\uff1a\uff0e\uff61\uff64]")
+#: one range keeps most characters from the long list
+_BEYOND = "[\u055c-\uffff]"
+_CLAUSE_END = f"(?<={_LATIN})|(?<={_BEYOND})(?<={_OTHER})"
+_MARKS = f"{_LATIN}+|(?={_BEYOND}){_OTHER}+"
+#: a word with the blanks after it, a blank, or one character of a longer word
+_ATOM = r"(?s)\S{1,24}+(?!\S)[^\S\n]*|\s|."
+#: a leaf ends after a word in 4, or after a character in 16 inside a longer word
+_WORD_BITS, _CHARACTER_BITS = 3, 15
+LEAF_CHARS = 512
+#: a leaf holds 48 bits of its text's hash, and in 16 bits its length
 _LENGTH_BITS = 0xFFFF
 #: at most so many id ranges; the driver holds one number for each
 RANGES = 8192
@@ -38,13 +57,23 @@ def root_hash(sections: Column) -> Column:
     return F.sha2(F.array_join(sections, ""), 256)
 
 
+def _pieces(text: Column) -> Column:
+    """The leaves' texts in their order. A line end, which no clause holds, stands
+    for the end of a leaf until the cut."""
+    clauses = F.regexp_replace(text, _MARKS, "$0\n")
+
+    def ended(atom: Column) -> Column:
+        bits = F.when(F.length(atom) == 1, _CHARACTER_BITS).otherwise(_WORD_BITS).cast("long")
+        return F.when(F.xxhash64(atom).bitwiseAND(bits) == 0, F.concat(atom, F.lit("\n"))).otherwise(atom)
+    runs = F.split(F.array_join(F.transform(F.regexp_extract_all(clauses, F.lit(_ATOM), F.lit(0)), ended), ""), "\n", -1)
+    return F.flatten(F.transform(F.filter(runs, lambda r: r != ""), lambda r: F.when(
+        F.length(r) <= LEAF_CHARS, F.array(r)).otherwise(F.regexp_extract_all(r, F.lit(f"(?s).{{1,{LEAF_CHARS}}}"), F.lit(0)))))
+
+
 def leaves(text: Column) -> Column:
-    """The distinct clauses as numbers: part of their hash and their length."""
-    clauses = F.flatten(F.transform(F.split(text, "\n", -1), lambda p: F.split(p, _CLAUSE_END, -1)))
+    """The distinct leaves as numbers: part of their hash and their length."""
     return F.array_distinct(F.transform(
-        F.filter(clauses, lambda c: c != ""),
-        lambda c: F.xxhash64(c).bitwiseAND(F.lit(~_LENGTH_BITS)).bitwiseOR(
-            F.least(F.length(c), F.lit(_LENGTH_BITS)).cast("long"))))
+        _pieces(text), lambda c: F.xxhash64(c).bitwiseAND(F.lit(~_LENGTH_BITS)).bitwiseOR(F.length(c).cast("long"))))
 
 
 def _weight(of: Column) -> Column:
@@ -52,8 +81,8 @@ def _weight(of: Column) -> Column:
 
 
 def likeness(root_a: Column, leaves_a: Column, root_b: Column, leaves_b: Column) -> Column:
-    """Twice the length of the common clauses over the length of both sides'
-    clauses: 1 for equal roots, 0 for nothing in common."""
+    """Twice the length of the common leaves over the length of both sides'
+    leaves: 1 for equal roots, 0 for nothing in common."""
     both = _weight(leaves_a) + _weight(leaves_b)
     common = 2 * _weight(F.array_intersect(leaves_a, leaves_b))
     return (F.when(root_a == root_b, F.lit(1.0)).when(both == 0, F.lit(0.0))

@@ -167,6 +167,24 @@ def test_fingerprints(spark, rows):
     assert len(merkle.compare_with_edited(frame(spark, rows)).collect()) == len(rows)
 
 
+def test_likeness_of_long_clauses(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9)))
+    sign = lambda: chr(0x4E00 + rng.randrange(3000))
+    texts = [" ".join(word() for _ in range(3000)) for _ in range(2)]  # one clause each
+    texts += ["".join(sign() for _ in range(4000)) for _ in range(2)]  # no blank, no mark
+    texts += ["".join(rng.choices("ab", k=90_000)) for _ in range(2)]
+    got = {r.doc_id: r for r in merkle.compare_with_edited(frame(spark, list(enumerate(texts)))).collect()}
+    for i in range(len(texts)):
+        assert 0.65 < got[i].near_edited < 0.8 and got[i].near_next < 0.1, (i, got[i].near_edited, got[i].near_next)
+    cut = [r.p for r in frame(spark, list(enumerate([*texts, "x" * 70_000]))).select(merkle._pieces(F.col("text")).alias("p")).collect()]
+    assert max(len(x) for p in cut for x in p) <= merkle.LEAF_CHARS
+    assert sorted("".join(p) for p in cut) == sorted([*texts, "x" * 70_000])
+    # marks of other scripts end a clause
+    marks = merkle.fingerprint(frame(spark, [(1, "一二。三四！五"), (2, "एक। दो।"), (3, "نعم؟ لا، شكرا")])).select(F.size("leaves").alias("n"))
+    assert all(r.n >= 2 for r in marks.collect())
+
+
 def test_differing_branches(spark):
     a = merkle.fingerprint(frame(spark, [(1, "A.\nB.\n\nC, d.\nE."), (2, "same")]))
     b = merkle.fingerprint(frame(spark, [(1, "A.\nB.\n\nC, x.\nE."), (2, "same")]))

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import CHUNK_BYTES, mix, row_chunks, running_hash, scratch_table, slices, span_hash, text_rows, utf8
@@ -138,8 +138,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
              pa.array([_identity(s) for s in sets], pa.int64()),
              _as_lists([band_keys(s) if len(s) else none for s in sets]),
-             _as_lists([odd_sketch(s) if len(s) else none for s in sets])],
-            ["doc_id", "n", "node", "keys", "sketch"])
+             _as_lists([odd_sketch(s) if len(s) else none for s in sets]), *batch.columns[2:]],
+            ["doc_id", "n", "node", "keys", "sketch", *batch.schema.names[2:]])
 
 
 def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,8 +149,17 @@ def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array([_identity(s) for s in sets], pa.int64()), _as_lists(sets)], ["node", "shingles"])
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept per row of ``docs``.
+def text_digest(text: Column) -> Column:
+    """What tells rows of one doc_id apart; a null text counts as empty."""
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",
+                    identity: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept per row of ``docs``; with ``identity``
+    also digest (``text_digest`` of the row's text) and part (one number per
+    component, null for a row that takes no part), as rows of one doc_id may
+    have different texts in different components.
 
     Two documents link if 100 * |intersection| >= percent * |union| of their
     shingle sets (the keys are made for thresholds of 80 and more). The
@@ -162,7 +171,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     empty table gives an empty result; other columns are ignored.
     """
     rows = text_rows(docs, id_col, text_col)
-    sketches = scratch_table(rows.mapInArrow(_sketch, "doc_id long, n long, node long, keys array<long>, sketch array<long>"), "sketches")
+    schema = "doc_id long, n long, node long, keys array<long>, sketch array<long>"
+    sketches = scratch_table(
+        rows.withColumn("digest", text_digest(F.col("text"))).mapInArrow(_sketch, schema + ", digest string") if identity
+        else rows.mapInArrow(_sketch, schema), "sketches")
     nodes = scratch_table(
         sketches.where("n > 0 AND doc_id IS NOT NULL").groupBy("node")
         .agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("keys").alias("keys"),
@@ -210,12 +222,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     of_node = scratch_table(nodes.select("node", "doc").join(joined, "node", "left")
                             .select("node", "doc", F.coalesce("component", "node").alias("part")), "parts")
     smallest = scratch_table(of_node.groupBy("part").agg(F.min("doc").alias("component_id")), "smallest")
-    named = scratch_table(of_node.join(smallest, "part").select("node", "component_id"), "named")
+    named = scratch_table(of_node.join(smallest, "part").select("node", "component_id", *(["part"] if identity else [])), "named")
     takes_part = (F.col("n") > 0) & F.col("doc_id").isNotNull()
-    return (sketches.select("doc_id", "n", F.when(takes_part, F.col("node")).alias("node"))
+    return (sketches.select("doc_id", "n", F.when(takes_part, F.col("node")).alias("node"), *(["digest"] if identity else []))
             .join(named, "node", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "doc_id").alias("component_id"))
+                    F.coalesce("component_id", "doc_id").alias("component_id"), *(["digest", "part"] if identity else []))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 

@@ -6,14 +6,16 @@ stages the rows are written as Parquet in the cluster's shared folder.
 
 1. language_id: documents go whose language is undetermined or rejected.
 2. near_dedup: of each group of near copies (5-word shingles, similarity of
-   0.8 or more) the document with the smallest doc_id stays.
+   0.8 or more) the document with the smallest doc_id stays; of several texts
+   under that doc_id in one group the one with the smallest digest.
 3. suffix_dedup: byte strings of 50 and more that an earlier document holds are cut.
 4. pseudonyms: personal data become format-preserving pseudonyms.
 5. packing: every document gets its length bucket and batch.
 
 A null text has no letter, so the first stage drops it. Rows with a null
-doc_id stay and are no one's copy. Rows that repeat a doc_id and are kept by
-near_dedup are one document: one of them stays. Extra columns pass through;
+doc_id stay and are no one's copy. Rows that repeat a doc_id and a text are one
+document: near_dedup keeps one of them. Rows of one doc_id with different texts
+are judged each by its own text. Extra columns pass through;
 ``n_chars`` follows the text. An empty table gives an empty result.
 """
 
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from cdcmart.llm.common import scratch_table
 from cdcmart.llm.langid import keep_identified, train
-from cdcmart.llm.minhash import near_duplicates
+from cdcmart.llm.minhash import near_duplicates, text_digest
 from cdcmart.llm.packing import pack
 from cdcmart.llm.pseudonyms import pseudonymise
 from cdcmart.llm.suffix_dedup import remove_repeats
@@ -48,9 +50,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    kept = near_duplicates(docs, percent=80).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.join(kept.withColumnRenamed("doc_id", "kept_id"), F.col("doc_id") == F.col("kept_id"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    kept = near_duplicates(docs, percent=80, identity=True).where("kept AND doc_id IS NOT NULL")
+    # of a component's rows with its smallest doc_id one text; a text without words is a component of its own
+    one = (kept.groupBy("doc_id", F.coalesce(F.col("part").cast("string"), "digest").alias("group")).agg(F.min("digest").alias("digest"))
+           .select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest")).distinct())
+    told = docs.withColumn("__digest", text_digest(F.col("text")))
+    named = told.join(one, (F.col("doc_id") == F.col("kept_id")) & (F.col("__digest") == F.col("kept_digest")), "left_semi")
+    return (named.dropDuplicates(["doc_id", "__digest"]).drop("__digest")
+            .unionByName(docs.where(F.col("doc_id").isNull())))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -428,6 +428,20 @@ def test_pipeline_stages(spark):
     assert none.count() == 0
 
 
+def test_near_dedup_judges_each_text_of_an_id(spark):
+    text = lambda seed: " ".join(f"w{seed}x{i}" for i in range(60))
+    rows = [(3, text("a")), (5, text("b")), (5, text("c")),  # one id, two clean documents
+            (7, text("a") + " more"), (7, text("d")),  # a near copy of 3, and a clean one
+            (9, text("e")), (9, text("e")), (9, text("e") + " more"),  # one document: a repeat and a near copy
+            (10, ""), (10, " "), (10, " "), (None, text("a"))]
+    out = corpus_pipeline.near_dedup(spark, frame(spark, rows), "")
+    assert out.columns == frame(spark, rows).columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    nine = min([text("e"), text("e") + " more"], key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    want = [(3, text("a")), (5, text("b")), (5, text("c")), (7, text("d")), (9, nine), (10, ""), (10, " "), (None, text("a"))]
+    assert got == sorted(want, key=str)
+
+
 def test_pipeline_query(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
 

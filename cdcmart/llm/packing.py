@@ -11,7 +11,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: rows that are numbered together; batches form inside such a group
+from .common import scratch_table
+
+#: rows that one task numbers together; batches run on over all groups of a bucket
 GROUP_ROWS = 2048
 #: lengths are kept exactly up to here; beyond, the histogram has 4096 steps an octave
 EXACT_LENGTHS = 1 << 15
@@ -80,18 +82,19 @@ def pack(docs: DataFrame, buckets: int = 16, token_budget: int = 32_768, length:
     boundaries minimise the padding of the whole table; a batch holds
     max(1, budget // bucket_length) rows of one bucket, each padded to its
     bucket_length. Rows are numbered inside groups of about 2,048 rows of a
-    bucket, so no task numbers a whole bucket; each group may end in one batch
-    that is not full.
+    bucket, so no task numbers a whole bucket; the rows of the groups before it
+    are added to each, so only the last batch of a bucket may not be full.
 
     A null or empty text has length 0 and goes to the bucket of boundary 0,
-    with one batch of ``token_budget`` rows. A row longer than the budget is a
+    with batches of ``token_budget`` rows. A row longer than the budget is a
     batch of its own and is never cut. Rows that repeat a doc_id, or have none,
     are packed each; ties are ordered by doc_id; an empty table gives an empty
     result; other columns are ignored.
     """
     measure = word_count(docs[text_col]) if length is None else F.coalesce(length, F.lit(0)).cast("long")
-    rows = docs.select(docs[id_col].alias("doc_id"), measure.alias("length"),
-                       F.xxhash64(docs[id_col], docs[text_col]).alias("deal"))
+    # written once, so that no text is measured again where a plan repeats the expression
+    rows = scratch_table(docs.select(docs[id_col].alias("doc_id"), measure.alias("length"),
+                                     F.xxhash64(docs[id_col], docs[text_col]).alias("deal")), "lengths")
     seen = (rows.groupBy(histogram_length(F.col("length")).alias("size")).agg(F.count("*").alias("n"))
             .orderBy("size").collect())
     positive = [(r["size"], r["n"]) for r in seen if r["size"] > 0]
@@ -109,11 +112,17 @@ def pack(docs: DataFrame, buckets: int = 16, token_budget: int = 32_768, length:
     for b, n in per_bucket.items():
         groups = F.when(F.col("bucket_length") == b, F.lit(max(1, -(-n // GROUP_ROWS))).cast("long")).otherwise(groups)
     per_batch = F.greatest(F.lit(1), F.floor(F.lit(token_budget) / F.greatest(F.col("bucket_length"), F.lit(1))))
-    numbered = (rows.withColumn("bucket_length", bound).withColumn("part", F.pmod("deal", groups))
-                .withColumn("row", F.row_number().over(
+    placed = rows.withColumn("bucket_length", bound).withColumn("part", F.pmod("deal", groups))
+    # one row per group, of about GROUP_ROWS rows each
+    before = (placed.groupBy("bucket_length", "part").agg(F.count("*").alias("n"))
+              .select("bucket_length", "part", F.coalesce(F.sum("n").over(
+                  Window.partitionBy("bucket_length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before")))
+    numbered = (placed.withColumn("row", F.row_number().over(
                     Window.partitionBy("bucket_length", "part").orderBy("doc_id", "deal")) - 1)
+                .join(before, ["bucket_length", "part"])
+                .withColumn("row", F.col("row") + F.col("before"))
                 .withColumn("per_batch", per_batch.cast("long")))
     return numbered.select(
         "doc_id", "length", "bucket_length", (F.col("bucket_length") - F.col("length")).alias("padding"),
-        F.concat_ws("-", "bucket_length", "part", F.floor(F.col("row") / F.col("per_batch")).cast("long")).alias("batch_id"),
+        F.concat_ws("-", "bucket_length", F.floor(F.col("row") / F.col("per_batch")).cast("long")).alias("batch_id"),
         (F.col("row") % F.col("per_batch")).cast("int").alias("slot"))

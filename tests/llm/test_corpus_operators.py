@@ -389,6 +389,16 @@ def test_packing(spark, rows):
     assert packing.pack(empty(spark)).collect() == []
 
 
+def test_batches_run_on_over_groups(spark):
+    docs = frame(spark, [(i, "") for i in range(6000)] + [(i, "a b c") for i in range(6000, 11_000)])
+    out = packing.pack(docs, buckets=4, token_budget=9000).collect()
+    slots = {}
+    for r in out:
+        slots.setdefault((r.bucket_length, r.batch_id), []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert sorted((b, len(s)) for (b, _), s in slots.items()) == [(0, 6000), (3, 2000), (3, 3000)]
+
+
 # ------------------------------------------------------------------ 10 token counts
 
 def test_token_counts(spark, rows, tmp_path):

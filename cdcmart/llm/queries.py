@@ -153,3 +153,38 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_tokens(_table(spark, sf_dir, "documents"), scratch_path(spark, "token-cache"), BYTE_BPE,
                            pattern=public_tokenizers.PATTERN)
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+#: DuckDB has no crc32: the same by eight shifts a byte of the decimal id
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({id} AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+  lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, z: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))), 4294967295::BIGINT)"""
+
+
+@register("op12_conversation_trie", f"""
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id
+             ORDER BY turn NULLS FIRST, sha256(concat(octet_length(encode(r)), ':', r, x))) AS p, r, x
+           FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+                 WHERE conv_id IS NOT NULL)),
+own AS (SELECT c, list(struct_pack(r := r, x := x) ORDER BY p) AS l FROM t GROUP BY c),
+head AS (SELECT c, c - c % 100 AS b, {_CRC.format(id="c")} % 6 AS h, l FROM own),
+w AS (SELECT head.c, list_concat(coalesce(base.l[1:h], []), head.l[h + 1:]) AS w FROM head LEFT JOIN own base ON base.c = head.b),
+pre AS (SELECT c, d, w[1:d] AS k, d = len(w) AS last FROM (SELECT c, w, unnest(range(0, len(w) + 1)) AS d FROM w)),
+n AS (SELECT k, any_value(d) AS d, min(c) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE last), '')) AS ends_sha256
+      FROM pre GROUP BY k),
+kids AS (SELECT k[1:d - 1] AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+v AS (SELECT n.*, coalesce(n_children, 0) AS n_children, up.conv_id AS parent_conv_id,
+             CASE WHEN n.d = 0 THEN 0 ELSE (n.n_convs - 1) * length(n.k[n.d].x) END AS saved
+      FROM n LEFT JOIN kids ON kids.k = n.k LEFT JOIN n up ON n.d > 0 AND up.k = n.k[1:n.d - 1]),
+below AS (SELECT k[1:a] AS k, sum(saved) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+          FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM v) GROUP BY 1)
+SELECT conv_id, CAST(d AS BIGINT) AS depth, parent_conv_id, n_convs, CAST(n_children AS BIGINT) AS n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM v JOIN below ON below.k = v.k""")
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations that share their first turns in hundreds."""
+    from .prefix_trie import conversation_trie
+    conv = F.col("conv")
+    return conversation_trie(_table(spark, sf_dir, "conversations"), shared=conv - conv % 100,
+                             head=(F.crc32(conv.cast("string")) % 6).cast("int"))

@@ -155,6 +155,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+@register("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The byte-level and the SentencePiece tokens of every document, aligned."""
+    from .alignment import align_corpus
+    return align_corpus(_table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)[0]
+
+
 #: DuckDB has no crc32: the same by eight shifts a byte of the decimal id
 _CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({id} AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
   lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],

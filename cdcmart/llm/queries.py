@@ -195,3 +195,15 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = F.col("conv")
     return conversation_trie(_table(spark, sf_dir, "conversations"), shared=conv - conv % 100,
                              head=(F.crc32(conv.cast("string")) % 6).cast("int"))
+
+
+@register("op13_ngram_scores")
+def op13_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log probability of every document under a trigram model of those
+    whose crc32(doc_id) mod 7 is not 2. A row without id is neither learned
+    from nor held out."""
+    from .ngram_lm import score_corpus
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 7
+    scored = score_corpus(_table(spark, sf_dir, "documents"), remainder != 2)
+    return scored.select("doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")

@@ -37,7 +37,7 @@ from .common import ragged, scratch_table
 _PLAIN = "[\x21-\x7e¡-և]"
 CUT = re.compile(f"(?<={_PLAIN}) (?={_PLAIN})")
 #: units a worker remembers before it starts again
-UNITS_KEPT = 300_000
+UNITS_KEPT = 500_000
 #: a pair of ids with this share of all links is looked up in a broadcast table, so that table has at most so many rows
 FREQUENT = 100_000
 BLANK = "▁"
@@ -51,22 +51,19 @@ def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
     i = j = 0
     n, m = len(ends_a), len(ends_b)
     while i < n and j < m:
-        run, width = 0, 1
-        while width and i + run < n and j + run < m:
-            p, q = i + run, j + run
-            width = min(width, n - p, m - q)
-            if ends_a[p:p + width] == ends_b[q:q + width]:
+        a, b = ends_a[i], ends_b[j]
+        if a == b:
+            run, width = 1, 1
+            while i + run < n and j + run < m and ends_a[i + run] == ends_b[j + run]:
+                p, q = i + run, j + run
+                width = min(2 * width, n - p, m - q)
+                while width > 1 and ends_a[p:p + width] != ends_b[q:q + width]:
+                    width //= 2  # the first difference lies in this stretch
                 run += width
-                width *= 2
-            else:  # the first difference lies in this stretch: halve it
-                width //= 2
-        if run:
             cuts_a.extend(range(i + 1, i + run + 1))
             cuts_b.extend(range(j + 1, j + run + 1))
             i, j = i + run, j + run
-            if i >= n or j >= m:
-                break
-        a, b = ends_a[i], ends_b[j]
+            continue
         while a != b:
             if a < b:
                 i += 1
@@ -80,6 +77,29 @@ def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
     return cuts_a, cuts_b
 
 
+def _group_texts(ids_a: np.ndarray, ids_b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """``a1,a2|b1;a3|b2;`` in decimal digits, and where each group's text ends."""
+    in_a = np.diff(cuts_a, prepend=0)
+    in_b = np.diff(cuts_b, prepend=0)
+    # tokens in the order of the text: a token follows all tokens of the groups before, those of b also their group's of a
+    place_a = np.arange(len(ids_a)) + np.repeat(cuts_b - in_b, in_a)
+    place_b = np.arange(len(ids_b)) + np.repeat(cuts_a, in_b)
+    ids, marks = np.empty(len(ids_a) + len(ids_b), np.int64), np.full(len(ids_a) + len(ids_b), ord(","), np.uint8)
+    ids[place_a], ids[place_b] = ids_a, ids_b
+    marks[place_a[cuts_a - 1]], marks[place_b[cuts_b - 1]] = ord("|"), ord(";")
+    digits = len(str(int(ids.max(initial=0))))
+    shown = np.empty((len(ids), digits + 1), np.uint8)
+    used = np.ones((len(ids), digits + 1), bool)
+    shown[:, digits] = marks
+    rest = ids.astype(np.int32)
+    for k in range(digits - 1, -1, -1):
+        rest, shown[:, k] = rest // 10, rest % 10 + ord("0")
+        if k:
+            used[:, k - 1] = rest > 0
+    ends = np.cumsum(used.sum(axis=1))
+    return shown[used].tobytes(), ends[place_b[cuts_b - 1]]
+
+
 def _byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in a byte-level vocabulary: printable
     bytes for themselves, the others in turn from U+0100 on."""
@@ -106,7 +126,6 @@ class Aligner:
                         for i, p in enumerate(pieces)}
         self.size_a, self.size_b = (np.array([len(spell.get(i, b"")) for i in range(max(spell) + 1)], np.int64)
                                     for spell in (self.bytes_a, self.bytes_b))
-        self.text = list(map(str, range(max(len(self.size_a), len(self.size_b)))))
         spec = json.loads(self.a.to_str())
         model = sentencepiece_model_pb2.ModelProto()
         model.ParseFromString(self.b.serialized_model_proto())
@@ -119,7 +138,7 @@ class Aligner:
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.words: list[str | None] = []  # the groups of a unit as text, none where its bytes differ
+        self.words: list[bytes | None] = []  # the groups of a unit as text, none where its bytes differ
         self.sizes = np.zeros((0, 3), np.int64)  # tokens of a, of b, groups
         self.first = np.zeros(0, np.int64)
         self.links = np.zeros(0, np.int64)
@@ -141,26 +160,22 @@ class Aligner:
         flat_b = list(itertools.chain.from_iterable(itertools.compress(ids_b, kept)))
         last_a, last_b = np.fromiter(flat_a, np.int64, len(flat_a)), np.fromiter(flat_b, np.int64, len(flat_b))
         cuts_a, cuts_b = align(np.cumsum(self.size_a[last_a]).tolist(), np.cumsum(self.size_b[last_b]).tolist())
-        text_a, text_b = list(map(self.text.__getitem__, flat_a)), list(map(self.text.__getitem__, flat_b))
-        groups, i, j = [], 0, 0
-        for p, q in zip(cuts_a, cuts_b):
-            one = text_a[i] if p == i + 1 else ",".join(text_a[i:p])
-            groups.append(one + "|" + (text_b[j] if q == j + 1 else ",".join(text_b[j:q])))
-            i, j = p, q
         upto_a, upto_b = np.array(cuts_a, np.int64), np.array(cuts_b, np.int64)
         links = (last_a[upto_a - 1] << 32) | last_b[upto_b - 1]
         # a unit's last tokens end together, so its groups end with a cut at its end
         size_a, size_b = (np.array(list(map(len, ids)), np.int64) * held for ids in (ids_a, ids_b))
         upto = np.searchsorted(upto_a, np.cumsum(size_a), "right")
         n_groups = np.diff(upto, prepend=0)
+        text, ends = _group_texts(last_a, last_b, upto_a, upto_b)
+        ends = np.concatenate([[0], ends])[np.concatenate([[0], upto])].tolist()
         self.number.update(zip(units, range(len(self.words), len(self.words) + len(units))))
-        for lo, hi, s in zip((upto - n_groups).tolist(), upto.tolist(), kept):
-            self.words.append(";".join(groups[lo:hi]) if s else None)
+        # without the mark after its last group
+        self.words += [text[lo:hi - 1] if s else None for lo, hi, s in zip(ends, ends[1:], kept)]
         self.first = np.concatenate([self.first, len(self.links) + upto - n_groups])
         self.sizes = np.concatenate([self.sizes, np.stack([size_a, size_b, n_groups], 1)])
         self.links = np.concatenate([self.links, links])
 
-    def batch(self, texts: list[str]) -> list[tuple[int, int, int, str, np.ndarray]]:
+    def batch(self, texts: list[str]) -> list[tuple[int, int, int, bytes, np.ndarray]]:
         """Per text: tokens of a, of b, groups, the groups as text, and one
         number (id of a times 2 ** 32 plus id of b) per link."""
         cut = [(CUT.split(t) if self.cuts else [t]) if t else [] for t in texts]
@@ -170,11 +185,11 @@ class Aligner:
             new = list(dict.fromkeys(u for units in cut for u in units))
         if new:
             self._learn(new)
-        nothing = (0, 0, 0, "", np.zeros(0, np.int64))
+        nothing = (0, 0, 0, b"", np.zeros(0, np.int64))
         out = []
         for text, units in zip(texts, cut):
-            found = [self.number[u] for u in units]
-            words = [self.words[k] for k in found]
+            found = list(map(self.number.__getitem__, units))
+            words = list(map(self.words.__getitem__, found))
             if not found:
                 out.append(nothing)
             elif None in words:  # decided on the whole text, in a unit of its own
@@ -186,9 +201,10 @@ class Aligner:
                     whole._forget()
                     out += whole.batch([text])
             else:
-                n_a, n_b, n_groups = self.sizes[found].sum(axis=0).tolist()
-                links = self.links[ragged(self.first[found], self.sizes[found, 2])]
-                out.append((n_a, n_b, n_groups, ";".join(words), links))
+                at = np.fromiter(found, np.int64, len(found))
+                sizes = self.sizes[at]
+                n_a, n_b, n_groups = sizes.sum(axis=0).tolist()
+                out.append((n_a, n_b, n_groups, b";".join(words), self.links[ragged(self.first[at], sizes[:, 2])]))
         return out
 
 
@@ -221,7 +237,7 @@ def _encode(byte_path: str, piece_path: str, rows: int = 256):
                 summed = np.zeros(len(every), np.int64)
                 np.add.at(summed, place, np.concatenate([c for _, c in pairs]))
                 numbers = [[*column, None] for column in zip(*[f[:3] for f in found])]
-                digests = [hashlib.sha256(f[3].encode()).hexdigest() if f[0] else "" for f in found]
+                digests = [hashlib.sha256(f[3]).hexdigest() if f[0] else "" for f in found]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([*part.column("row").to_pylist(), None], pa.int64()),
                      pa.array([*part.column("doc_id").to_pylist(), None], pa.int64()),

@@ -63,10 +63,21 @@ class EliasFano:
         high = word * 64 + byte * 8 + _NTH[held[lane, byte], inside] - at
         if self.width == 0:
             return high.astype(np.int64)
+        return (high << self.width) | self._low(at)
+
+    def _low(self, at: np.ndarray) -> np.ndarray:
         bit = at * self.width
         unaligned = np.ndarray((len(self.low) - 7,), "<u8", np.ascontiguousarray(self.low), strides=(1,))
         low = (unaligned[bit >> 3] >> (bit & 7).astype(np.uint64)) & np.uint64((1 << self.width) - 1)
-        return (high << self.width) | low.astype(np.int64)
+        return low.astype(np.int64)
+
+    def read(self, wanted: int) -> "EliasFano | np.ndarray":
+        """For so many lookups: all numbers in one scan, if they are a good part of them, or else this."""
+        if 8 * wanted < self.n:
+            return self
+        every = np.arange(self.n)
+        high = np.flatnonzero(np.unpackbits(self.high, bitorder="little")) - every
+        return high if self.width == 0 else (high << self.width) | self._low(every)
 
 
 def _levels(grams: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -124,7 +135,8 @@ class Trie:
         sorted, so every distinct context is looked up once. Within the range
         of successors that its context points to, a word is found by halving."""
         node = np.zeros(1, np.int64)  # nodes of the distinct contexts of one level
-        for (words, pointers), (parent, word, _) in zip(self.levels, _levels(grams)):
+        for level, (parent, word, _) in zip(self.levels, _levels(grams)):
+            words, pointers = (sequence.read(len(word)) for sequence in level)
             above = node[parent]
             known = np.flatnonzero((above >= 0) & (word < self.bound))
             lo, end = pointers[above[known]], pointers[above[known] + 1]
@@ -146,4 +158,5 @@ class Trie:
         return -self.steps[leaf].astype(np.float64) / STEPS
 
     def count(self, leaf: np.ndarray) -> np.ndarray:
-        return self.counts[leaf + 1] - self.counts[leaf]
+        sums = self.counts.read(len(leaf))
+        return sums[leaf + 1] - sums[leaf]

@@ -27,12 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, row_chunks, running_hash, scratch_table, span_hash, total_bytes, utf8
+from .common import mix, released_table, row_chunks, running_hash, span_hash, total_bytes, utf8
 from .elias_fano import STEPS, Trie, quantised, trie_arrays
 
 BLOCK_BYTES, SHARD_BYTES = 4 << 20, 8 << 20
@@ -91,7 +92,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, sizes = _words(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
             coded = words.dictionary_encode()
             held, index = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            order = np.argsort(np.array(held.to_pylist(), dtype=object), kind="stable") if len(held) else np.zeros(0, np.int64)
+            order = pc.sort_indices(held).to_numpy().astype(np.int64)
             place = np.empty(len(order), np.int64)
             place[order] = np.arange(len(order))
             index = place[index]
@@ -155,7 +156,7 @@ def _count_words(shards: int):
         index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         counts = np.zeros(len(coded.dictionary), np.int64)
         np.add.at(counts, index, np.concatenate([a["times"] for a in asked]).astype(np.int64))
-        by_word = np.argsort(np.array(coded.dictionary.to_pylist(), dtype=object), kind="stable")
+        by_word = pc.sort_indices(coded.dictionary).to_numpy().astype(np.int64)
         order = by_word[np.argsort(-counts[by_word], kind="stable")]
         ids = np.empty(len(order), np.int64)
         ids[order] = np.arange(len(order)) * shards + key[0].as_py() + 2
@@ -206,8 +207,11 @@ class _Block:
         self.ids, self.count = np.full(total, START, np.int64), np.full(total, corpus.texts, np.int64)
         self.ids[starts + length - 1] = END
         self.ids[word], self.count[word] = ids[index], counts[index]
-        self.word = self.ids.copy()  # the same, but by the block's own numbers, which tell unknown words apart
-        self.word[word] = index + 2
+        # the block's own numbers, in the order of the ids; unknown words come last, each for itself
+        own = np.empty(n_words, np.int64)
+        own[np.lexsort((ids, ids == UNKNOWN))] = np.arange(n_words) + 2
+        self.word = self.ids.copy()
+        self.word[word] = own[index]
         self.sizes = sizes + 1
         self.train = np.array(train, bool)[self.doc] if len(sizes) else np.zeros(0, bool)
         self.base = np.where(self.scored, corpus.base(self.count), 0.0)
@@ -314,6 +318,7 @@ def _asked(row: dict, block: _Block, last: bool, shards: int) -> Iterator[pa.Rec
         if len(mine) == 0 and not (last and s == 0):
             continue
         part = {k: c[mine] for k, c in columns.items()}
+        part["g0"] = np.diff(part["g0"], prepend=np.uint64(0))  # sorted by the first word
         if last:
             e = by_shard[entry_cuts[s]:entry_cuts[s + 1]]
             part |= {"holders": np.bincount(np.searchsorted(mine, entry_gram[e]), minlength=len(mine)).astype(np.uint32),
@@ -338,7 +343,9 @@ def _merge(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.
 def _resolve(asked: list[dict], level: int, weight: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Counts and log probabilities of the distinct n-grams of a shard, from
     its trie, and the n-gram of every row asked."""
-    grams, first, inverse = _merge([np.concatenate([a[f"g{k}"] for a in asked]) for k in range(level)])
+    columns = [np.concatenate([np.cumsum(a["g0"]) for a in asked])]
+    columns += [np.concatenate([a[f"g{k}"] for a in asked]) for k in range(1, level)]
+    grams, first, inverse = _merge(columns)
     total = np.bincount(inverse, weights=np.concatenate([a["times"] for a in asked]), minlength=len(first)).astype(np.int64)
     context = np.concatenate([a["context"] for a in asked])[first].astype(np.float64)
     lower = -np.concatenate([a["lower"] for a in asked])[first].astype(np.float64) / STEPS
@@ -417,8 +424,8 @@ def score_corpus(docs: DataFrame, train: Column, order: int = 3, id_col: str = "
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"),
                        F.coalesce(train, F.lit(False)).alias("train"))
     shards = max(1, -(-total_bytes(rows) // shard_bytes))
-    blocks = scratch_table(rows.mapInArrow(_blocks, _BLOCK), "blocks")
-    answers = [scratch_table(
+    blocks = released_table(rows.mapInArrow(_blocks, _BLOCK), "blocks")
+    answers = [released_table(
         blocks.select("block", "words", "times").mapInArrow(_ask_words(shards), "shard long, block long, words binary, asked binary")
         .repartition(shards, "shard").groupBy("shard").applyInArrow(_count_words(shards), _ANSWER), "words")]
     texts, tokens = blocks.agg(F.sum("docs_learned"), F.sum("learned")).first()
@@ -434,9 +441,9 @@ def score_corpus(docs: DataFrame, train: Column, order: int = 3, id_col: str = "
         asked = (slim.join(given, "block", "left").mapInArrow(_ask_grams(level, order, shards, corpus), _ASK)
                  .repartition(shards, "shard").groupBy("shard"))
         if level < order:
-            answers.append(scratch_table(asked.applyInArrow(_answer_grams(level, weights[level]), _ANSWER), f"grams-{level}"))
+            answers.append(released_table(asked.applyInArrow(_answer_grams(level, weights[level]), _ANSWER), f"grams-{level}"))
     sums = asked.applyInArrow(_sum_texts(order, weights[order]), "block long, answer binary, info binary")
     parts = sums.groupBy("block").agg(F.collect_list(F.struct("answer", "info")).alias("parts"))
     scored = (blocks.select("block", "doc_id", "train").join(parts, "block")
               .mapInArrow(_finish, _SCORED))
-    return scratch_table(scored, "scored").withColumn("train_tokens", F.lit(corpus.tokens).cast("long"))
+    return released_table(scored, "scored").withColumn("train_tokens", F.lit(corpus.tokens).cast("long"))

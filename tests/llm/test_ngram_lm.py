@@ -95,7 +95,7 @@ def test_sequences_and_tries(tmp_path):
         values = np.sort(rng.integers(0, bound, n))
         held = EliasFano(EliasFano.arrays(values, bound))
         at = rng.integers(0, n, 3 * n)
-        assert (held[at] == values[at]).all()
+        assert (held[at] == values[at]).all() and (held.read(n) == values).all()
     for order in (1, 2, 3):
         grams = np.unique(rng.integers(0, 30, (400, order)), axis=0)
         learned = rng.random(len(grams)) < 0.6
@@ -105,5 +105,6 @@ def test_sequences_and_tries(tmp_path):
         leaf = trie.find([grams[:, k] for k in range(order)])
         assert ((leaf >= 0) == learned).all()
         assert (trie.count(leaf[learned]) == counts).all()
+        assert (trie.find([grams[:5, k] for k in range(order)]) == leaf[:5]).all()  # few: without reading whole levels
         assert np.abs(trie.log_prob(leaf[learned]) - log_prob).max() <= 0.5 / 2048
 

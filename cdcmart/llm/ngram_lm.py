@@ -14,9 +14,11 @@ block go, packed, to shards by their hash; a shard adds up the counts of all
 blocks, builds an Elias-Fano trie of what was learned (see ``elias_fano``),
 memory-mapped from the task's own folder, looks up every n-gram asked for, and
 answers the blocks, or, for the last order, adds up the log probabilities of
-each text. Copies of a frequent n-gram are added up in the blocks, and n-grams
-are spread by their whole hash, so neither a frequent word nor a frequent
-context can fill a shard.
+each text. The answer also says whether any other block holds the n-gram. If
+none does, the longer n-grams with it are in no other block either, and the
+block resolves them in a trie of its own. Copies of a frequent n-gram are added
+up in the blocks, and n-grams are spread by their whole hash, so neither a
+frequent word nor a frequent context can fill a shard.
 """
 
 from __future__ import annotations
@@ -138,12 +140,13 @@ def _row(names: list[str], values: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([v], kinds.get(n, pa.int64())) for n, v in zip(names, values)], names)
 
 
-_ANSWER = "block long, level int, answer binary, known long"
+_ANSWER = "block long, level int, shard long, answer binary, known long"
 
 
-def _answers(blocks: list, level: int, answers: list[bytes | None], known: list) -> pa.Table:
-    return pa.table([pa.array(blocks, pa.int64()), pa.array([level] * len(blocks), pa.int32()), pa.array(answers, pa.binary()),
-                     pa.array(known, pa.int64())], ["block", "level", "answer", "known"])
+def _answers(blocks: list, level: int, shard: int, answers: list[bytes | None], known: list) -> pa.Table:
+    return pa.table([pa.array(blocks, pa.int64()), pa.array([level] * len(blocks), pa.int32()),
+                     pa.array([shard] * len(blocks), pa.int64()), pa.array(answers, pa.binary()), pa.array(known, pa.int64())],
+                    ["block", "level", "shard", "answer", "known"])
 
 
 def _count_words(shards: int):
@@ -161,13 +164,14 @@ def _count_words(shards: int):
         ids = np.empty(len(order), np.int64)
         ids[order] = np.arange(len(order)) * shards + key[0].as_py() + 2
         ids[counts == 0] = UNKNOWN
+        alone = np.bincount(index, minlength=len(ids)) == 1  # a block asks once for a word
         out, at = [], 0
         for a in asked:
             mine = index[at:at + len(a["times"])]
             at += len(mine)
-            out.append(pack({"place": a["place"], "ids": ids[mine], "counts": counts[mine].astype(np.uint64)}))
+            out.append(pack({"place": a["place"], "ids": ids[mine], "counts": counts[mine].astype(np.uint64), "alone": alone[mine].astype(np.uint8)}))
         blocks = table.column("block").to_pylist()
-        return _answers([*blocks, None], 1, [*out, None], [None] * len(blocks) + [int((counts > 0).sum())])
+        return _answers([*blocks, None], 1, key[0].as_py(), [*out, None], [None] * len(blocks) + [int((counts > 0).sum())])
     return count
 
 
@@ -187,13 +191,14 @@ class _Block:
     """A block's texts as one sequence: per text its start marks, its words
     and the end; with the state of one order at every place."""
 
-    def __init__(self, tokens: bytes, train: list[bool], words: list[dict], corpus: _Corpus, order: int):
+    def __init__(self, tokens: bytes, train: list[bool], words: list[dict], corpus: _Corpus, order: int, shards: int):
         stored = unpack(tokens)
         index, sizes = stored["index"].astype(np.int64), stored["sizes"].astype(np.int64)
         n_words = int(index.max(initial=-1)) + 1
-        ids, counts = np.full(n_words, UNKNOWN, np.int64), np.zeros(n_words, np.int64)
+        ids, counts, alone = np.full(n_words, UNKNOWN, np.int64), np.zeros(n_words, np.int64), np.zeros(n_words, bool)
         for part in words:
-            ids[part["place"]], counts[part["place"]] = part["ids"], part["counts"].astype(np.int64)
+            at = part["place"]
+            ids[at], counts[at], alone[at] = part["ids"], part["counts"].astype(np.int64), part["alone"] > 0
         pad = order - 1
         length = sizes + pad + 1
         starts = np.cumsum(length) - length
@@ -212,6 +217,8 @@ class _Block:
         own[np.lexsort((ids, ids == UNKNOWN))] = np.arange(n_words) + 2
         self.word = self.ids.copy()
         self.word[word] = own[index]
+        self.alone = np.zeros(total, bool)  # no other block has the n-gram that ends here
+        self.alone[word] = alone[index]
         self.sizes = sizes + 1
         self.train = np.array(train, bool)[self.doc] if len(sizes) else np.zeros(0, bool)
         self.base = np.where(self.scored, corpus.base(self.count), 0.0)
@@ -219,7 +226,7 @@ class _Block:
         self.log_prob = self.base.copy()
         self.rank = np.where(self.scored, self.word, -1)
         self.clear = self.ids != UNKNOWN  # no unknown word in the n-gram that ends here
-        self.weights, self.level = corpus.weights, 1
+        self.weights, self.level, self.shards = corpus.weights, 1, shards
 
     def step(self) -> None:
         """Take up the n-grams one longer: their context counts, ranks, distinct ones."""
@@ -238,30 +245,43 @@ class _Block:
         self.lower = self.log_prob
         seen = self.context > 0
         self.log_prob = np.where(seen, self.lower + np.log10(weight / (self.context + weight)), self.lower)
-        self.asks = self.clear[self.first] & seen[self.first]
-
-    def grams(self) -> list[np.ndarray]:
-        place = self.first[self.asks]
-        return [self.ids[place - k] for k in range(self.level - 1, -1, -1)]
-
-    def shard(self, shards: int) -> np.ndarray:
-        code = np.zeros(int(self.asks.sum()), np.uint64)
-        for g in self.grams():
-            code = mix(code * np.uint64(31) + g.astype(np.uint64) + np.uint64(1))
-        return (code % np.uint64(shards)).astype(np.int64)
+        self.alone = self.scored & (self.alone | self.alone[before])
+        wanted = self.clear[self.first] & seen[self.first]
+        self.own = np.flatnonzero(wanted & self.alone[self.first])
+        self.asks = np.flatnonzero(wanted & ~self.alone[self.first])
+        self.times = np.bincount(inverse, weights=self.train[at], minlength=len(first)).astype(np.int64)
+        grams = self.columns(self.asks)
+        code = np.zeros(len(self.asks), np.uint64)
+        for k in range(self.level):
+            code = mix(code * np.uint64(31) + grams[f"g{k}"] + np.uint64(1))
+        self.shard = (code % np.uint64(self.shards)).astype(np.int64)
+        counts, log_prob, alone = np.zeros(len(first), np.int64), self.log_prob[self.first], self.alone[self.first]
+        if len(self.own):
+            mine = self.columns(self.own)
+            mine["g0"] = np.diff(mine["g0"], prepend=np.uint64(0))
+            found, found_prob, _, row = _resolve([mine], self.level, weight)
+            counts[self.own], log_prob[self.own] = found[row], found_prob[row]
+        self.found = counts, log_prob, alone
+
+    def columns(self, which: np.ndarray) -> dict[str, np.ndarray]:
+        """Words, occurrences learned, context count and shorter estimate of some of the distinct n-grams."""
+        place = self.first[which]
+        out = {f"g{k}": self.ids[place - self.level + 1 + k].astype(np.uint64) for k in range(self.level)}
+        return out | {"times": self.times[which].astype(np.uint32), "context": self.context[place].astype(np.uint64),
+                      "lower": quantised(self.lower[place])}
 
     def absorb(self, answers: list[dict]) -> None:
-        counts = np.zeros(len(self.first), np.int64)
-        log_prob = self.log_prob[self.first]
-        asked = np.flatnonzero(self.asks)
+        """Take the shards' answers, then what is known of every distinct n-gram to all its places."""
+        counts, log_prob, alone = self.found
         for part in answers:
-            mine = asked[part["place"]]
+            mine = self.asks[self.shard == part["shard"]]
             counts[mine] = part["counts"].astype(np.int64)
             log_prob[mine] = -part["steps"].astype(np.float64) / STEPS
+            alone[mine] = part["alone"] > 0
         self.log_prob[self.at] = log_prob[self.inverse]
-        fixed = self.count.copy()
-        fixed[self.at] = counts[self.inverse]
-        self.count = fixed
+        self.alone[self.at] = alone[self.inverse]
+        self.count = self.count.copy()
+        self.count[self.at] = counts[self.inverse]
 
     def per_doc(self, values: np.ndarray) -> np.ndarray:
         return np.bincount(self.doc, weights=values, minlength=len(self.sizes))
@@ -279,41 +299,34 @@ def _ask_grams(level: int, order: int, shards: int, corpus: _Corpus):
             for row in batch.to_pylist():
                 parts: dict[int, list[dict]] = {}
                 for a in row["answers"] or []:
-                    parts.setdefault(a["level"], []).append(unpack(a["answer"]))
-                block = _Block(row["tokens"], row["train"], parts.get(1, []), corpus, order)
+                    parts.setdefault(a["level"], []).append(unpack(a["answer"]) | {"shard": a["shard"]})
+                block = _Block(row["tokens"], row["train"], parts.get(1, []), corpus, order, shards)
                 block.step()
                 while block.level < level:
                     block.absorb(parts.get(block.level, []))
                     block.step()
-                yield from _asked(row, block, level == order, shards)
+                yield from _asked(row["block"], block, level == order)
     return ask
 
 
-def _asked(row: dict, block: _Block, last: bool, shards: int) -> Iterator[pa.RecordBatch]:
-    names = ["shard", "block", "asked", "info"]
-    grams, shard = block.grams(), block.shard(shards)
-    place = block.first[block.asks]
-    times = np.bincount(block.inverse, weights=block.train[block.at], minlength=len(block.first))[block.asks]
-    columns = {f"g{k}": g.astype(np.uint64) for k, g in enumerate(grams)}
-    columns |= {"times": times.astype(np.uint32), "context": block.context[place].astype(np.uint64), "lower": quantised(block.lower[place])}
-    info = None
+def _asked(number: int, block: _Block, last: bool) -> Iterator[pa.RecordBatch]:
+    names, info, shard = ["shard", "block", "asked", "info"], None, block.shard
+    columns = block.columns(block.asks)
+    cuts = np.searchsorted(np.sort(shard), np.arange(block.shards + 1))
+    order = np.argsort(shard, kind="stable")
     if last:
         asked = np.full(len(block.first), -1, np.int64)
-        asked[block.asks] = np.arange(len(place))
-        of = asked[block.inverse]
-        docs = len(block.sizes)
-        entry, often = np.unique(of[of >= 0] * max(docs, 1) + block.doc[block.at][of >= 0], return_counts=True)
-        entry_gram, entry_doc = entry // max(docs, 1), entry % max(docs, 1)
-        held = np.zeros(len(block.ids), bool)
-        held[block.at[of >= 0]] = True  # answered by the shards; the rest is known here
+        asked[block.asks] = np.arange(len(block.asks))
+        of, docs = asked[block.inverse], max(1, len(block.sizes))
+        entry, often = np.unique(of[of >= 0] * docs + block.doc[block.at][of >= 0], return_counts=True)
+        gram, doc = entry // docs, entry % docs
+        by_shard = np.argsort(shard[gram], kind="stable")
+        entry_cuts = np.searchsorted(shard[gram][by_shard], np.arange(block.shards + 1))
+        rest = np.zeros(len(block.ids))  # what the shards do not add
+        rest[block.at[of < 0]] = block.found[1][block.inverse[of < 0]]
         info = pack({"tokens": block.sizes, "known": block.per_doc(block.known), "base": block.per_doc(block.base),
-                     "rest": block.per_doc(np.where(block.scored & ~held, block.log_prob, 0.0))})
-    order = np.argsort(shard, kind="stable")
-    cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-    if last:
-        by_shard = np.argsort(shard[entry_gram], kind="stable")
-        entry_cuts = np.searchsorted(shard[entry_gram][by_shard], np.arange(shards + 1))
-    for s in range(shards):
+                     "rest": block.per_doc(rest)})
+    for s in range(block.shards):
         mine = order[cuts[s]:cuts[s + 1]]
         if len(mine) == 0 and not (last and s == 0):
             continue
@@ -321,11 +334,10 @@ def _asked(row: dict, block: _Block, last: bool, shards: int) -> Iterator[pa.Rec
         part["g0"] = np.diff(part["g0"], prepend=np.uint64(0))  # sorted by the first word
         if last:
             e = by_shard[entry_cuts[s]:entry_cuts[s + 1]]
-            part |= {"holders": np.bincount(np.searchsorted(mine, entry_gram[e]), minlength=len(mine)).astype(np.uint32),
-                     "doc": entry_doc[e].astype(np.uint32), "often": often[e].astype(np.uint32), "docs": np.array([docs], np.uint32)}
-        else:
-            part["place"] = mine.astype(np.uint32)
-        yield _row(names, [s, row["block"], pack(part), info if s == 0 else None])
+            part |= {"holders": np.bincount(np.searchsorted(mine, gram[e]), minlength=len(mine)).astype(np.uint32),
+                     "doc": doc[e].astype(np.uint32), "often": often[e].astype(np.uint32),
+                     "docs": np.array([len(block.sizes)], np.uint32)}
+        yield _row(names, [s, number, pack(part), info if s == 0 else None])
 
 
 def _merge(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -340,9 +352,9 @@ def _merge(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.
     return [c[first].astype(np.int64) for c in columns], first, inverse
 
 
-def _resolve(asked: list[dict], level: int, weight: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _resolve(asked: list[dict], level: int, weight: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Counts and log probabilities of the distinct n-grams of a shard, from
-    its trie, and the n-gram of every row asked."""
+    its trie, whether one block alone asked, and the n-gram of every row asked."""
     columns = [np.concatenate([np.cumsum(a["g0"]) for a in asked])]
     columns += [np.concatenate([a[f"g{k}"] for a in asked]) for k in range(1, level)]
     grams, first, inverse = _merge(columns)
@@ -360,26 +372,26 @@ def _resolve(asked: list[dict], level: int, weight: float) -> tuple[np.ndarray,
             there = np.flatnonzero(leaf >= 0)
             log_prob[there], counts[there] = trie.log_prob(leaf[there]), trie.count(leaf[there])
             del trie
-    return counts, log_prob, inverse
+    return counts, log_prob, np.bincount(inverse, minlength=len(first)) == 1, inverse
 
 
 def _answer_grams(level: int, weight: float):
-    def answer(table: pa.Table) -> pa.Table:
+    def answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         asked = [unpack(a) for a in table.column("asked").to_pylist()]
-        counts, log_prob, inverse = _resolve(asked, level, weight)
+        counts, log_prob, alone, inverse = _resolve(asked, level, weight)
         steps, out, at = quantised(log_prob), [], 0
         for a in asked:
-            mine = inverse[at:at + len(a["place"])]
+            mine = inverse[at:at + len(a["times"])]
             at += len(mine)
-            out.append(pack({"place": a["place"], "counts": counts[mine].astype(np.uint64), "steps": steps[mine]}))
-        return _answers(table.column("block").to_pylist(), level, out, [None] * len(out))
+            out.append(pack({"counts": counts[mine].astype(np.uint64), "steps": steps[mine], "alone": alone[mine].astype(np.uint8)}))
+        return _answers(table.column("block").to_pylist(), level, key[0].as_py(), out, [None] * len(out))
     return answer
 
 
 def _sum_texts(level: int, weight: float):
     def add(table: pa.Table) -> pa.Table:
         asked = [unpack(a) for a in table.column("asked").to_pylist()]
-        _, log_prob, inverse = _resolve(asked, level, weight)
+        _, log_prob, _, inverse = _resolve(asked, level, weight)
         out, at = [], 0
         for a in asked:
             mine = log_prob[inverse[at:at + len(a["times"])]]
@@ -437,12 +449,12 @@ def score_corpus(docs: DataFrame, train: Column, order: int = 3, id_col: str = "
         given = answers[0].where("block IS NOT NULL")
         for more in answers[1:]:
             given = given.unionByName(more)
-        given = given.groupBy("block").agg(F.collect_list(F.struct("level", "answer")).alias("answers"))
+        given = given.groupBy("block").agg(F.collect_list(F.struct("level", "shard", "answer")).alias("answers"))
         asked = (slim.join(given, "block", "left").mapInArrow(_ask_grams(level, order, shards, corpus), _ASK)
                  .repartition(shards, "shard").groupBy("shard"))
         if level < order:
             answers.append(released_table(asked.applyInArrow(_answer_grams(level, weights[level]), _ANSWER), f"grams-{level}"))
-    sums = asked.applyInArrow(_sum_texts(order, weights[order]), "block long, answer binary, info binary")
+    sums = released_table(asked.applyInArrow(_sum_texts(order, weights[order]), "block long, answer binary, info binary"), "sums")
     parts = sums.groupBy("block").agg(F.collect_list(F.struct("answer", "info")).alias("parts"))
     scored = (blocks.select("block", "doc_id", "train").join(parts, "block")
               .mapInArrow(_finish, _SCORED))

@@ -13,7 +13,7 @@ for _b in range(256):
     for _k, _place in enumerate(p for p in range(8) if _b >> p & 1):
         _NTH[_b, _k] = _place
 #: probabilities are held as whole numbers of this fraction of a decimal power
-STEPS = 2048
+STEPS = 1024
 
 
 def quantised(log_prob: np.ndarray) -> np.ndarray:

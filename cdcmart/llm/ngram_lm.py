@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import json
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,10 +36,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .common import mix, released_table, row_chunks, running_hash, span_hash, total_bytes, utf8
 from .elias_fano import STEPS, Trie, quantised, trie_arrays
 
-BLOCK_BYTES, SHARD_BYTES = 4 << 20, 8 << 20
+BLOCK_BYTES, SHARD_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20, 32 << 20
+#: Spark's own bound for a table's buckets
+MOST_BUCKETS = 100_000
 #: how many observations the shorter context's estimate is worth, by order
 WEIGHT = {2: 1000.0, 3: 50.0}
 START, END, UNKNOWN = 0, 1, -1
@@ -86,53 +90,49 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]
     return words, np.diff(seen[offsets])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = TaskContext.get().partitionId() << 33
-    for batch in batches:
-        data, offsets = utf8(batch.column("text"))
-        for lo, hi in row_chunks(offsets, BLOCK_BYTES):
-            words, sizes = _words(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
-            coded = words.dictionary_encode()
-            held, index = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            order = pc.sort_indices(held).to_numpy().astype(np.int64)
-            place = np.empty(len(order), np.int64)
-            place[order] = np.arange(len(order))
-            index = place[index]
-            train = np.array(batch.column("train").slice(lo, hi - lo).to_pylist(), bool)
-            learned = np.repeat(train, sizes)
-            times = np.bincount(index[learned], minlength=len(order))
-            sent = held.take(pa.array(order)).to_pylist() if len(held) else []
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), pa.array([batch.column("doc_id").slice(lo, hi - lo).to_pylist()], pa.list_(pa.int64())),
-                 pa.array([train.tolist()], pa.list_(pa.bool_())),
-                 pa.array([pack({"index": index.astype(np.uint32), "sizes": sizes.astype(np.uint32)})], pa.binary()),
-                 pa.array([zstandard.ZstdCompressor(level=3).compress(b"\n".join(sent))], pa.binary()),
-                 pa.array([pack({"times": times.astype(np.uint64)})], pa.binary()),
-                 pa.array([int(learned.sum())], pa.int64()), pa.array([int(train.sum())], pa.int64())],
-                [f.split()[0] for f in _BLOCK.split(", ")])
-            number += 1
+def _blocks(shards: int):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            data, offsets = utf8(batch.column("text"))
+            for lo, hi in row_chunks(offsets, BLOCK_BYTES):
+                words, sizes = _words(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+                coded = words.dictionary_encode()
+                held, index = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                order = pc.sort_indices(held).to_numpy().astype(np.int64)
+                place = np.empty(len(order), np.int64)
+                place[order] = np.arange(len(order))
+                index = place[index]
+                train = np.array(batch.column("train").slice(lo, hi - lo).to_pylist(), bool)
+                learned = np.repeat(train, sizes)
+                times = np.bincount(index[learned], minlength=len(order))
+                sent = held.take(pa.array(order)).to_pylist()
+                blob = b"\n".join(sent)
+                ends = np.cumsum([len(w) + 1 for w in sent], dtype=np.int64)
+                starts = np.concatenate([[0], ends])[:-1]
+                shard = span_hash(running_hash(np.frombuffer(blob, np.uint8)), starts, ends - 1) % np.uint64(shards)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number], pa.int64()), pa.array([batch.column("doc_id").slice(lo, hi - lo).to_pylist()], pa.list_(pa.int64())),
+                     pa.array([train.tolist()], pa.list_(pa.bool_())),
+                     pa.array([pack({"index": index.astype(np.uint32), "sizes": sizes.astype(np.uint32)})], pa.binary()),
+                     pa.array([zstandard.ZstdCompressor(level=3).compress(blob)], pa.binary()),
+                     pa.array([pack({"times": times.astype(np.uint64), "shard": shard.astype(np.uint32)})], pa.binary()),
+                     pa.array([int(learned.sum())], pa.int64()), pa.array([int(train.sum())], pa.int64())],
+                    [f.split()[0] for f in _BLOCK.split(", ")])
+                number += 1
+    return cut
 
 
 # --------------------------------------------------------------------------- words
 
-def _ask_words(shards: int):
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, words, times in zip(*(batch.column(c).to_pylist() for c in ("block", "words", "times"))):
-                blob = zstandard.ZstdDecompressor().decompress(words)
-                if not blob:
-                    continue
-                held = blob.split(b"\n")
-                ends = np.cumsum([len(w) + 1 for w in held])
-                starts = np.concatenate([[0], ends[:-1]])
-                prefix = running_hash(np.frombuffer(blob, np.uint8))
-                shard = (span_hash(prefix, starts, ends - 1) % np.uint64(shards)).astype(np.int64)
-                count = unpack(times)["times"]
-                for s in np.unique(shard).tolist():
-                    mine = np.flatnonzero(shard == s)
-                    sent = zstandard.ZstdCompressor(level=1).compress(b"\n".join([held[i] for i in mine.tolist()]))
-                    yield _row(["shard", "block", "words", "asked"], [s, block, sent, pack({"times": count[mine], "place": mine.astype(np.uint32)})])
-    return ask
+def _ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for block, words, times in zip(*(batch.column(c).to_pylist() for c in ("block", "words", "times"))):
+            held, count = zstandard.ZstdDecompressor().decompress(words).split(b"\n"), unpack(times)
+            for s in np.unique(count["shard"]).tolist():
+                mine = np.flatnonzero(count["shard"] == s)
+                sent = zstandard.ZstdCompressor(level=1).compress(b"\n".join([held[i] for i in mine.tolist()]))
+                yield _row(["shard", "block", "words", "asked"], [s, block, sent, pack({"times": count["times"][mine]})])
 
 
 def _row(names: list[str], values: list) -> pa.RecordBatch:
@@ -169,7 +169,7 @@ def _count_words(shards: int):
         for a in asked:
             mine = index[at:at + len(a["times"])]
             at += len(mine)
-            out.append(pack({"place": a["place"], "ids": ids[mine], "counts": counts[mine].astype(np.uint64), "alone": alone[mine].astype(np.uint8)}))
+            out.append(pack({"ids": ids[mine], "counts": counts[mine].astype(np.uint64), "alone": alone[mine].astype(np.uint8)}))
         blocks = table.column("block").to_pylist()
         return _answers([*blocks, None], 1, key[0].as_py(), [*out, None], [None] * len(blocks) + [int((counts > 0).sum())])
     return count
@@ -191,13 +191,13 @@ class _Block:
     """A block's texts as one sequence: per text its start marks, its words
     and the end; with the state of one order at every place."""
 
-    def __init__(self, tokens: bytes, train: list[bool], words: list[dict], corpus: _Corpus, order: int, shards: int):
-        stored = unpack(tokens)
+    def __init__(self, tokens: bytes, times: bytes, train: list[bool], words: list[dict], corpus: _Corpus, order: int, shards: int):
+        stored, word_shard = unpack(tokens), unpack(times)["shard"]
         index, sizes = stored["index"].astype(np.int64), stored["sizes"].astype(np.int64)
         n_words = int(index.max(initial=-1)) + 1
         ids, counts, alone = np.full(n_words, UNKNOWN, np.int64), np.zeros(n_words, np.int64), np.zeros(n_words, bool)
         for part in words:
-            at = part["place"]
+            at = np.flatnonzero(word_shard == part["shard"])
             ids[at], counts[at], alone[at] = part["ids"], part["counts"].astype(np.int64), part["alone"] > 0
         pad = order - 1
         length = sizes + pad + 1
@@ -300,7 +300,7 @@ def _ask_grams(level: int, order: int, shards: int, corpus: _Corpus):
                 parts: dict[int, list[dict]] = {}
                 for a in row["answers"] or []:
                     parts.setdefault(a["level"], []).append(unpack(a["answer"]) | {"shard": a["shard"]})
-                block = _Block(row["tokens"], row["train"], parts.get(1, []), corpus, order, shards)
+                block = _Block(row["tokens"], row["times"], row["train"], parts.get(1, []), corpus, order, shards)
                 block.step()
                 while block.level < level:
                     block.absorb(parts.get(block.level, []))
@@ -435,27 +435,34 @@ def score_corpus(docs: DataFrame, train: Column, order: int = 3, id_col: str = "
     """
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"),
                        F.coalesce(train, F.lit(False)).alias("train"))
-    shards = max(1, -(-total_bytes(rows) // shard_bytes))
-    blocks = released_table(rows.mapInArrow(_blocks, _BLOCK), "blocks")
+    size = total_bytes(rows)
+    shards, buckets = max(1, -(-size // shard_bytes)), max(1, min(MOST_BUCKETS, size // BUCKET_BYTES))
+    # bucketed by block, so that only the answers move when they come back to the blocks
+    spark, table = docs.sparkSession, f"ngram_blocks_{uuid.uuid4().hex}"
+    (rows.mapInArrow(_blocks(shards), _BLOCK).write.bucketBy(buckets, "block")
+     .option("path", scratch_path(spark, table)).saveAsTable(table))
+    blocks = spark.table(table)
     answers = [released_table(
-        blocks.select("block", "words", "times").mapInArrow(_ask_words(shards), "shard long, block long, words binary, asked binary")
+        blocks.select("block", "words", "times").mapInArrow(_ask_words, "shard long, block long, words binary, asked binary")
         .repartition(shards, "shard").groupBy("shard").applyInArrow(_count_words(shards), _ANSWER), "words")]
     texts, tokens = blocks.agg(F.sum("docs_learned"), F.sum("learned")).first()
     texts, tokens = int(texts or 0), int(tokens or 0)
     words = int(answers[0].agg(F.sum("known")).first()[0] or 0)
     corpus = _Corpus(tokens + texts, words + (texts > 0), texts, weights)
-    slim = blocks.select("block", "train", "tokens")
+    slim = blocks.select("block", "train", "tokens", "times")
     for level in range(2, order + 1):
         given = answers[0].where("block IS NOT NULL")
         for more in answers[1:]:
             given = given.unionByName(more)
-        given = given.groupBy("block").agg(F.collect_list(F.struct("level", "shard", "answer")).alias("answers"))
+        given = given.repartition(buckets, "block").groupBy("block").agg(F.collect_list(F.struct("level", "shard", "answer")).alias("answers"))
         asked = (slim.join(given, "block", "left").mapInArrow(_ask_grams(level, order, shards, corpus), _ASK)
                  .repartition(shards, "shard").groupBy("shard"))
         if level < order:
             answers.append(released_table(asked.applyInArrow(_answer_grams(level, weights[level]), _ANSWER), f"grams-{level}"))
     sums = released_table(asked.applyInArrow(_sum_texts(order, weights[order]), "block long, answer binary, info binary"), "sums")
-    parts = sums.groupBy("block").agg(F.collect_list(F.struct("answer", "info")).alias("parts"))
+    parts = sums.repartition(buckets, "block").groupBy("block").agg(F.collect_list(F.struct("answer", "info")).alias("parts"))
     scored = (blocks.select("block", "doc_id", "train").join(parts, "block")
               .mapInArrow(_finish, _SCORED))
-    return released_table(scored, "scored").withColumn("train_tokens", F.lit(corpus.tokens).cast("long"))
+    out = released_table(scored, "scored").withColumn("train_tokens", F.lit(corpus.tokens).cast("long"))
+    spark.sql(f"DROP TABLE {table}")
+    return out

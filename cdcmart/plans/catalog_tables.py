@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.interval import Interval, in_interval
 from ..functions.recipes import MATERIALS, expand_materials
@@ -57,6 +58,27 @@ def csv_retail_10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, path, RETAIL_SCHEMA, columns=RETAIL_COLUMNS_NO_OP, multiline=False)
 
 
+_TEXT_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+                             T.StructField("lang", T.StringType()), T.StructField("source", T.StringType())])
+
+
+@register("csv_split_multiline", "SELECT doc_id, text, lang, source FROM documents")
+def csv_split_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks as CSV, every split of a file read by its own
+    task, records cut by the quotes before them (S1, S8)."""
+    path = scratch_path(spark, "texts")
+    csv_writer(fx.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")).save(path)
+    return read_delimited(spark, path, _TEXT_SCHEMA, multiline="split")
+
+
+@register("lake_split_interval", with_fixtures("origin_e") + f"\nSELECT * FROM origin_e WHERE invoicedate >= {_DAY}")
+def lake_split_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day of the lake's CSV folders, read in splits."""
+    root = scratch_path(spark, "lake")
+    write_partitioned(fx.origin_e(spark, sf_dir), root, "retail", "invoicedate")
+    return read_interval(spark, root, "retail", RETAIL_SCHEMA, Interval.parse(SLICE_START, SLICE_END), multiline="split")
+
+
 @register("csv_headerless", with_fixtures("demand") + "\nSELECT shop_id, date, product_name, demand FROM demand")
 def csv_headerless(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Demand written and read without a header line."""

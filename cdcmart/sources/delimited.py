@@ -8,18 +8,22 @@
   not matched; never ``inferSchema``;
 * ``columns=`` names the columns the file holds (in file order); schema
   columns absent from the file become NULL (or a default expression);
-* ``multiLine`` (fields with embedded newlines) is on by default; such files
-  cannot be split, so large inputs should be converted to Parquet once.
+* ``multiline`` (fields with embedded newlines): ``True`` (default) reads
+  each file whole in one task, ``False`` has one record per line, and
+  ``"split"`` reads every split of a file in its own task and finds the true
+  record ends by the quotes before them (``quoted.py``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .quoted import read_records
+
 EMPTY_MARK = "\u0001"
 WRITE_TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -36,23 +40,27 @@ def _file_schema(schema: T.StructType, columns: Sequence[str] | None) -> T.Struc
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
                    header: bool = True, columns: Sequence[str] | None = None,
-                   mode: str = "FAILFAST", multiline: bool = True, sep: str = ",",
+                   mode: str = "FAILFAST", multiline: bool | str = True, sep: str = ",",
                    defaults: Mapping[str, Column] | None = None,
-                   keep_partition_columns: bool = False) -> DataFrame:
+                   keep_partition_columns: bool = False,
+                   keep: Callable[[DataFrame], Column] | None = None) -> DataFrame:
     """Read CSV into ``schema`` (see module doc). Returns the schema's columns
-    in schema order (plus partition columns if ``keep_partition_columns``)."""
+    in schema order (plus partition columns if ``keep_partition_columns``).
+    ``keep`` is a condition on partition columns, which prunes their folders."""
     file_schema = _file_schema(schema, columns)
-    df = (spark.read.schema(file_schema)
-          .option("header", header)
-          .option("sep", sep)
-          .option("quote", '"')
-          .option("escape", '"')
-          .option("multiLine", multiline)
-          .option("mode", mode)
-          .option("nullValue", "")
-          .option("emptyValue", EMPTY_MARK)
-          .option("enforceSchema", True)
-          .csv(path))
+    options = {"sep": sep, "quote": '"', "escape": '"', "mode": mode, "nullValue": "", "emptyValue": EMPTY_MARK}
+    if multiline == "split":
+        records = read_records(spark, path, keep)
+        kept = records.where("NOT first") if header else records
+        parsed = F.from_csv("record", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in file_schema.fields),
+                            options | {"multiLine": "true"})
+        df = kept.select(parsed.alias("record"), *[c for c in kept.columns if c not in ("record", "first")]).select(
+            "record.*", *[c for c in kept.columns if c not in ("record", "first")])
+    else:
+        df = (spark.read.schema(file_schema).options(**options).option("header", header).option("multiLine", multiline)
+              .option("enforceSchema", True).csv(path))
+        if keep is not None:
+            df = df.where(keep(df))
     out = []
     defaults = dict(defaults or {})
     for field in schema.fields:
@@ -79,4 +87,6 @@ def csv_writer(df: DataFrame, header: bool = True, sep: str = ","):
             .option("escape", '"')
             .option("nullValue", "")
             .option("emptyValue", '""')
+            .option("ignoreLeadingWhiteSpace", False)  # the writer trims by default
+            .option("ignoreTrailingWhiteSpace", False)
             .option("timestampNTZFormat", WRITE_TIMESTAMP_TEXT))

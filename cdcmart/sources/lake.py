@@ -97,20 +97,21 @@ def _days_held(df: DataFrame, root: str, dataset: str, interval: Interval, fmt:
 
 
 def read_partitioned(spark: SparkSession, root: str, dataset: str, schema: T.StructType,
-                     fmt: str = "csv", header: bool = True, interval: Interval | None = None) -> DataFrame:
+                     fmt: str = "csv", header: bool = True, interval: Interval | None = None,
+                     multiline: bool | str = True) -> DataFrame:
     """Read a partitioned dataset back into ``schema`` (partition folders
-    pruned by ``interval`` on ``ds``)."""
+    pruned by ``interval`` on ``ds``); ``multiline`` as of ``read_delimited``."""
     base = f"{root.rstrip('/')}/{dataset}"
+    keep = None if interval is None else lambda df: interval_predicate(df, "ds", interval)
     if fmt == "csv":
-        df = read_delimited(spark, base, schema, header=header, keep_partition_columns=True)
+        df = read_delimited(spark, base, schema, header=header, multiline=multiline, keep_partition_columns=True, keep=keep)
     else:
         df = spark.read.schema(schema).format(fmt).load(base)
-    if interval is not None:
-        df = df.where(interval_predicate(df, "ds", interval))
+        df = df if keep is None else df.where(keep(df))
     return df.select(*schema.fieldNames())
 
 
 def read_interval(spark: SparkSession, root: str, dataset: str, schema: T.StructType,
-                  interval: Interval, fmt: str = "csv", header: bool = True) -> DataFrame:
+                  interval: Interval, fmt: str = "csv", header: bool = True, multiline: bool | str = True) -> DataFrame:
     """One interval of a lake dataset (no download: the folder is read in place)."""
-    return read_partitioned(spark, root, dataset, schema, fmt, header, interval)
+    return read_partitioned(spark, root, dataset, schema, fmt, header, interval, multiline)

@@ -66,8 +66,23 @@ def length_violations(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     return one.select(F.inline(rows))
 
 
-def require_lengths(df: DataFrame, limits: Mapping[str, int]) -> None:
-    bad = length_violations(df, limits).where(F.col("violations") > 0).collect()
-    if bad:
-        raise ConstraintViolation("length limits violated: " + ", ".join(
-            f"{r['column']} > {r['limit_length']} ({r['violations']} rows)" for r in bad))
+class ObservedConstraints:
+    """Keys without NULL parts and text lengths, checked *while* an action
+    (the snapshot write) runs: no pass of its own. Uniqueness cannot be
+    observed; the merge checks it on the changes and the new keys."""
+
+    def __init__(self, df: DataFrame, keys: Sequence[str], limits: Mapping[str, int]):
+        from pyspark.sql import Observation
+        self.limits = {c: n for c, n in limits.items() if c in df.columns}
+        self.keys = list(keys)
+        self.observation = Observation("cdcmart_constraints")
+        self.df = df.observe(self.observation, *[F.count(F.when(F.col(k).isNull(), 1)).alias(f"null_{k}") for k in self.keys],
+                             *[F.count(F.when(F.length(c) > n, 1)).alias(f"long_{c}") for c, n in self.limits.items()])
+
+    def require(self, what: str) -> None:
+        """Raise when the observed rows break a constraint, after the action."""
+        counts = self.observation.get
+        bad = [f"{counts[f'null_{k}']} rows without {k}" for k in self.keys if counts[f"null_{k}"]]
+        bad += [f"{counts[f'long_{c}']} texts of {c} over {n} characters" for c, n in self.limits.items() if counts[f"long_{c}"]]
+        if bad:
+            raise ConstraintViolation(f"{what}: " + "; ".join(bad))

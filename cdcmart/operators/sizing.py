@@ -51,7 +51,7 @@ def _width(field: T.StructField):
     return F.coalesce(F.octet_length(c.cast("string")), F.lit(0))
 
 
-def _row_bytes(df: DataFrame):
+def row_bytes(df: DataFrame):
     row_bytes = F.lit(ROW_OVERHEAD_BYTES)
     for field in df.schema.fields:
         row_bytes = row_bytes + _width(field)
@@ -69,7 +69,7 @@ def measure_many(frames: list[DataFrame]) -> list[tuple[int, int]]:
     from pyspark.sql import Observation
     tagged = None
     for i, df in enumerate(frames):
-        one = df.select(F.lit(i).alias("tag"), _row_bytes(df).alias("b"))
+        one = df.select(F.lit(i).alias("tag"), row_bytes(df).alias("b"))
         tagged = one if tagged is None else tagged.unionByName(one)
     metrics = []
     for i in range(len(frames)):

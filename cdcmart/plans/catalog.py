@@ -416,16 +416,27 @@ def interval_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 REPLAY_ORACLE_START, REPLAY_ORACLE_DAYS = "2024-01-01", 31
 
 
-def _replay_sql() -> str:
+def _replay_sql(days: int = REPLAY_ORACLE_DAYS) -> str:
     import datetime as dt
     start = dt.date.fromisoformat(REPLAY_ORACLE_START)
     parts = [with_fixtures("origin_e", "stage_e"), f"s0 AS (SELECT {_COLS} FROM origin_e WHERE false)"]
-    for i in range(1, REPLAY_ORACLE_DAYS + 1):
+    for i in range(1, days + 1):
         lo, hi = start + dt.timedelta(days=i - 1), start + dt.timedelta(days=i)
         cond = f"WHERE invoicedate >= TIMESTAMP '{lo}' AND invoicedate < TIMESTAMP '{hi}'"
         parts.append(f"a{i} AS (SELECT {_COLS} FROM s{i - 1} UNION ALL SELECT {_COLS} FROM origin_e {cond})")
         parts.append(_latest_sql("stage_e", f"l{i}", where=cond))
         parts.append(f"s{i} AS ({_merge_sql(f'a{i}', f'l{i}', list(RETAIL_COLUMNS))})")
+    return ",\n".join(parts) + f"\nSELECT * FROM s{days}"
+
+
+def _stream_sql() -> str:
+    """The orders-sized target with the changes of every day merged in order."""
+    import datetime as dt
+    start = dt.date.fromisoformat(REPLAY_ORACLE_START)
+    parts = [with_fixtures("origin_o", "stage_o"), f"s0 AS (SELECT {_COLS} FROM origin_o)"]
+    for i in range(1, REPLAY_ORACLE_DAYS + 1):
+        parts.append(_latest_sql("stage_o", f"l{i}", where=f"WHERE CAST(invoicedate AS DATE) = '{start + dt.timedelta(days=i - 1)}'"))
+        parts.append(f"s{i} AS ({_merge_sql(f's{i - 1}', f'l{i}', list(RETAIL_COLUMNS))})")
     return ",\n".join(parts) + f"\nSELECT * FROM s{REPLAY_ORACLE_DAYS}"
 
 
@@ -454,19 +465,34 @@ def replay_catchup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catch_up(origin, changes, span.start, span.end)
 
 
-@register("stream_merge", _MERGE_O)
+@register("stream_merge", _stream_sql())
 def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change feed landed as files and consumed by a Structured Streaming
-    query (``availableNow``): the micro-batch's latest change per id is merged
-    into the published target snapshot in ``foreachBatch``; the newest snapshot."""
+    query (``availableNow``): every batch folded into the published target
+    snapshot, day by day, in ``foreachBatch``; the newest snapshot (S11, M7)."""
+    return _streamed(spark, sf_dir, lambda feed: [feed])
+
+
+@register("stream_merge_days", _stream_sql())
+def stream_merge_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same feed in three batches: the even days of the second half, then
+    every other row of all the rest, then what is left, so days come late, in
+    the wrong order and in parts (M7, B6)."""
+    day, half = F.dayofmonth("invoicedate"), F.pmod(F.xxhash64("invoice"), F.lit(2)) == 0
+    late = (day > 15) & (day % 2 == 0)
+    return _streamed(spark, sf_dir, lambda feed: [feed.where(late), feed.where(~late & half), feed.where(~late & ~half)])
+
+
+def _streamed(spark: SparkSession, sf_dir: str, cut: Callable[[DataFrame], list[DataFrame]]) -> DataFrame:
     from ..session import scratch_path
     from ..sources.snapshots import SnapshotStore
     from ..streaming.changes import merge_stream
     root = scratch_path(spark, "stream")
     store = SnapshotStore(spark, f"{root}/state")
     store.write(fx.origin_o(spark, sf_dir), "1900-01-01")
-    fx.stage_o(spark, sf_dir).write.parquet(f"{root}/changes")
-    merge_stream(spark, f"{root}/changes", store, per_day=False)  # the whole feed as one slice
+    for part in cut(fx.stage_o(spark, sf_dir)):
+        part.write.mode("append").parquet(f"{root}/changes")
+        merge_stream(spark, f"{root}/changes", store)  # the stream goes on where it stopped
     return spark.read.parquet(store.newest()[1])
 
 

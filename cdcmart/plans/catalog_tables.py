@@ -24,10 +24,10 @@ from ..sources.lake import read_interval, write_interval, write_partitioned
 from ..sources.snapshots import SnapshotStore
 from ..sources.tables import append, clear, ensure_table, full_refresh, read_table
 from . import fixtures as fx
-from .catalog import (_COLS, _COLS_NO_OP, KG_SQL, SLICE_END, SLICE_START, _latest_sql, _mart_query_sql, _mart_sql,
+from .catalog import (_COLS, _COLS_NO_OP, KG_SQL, REPLAY_ORACLE_DAYS, REPLAY_ORACLE_START, SLICE_END, SLICE_START, _latest_sql, _mart_query_sql, _mart_sql,
                       _merge_sql, _replay_sql, register)
 from .fixtures import with_fixtures
-from .jobs import data_span, replay, rerun, run_day, run_extract, run_material_g_landing, run_material_kg
+from .jobs import data_span, refresh, replay, rerun, run_day, run_extract, run_material_g_landing, run_material_kg
 
 _DAY = "TIMESTAMP '2024-01-03' AND invoicedate < TIMESTAMP '2024-01-04'"
 
@@ -282,6 +282,63 @@ def replay_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rerun(store, origin, changes, late)
 
 
+@register("replay_ledger", _replay_sql())
+def replay_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days but the last four caught up in one pass; the last four brought
+    up to date while the changes of one of them are missing, then with them:
+    exactly that day and the days after it run again, and a third time none (B6)."""
+    origin, changes = fx.origin_e(spark, sf_dir), fx.stage_e(spark, sf_dir)
+    span = data_span((origin, "invoicedate"), (changes, "invoicedate"))
+    daily, late = max(span.start, span.end - dt.timedelta(days=4)), span.end - dt.timedelta(days=2)
+    store = SnapshotStore(spark, scratch_path(spark, "ledger"))
+    if daily > span.start:
+        store.write(catch_up(origin, changes, span.start, daily), daily - dt.timedelta(days=1))
+    refresh(store, origin, changes.where(F.to_date("invoicedate") != F.lit(late)), daily, span.end)
+    state, ran = refresh(store, origin, changes, daily, span.end)
+    _, again = refresh(store, origin, changes, daily, span.end)
+    if (ran, again) != ([d.ds for d in Interval(late, span.end).days()], []):
+        raise AssertionError(f"the wrong days ran: {ran}, {again}")
+    return state
+
+
+@register("replay_gap_refused", _replay_sql(REPLAY_ORACLE_DAYS - 3))
+def replay_gap_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four weeks published; the day after the next is refused as the one
+    before it is missing, and the state stays (B1, B2, B6)."""
+    origin, changes = fx.origin_e(spark, sf_dir), fx.stage_e(spark, sf_dir)
+    done = dt.date.fromisoformat(REPLAY_ORACLE_START) + dt.timedelta(days=REPLAY_ORACLE_DAYS - 3)
+    store = SnapshotStore(spark, scratch_path(spark, "gap"))
+    store.write(catch_up(origin, changes, REPLAY_ORACLE_START, done), done - dt.timedelta(days=1))
+    try:
+        run_day(store, origin, changes, done + dt.timedelta(days=1))
+    except ConstraintViolation:
+        return spark.read.parquet(store.newest()[1])
+    raise AssertionError("a day without its predecessor ran")
+
+
+@register("merge_constraints", _replay_sql())
+def merge_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last day with an insert that has no id, then with one whose text is
+    too long: neither is published; then as it is (K12, K13, M2)."""
+    origin, changes = fx.origin_e(spark, sf_dir), fx.stage_e(spark, sf_dir)
+    span = data_span((origin, "invoicedate"), (changes, "invoicedate"))
+    last = span.end - dt.timedelta(days=1)
+    store = SnapshotStore(spark, scratch_path(spark, "constraints"))
+    store.write(catch_up(origin, changes, span.start, last), last - dt.timedelta(days=1))
+    new = (changes.where(F.to_date("invoicedate") == F.lit(last)).limit(1)  # one row shows the fault
+           .withColumns({"operation": F.lit("I"), "id": F.lit(2_000_000_000)}))
+    bad = [new.withColumn("id", F.lit(None).cast("int")), new.withColumn("invoice", F.repeat(F.lit("x"), 150))]
+    refused = 0
+    for row in bad:
+        try:
+            run_day(store, origin, changes.unionByName(row), last)
+        except ConstraintViolation:
+            refused += 1
+    if refused != len(bad):
+        raise AssertionError("a row that breaks a constraint was published")
+    return spark.read.parquet(run_day(store, origin, changes, last))
+
+
 @register("job_material_kg", KG_SQL)
 def job_material_kg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extract to the lake, kg mart to the lake, load of the mart table; the

@@ -17,18 +17,19 @@ import functools
 import operator
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.interval import DateLike, Interval, in_interval, interval_predicate
 from ..operators.checks import ObservedChecks, column_checks
-from ..operators.keys import ConstraintViolation
+from ..operators.keys import ConstraintViolation, ObservedConstraints
 from ..operators.latest import latest_per_key
 from ..operators.materials import material_demand
 from ..operators.merge import append_interval, apply_changes, upsert
-from ..operators.sizing import broadcast_limit, fits_broadcast, measure_many
-from ..schemas import DEMAND_SCHEMA, MATERIAL_G_SCHEMA, MATERIAL_KG_SCHEMA, RETAIL_CHECKS, RETAIL_LENGTHS, RETAIL_SCHEMA
+from ..operators.sizing import broadcast_limit, fits_broadcast, row_bytes
+from ..schemas import (DEMAND_SCHEMA, MATERIAL_G_SCHEMA, MATERIAL_KG_SCHEMA, OP_DELETE, OP_UPDATE, RETAIL_CHECKS, RETAIL_LENGTHS,
+                       RETAIL_SCHEMA)
 from ..session import scratch_path
 from ..sources.lake import read_interval, write_interval
 from ..sources.snapshots import SnapshotStore
@@ -71,51 +72,72 @@ def run_origin(state: DataFrame, origin: DataFrame, interval: Interval, column:
     return appended
 
 
-def run_changes(state: DataFrame, changes: DataFrame, interval: Interval,
-                column: str = "invoicedate", checks: Mapping | None = RETAIL_CHECKS,
-                strategy: str = "auto") -> tuple[DataFrame, DataFrame | None]:
-    """Merge the interval's latest changes (B2). Returns (merged, check report)."""
-    sliced = in_interval(changes, interval, column)
-    merged = apply_changes(state, latest_per_key(sliced), strategy=strategy, size_probe=sliced)
-    report = column_checks(merged, checks) if checks else None
-    return merged, report
-
-
 def empty_state(spark: SparkSession, schema=RETAIL_SCHEMA) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")
+
+
+def _digest(origin: tuple, changes: tuple) -> str:
+    """Of a day's two slices, whatever the order of their rows: (rows, sum of row hashes) each."""
+    return ";".join(f"{int(n)}:{int(h or 0)}" for n, h in (origin, changes))
+
+
+def _measure_day(origin_day: DataFrame, changes_day: DataFrame, keys: Sequence[str]) -> tuple[int, int, int, int, str]:
+    """Rows and key bytes of the new rows, rows of the changes and bytes of
+    those that update or delete, and the digest of both: one pass, one job."""
+    touches = F.col("operation").isin(OP_UPDATE, OP_DELETE)
+    slices = [origin_day.select(F.lit(0).alias("tag"), row_bytes(origin_day.select(*keys)).alias("b"), _row_hash(origin_day).alias("h")),
+              changes_day.select(F.lit(1).alias("tag"), F.when(touches, row_bytes(changes_day)).otherwise(0).alias("b"),
+                                 _row_hash(changes_day).alias("h"))]
+    observation = Observation("cdcmart_day")
+    both = slices[0].unionByName(slices[1]).observe(observation, *[
+        f.alias(f"{name}{i}") for i in (0, 1) for name, f in (
+            ("n", F.count(F.when(F.col("tag") == i, 1))), ("b", F.sum(F.when(F.col("tag") == i, F.col("b")))),
+            ("h", F.sum(F.when(F.col("tag") == i, F.col("h")))))])
+    both.write.format("noop").mode("overwrite").save()
+    got = observation.get
+    return (int(got["n0"]), int(got["b0"] or 0), int(got["n1"]), int(got["b1"] or 0),
+            _digest((got["n0"], got["h0"]), (got["n1"], got["h1"])))
+
+
 def run_day(store: SnapshotStore, origin: DataFrame, changes: DataFrame, ds: DateLike,
             column: str = "invoicedate", checks: Mapping | None = RETAIL_CHECKS,
             keys: Sequence[str] | None = ("id", "last_updated"), strategy: str = "auto",
             schema=RETAIL_SCHEMA, previous: str | None = None) -> str:
     """One day: previous snapshot -> append -> merge -> write (+checks) -> publish.
 
-    The checks are observed metrics of the snapshot write itself (no extra
-    pass); the snapshot is published only when every check passes, otherwise
-    nothing is published and ``ConstraintViolation`` is raised.
+    The checks and the table's constraints (keys not null, text lengths) are
+    observed metrics of the snapshot write itself (no extra pass); the snapshot
+    is published only when all hold, otherwise nothing is published and
+    ``ConstraintViolation`` is raised.
     ``previous`` is the previous day's snapshot folder when the caller knows
-    it (the replay does); otherwise the newest published one before ``ds``.
+    it (the replay does); otherwise the day before must be published: a day
+    whose predecessor is missing is refused, unless it is the store's first.
     A quiet day (no origin rows, no changes) publishes the previous folder
-    again instead of copying the state.
+    again instead of copying the state. The record names the record of the day
+    before and the digest of the day's input.
     """
     spark = store.spark
     interval = Interval.day(ds)
+    held = store.chain()
+    before = (interval.start - dt.timedelta(days=1)).isoformat()
     if previous is None:
-        prev = store.latest_before(interval.start)
-        previous = prev[1] if prev else None
+        last = max((d for d in held if d < interval.ds), default=None)
+        if last is not None and last != before:
+            raise ConstraintViolation(f"{interval.ds} cannot run: {before} is not published (the last day is {last})")
+        previous = held[last]["path"] if last else None
+    parent = held[before]["run"] if before in held else None
     state = spark.read.schema(schema).parquet(previous) if previous else empty_state(spark, schema)
-    # One pass measures the day's U/D changes, its origin keys and all its
-    # changes: the broadcast decisions, and whether the day changes anything.
     origin_day = in_interval(origin, interval, column)
     changes_day = in_interval(changes, interval, column)
     limit = broadcast_limit(spark)
-    key_cols = list(keys) if keys else ["id"]
-    (ud_rows, ud_bytes), (new_rows, new_bytes), (all_rows, _) = measure_many(
-        [changes_day.where(F.col("operation").isin("U", "D")), origin_day.select(*key_cols), changes_day])
+    new_rows, new_bytes, all_rows, ud_bytes, digest = _measure_day(origin_day, changes_day, list(keys) if keys else ["id"])
     if previous and new_rows == 0 and all_rows == 0:
         # A quiet day: the state is unchanged and was checked when published.
-        store.publish(interval.start, previous)
+        store.publish(interval.start, previous, parent, digest)
         return previous
     if strategy == "auto":
         strategy = "broadcast" if 0 <= limit and ud_bytes <= limit else "shuffle"
@@ -124,14 +146,25 @@ def run_day(store: SnapshotStore, origin: DataFrame, changes: DataFrame, ds: Dat
     else:
         state = append_interval(state, origin, interval, column)
     merged = apply_changes(state, latest_per_key(changes_day), strategy=strategy, size_probe=changes_day)
-    observed = ObservedChecks(merged, checks) if checks else None
-    path = store.stage(observed.df if observed else merged, interval.start)
-    if observed:
-        failed = observed.failures()
-        if failed:
-            raise ConstraintViolation(f"checks failed for {interval.ds}, snapshot not published: "
-                                      + "; ".join(f"{c}.{k}={a} not {op} {e}" for c, k, a, op, e in failed))
-    store.publish(interval.start, path)
+    path = stage_checked(store, merged, interval.start, checks, keys)
+    store.publish(interval.start, path, parent, digest)
+    return path
+
+
+def stage_checked(store: SnapshotStore, state: DataFrame, day: dt.date, checks: Mapping | None,
+                  keys: Sequence[str] | None) -> str:
+    """Write a state as the day's snapshot, not yet published; raise when a
+    configured check or a constraint of the table does not hold. Both are
+    observed while it is written."""
+    constraints = ObservedConstraints(state, keys, RETAIL_LENGTHS) if keys else None
+    observed = ObservedChecks(constraints.df if constraints else state, checks) if checks else None
+    path = store.stage(observed.df if observed else constraints.df if constraints else state, day)
+    if constraints:
+        constraints.require(f"{day.isoformat()} breaks the table's constraints, snapshot not published")
+    failed = observed.failures() if observed else []
+    if failed:
+        raise ConstraintViolation(f"checks failed for {day.isoformat()}, snapshot not published: "
+                                  + "; ".join(f"{c}.{k}={a} not {op} {e}" for c, k, a, op, e in failed))
     return path
 
 
@@ -157,6 +190,33 @@ def replay(store: SnapshotStore, origin: DataFrame, changes: DataFrame, start: D
     return store.spark.read.parquet(last)
 
 
+def refresh(store: SnapshotStore, origin: DataFrame, changes: DataFrame, start: DateLike, end: DateLike,
+            column: str = "invoicedate", **kwargs) -> tuple[DataFrame, list[str]]:
+    """Bring every day of ``[start, end)`` up to date with its input: a day
+    whose input digest and parent are those of its record is skipped, the first
+    day that is new or changed and all days after it are run. One aggregate
+    over the inputs (two rows a day) decides. Returns the last state and the
+    days that ran."""
+    span = Interval.parse(start, end)
+    tagged = [in_interval(df, span, column).select(F.to_date(F.col(column)).cast("string").alias("ds"), F.lit(i).alias("tag"),
+                                                   _row_hash(df).alias("h")) for i, df in enumerate((origin, changes))]
+    found = {(r["ds"], r["tag"]): (r["n"], r["h"]) for r in tagged[0].unionByName(tagged[1]).groupBy("ds", "tag")
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("h")).collect()}
+    held = store.chain()
+    before = held.get((span.start - dt.timedelta(days=1)).isoformat())
+    last, parent = (before["path"], before["run"]) if before else (None, None)
+    ran = []
+    for day in span.days():
+        record = held.get(day.ds)
+        digest = _digest(found.get((day.ds, 0), (0, 0)), found.get((day.ds, 1), (0, 0)))
+        if not ran and record is not None and record["digest"] == digest and record["parent"] == parent:
+            last, parent = record["path"], record["run"]
+            continue
+        last = run_day(store, origin, changes, day.start, column=column, previous=last, **kwargs)
+        ran.append(day.ds)
+    return store.spark.read.parquet(last), ran
+
+
 def data_span(*frames_and_columns: tuple[DataFrame, str]) -> Interval:
     """The day span ``[min day, max day + 1)`` covered by the given columns:
     one pass over the columns, the bounds collected as observed metrics."""

@@ -4,12 +4,18 @@ published only when complete.
 Layout under ``root`` (a folder in the cluster's shared storage)::
 
     root/ds=2009-12-01/run=<stamp>-<id>/part-*.parquet   one folder per run
-    root/_published/part-*.json                          (ds, path, run) records
+    root/_published/part-*.json                          (ds, path, run, parent, digest, since) records
 
 A run writes a *new* folder (never the folder it reads, never a folder in
 place), then appends one record to ``_published``. Readers take the newest
 record for a ``ds``. A rerun of a day therefore replaces its snapshot
 atomically, a failed run publishes nothing, and earlier days stay readable.
+
+The records form a ledger. Each names its ``parent`` (the run of the day it was
+built on) and a ``digest`` of the input it was built from, and says from which
+day on it folded its input (``since``, its own day for a daily run). A record
+retracts the older ones from that day on: they were built without what it
+folded in. What is left is the chain of days that hold.
 """
 
 from __future__ import annotations
@@ -18,7 +24,7 @@ import datetime as dt
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +34,9 @@ _RECORD = T.StructType([
     T.StructField("ds", T.StringType()),
     T.StructField("path", T.StringType()),
     T.StructField("run", T.StringType()),
+    T.StructField("parent", T.StringType()),
+    T.StructField("digest", T.StringType()),
+    T.StructField("since", T.StringType()),
 ])
 
 
@@ -60,13 +69,26 @@ class SnapshotStore:
         df.write.mode("errorifexists").parquet(path)
         return path
 
-    def publish(self, ds: DateLike, path: str) -> None:
-        """Make a staged folder the snapshot of ``ds`` (one small record)."""
+    def publish(self, ds: DateLike, path: str, parent: str | None = None, digest: str | None = None,
+                since: DateLike | None = None) -> str:
+        """Make a staged folder the snapshot of ``ds`` (one small record);
+        returns the record's run."""
         day = parse_date(ds).isoformat()
         run = _stamp()  # of this publication: a folder published again becomes the newest
-        record = self.spark.range(1).select(F.lit(day).alias("ds"), F.lit(path).alias("path"),
-                                            F.lit(run).alias("run"))
+        values = {"ds": day, "path": path, "run": run, "parent": parent, "digest": digest,
+                  "since": day if since is None else parse_date(since).isoformat()}
+        record = self.spark.range(1).select(*[F.lit(v).cast("string").alias(k) for k, v in values.items()])
         record.write.mode("append").json(self.published_path)
+        return run
+
+    def chain(self) -> dict[str, Row]:
+        """The record of every day that holds (a few values a day)."""
+        records, held = self._records(), {}
+        for r in [] if records is None else records.orderBy("run").collect():
+            since = r["since"] or r["ds"]
+            held = {ds: kept for ds, kept in held.items() if ds < since}
+            held[r["ds"]] = r
+        return held
 
     def write(self, df: DataFrame, ds: DateLike) -> str:
         """Stage and publish the snapshot of ``ds``; returns its folder."""
@@ -75,23 +97,15 @@ class SnapshotStore:
         return path
 
     def path(self, ds: DateLike) -> str | None:
-        """Folder of the newest published snapshot of ``ds`` (None if none)."""
-        recs = self._records()
-        if recs is None:
-            return None
-        day = parse_date(ds).isoformat()
-        row = recs.where(F.col("ds") == day).orderBy(F.col("run").desc()).select("path").first()
-        return row["path"] if row else None
+        """Folder of the snapshot of ``ds`` (None if none is published that holds)."""
+        record = self.chain().get(parse_date(ds).isoformat())
+        return record["path"] if record else None
 
     def latest_before(self, ds: DateLike) -> tuple[str, str] | None:
-        """(ds, folder) of the newest snapshot strictly before ``ds``."""
-        recs = self._records()
-        if recs is None:
-            return None
-        day = parse_date(ds).isoformat()
-        row = (recs.where(F.col("ds") < day)
-               .orderBy(F.col("ds").desc(), F.col("run").desc()).select("ds", "path").first())
-        return (row["ds"], row["path"]) if row else None
+        """(ds, folder) of the newest snapshot strictly before ``ds`` that holds."""
+        held, day = self.chain(), parse_date(ds).isoformat()
+        before = max((d for d in held if d < day), default=None)
+        return None if before is None else (before, held[before]["path"])
 
     def newest(self) -> tuple[str, str] | None:
         """(ds, folder) of the most recently published snapshot, whatever its

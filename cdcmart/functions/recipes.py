@@ -14,10 +14,12 @@ the literal 0 (so a NULL demand gives 0 there, NULL elsewhere).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .exact import LIMBS, is_number, limbs
+
 # Materials in output order.
 MATERIALS = ("local_arabica", "foreign_arabica", "robusta")
 
@@ -41,7 +43,8 @@ GRAMS_DECIMAL = T.DecimalType(38, 4)
 def demand_number(demand: str | Column = "demand", strict: bool = True) -> Column:
     """Demand text -> decimal(18,4). A text that is no number, or that does not
     fit four decimals exactly, is bad: ``strict`` raises on it whatever the
-    session's ANSI setting, otherwise it becomes NULL."""
+    session's ANSI setting, otherwise it becomes NULL. ``exact_material_demand``
+    takes numbers without that bound."""
     c = F.col(demand) if isinstance(demand, str) else demand
     number = c.try_cast(DEMAND_DECIMAL)
     exact = F.when(number == c.try_cast(_WIDE), number)
@@ -51,6 +54,36 @@ def demand_number(demand: str | Column = "demand", strict: bool = True) -> Colum
         F.concat(F.lit("not an exact demand: "), c.cast("string"))).cast(DEMAND_DECIMAL)))
 
 
+def material_limbs(recipe: str = "sql", tier: str = "product_name", demand: str = "demand", strict: bool = True) -> dict[str, Column]:
+    """The exact grams of each material as limbs (see ``exact``), for demand of
+    any size and scale. A text that is no number raises (``strict``) or is null."""
+    spec, t, d = RECIPES[recipe], F.col(tier), F.col(demand)
+    wrong = F.raise_error(F.concat(F.lit("not a number: "), d)).cast(LIMBS)
+    number = d if not strict else F.when(d.isNull() | is_number(d), d).otherwise(wrong.cast("string"))
+
+    def chain(i: int) -> Column:
+        term = lambda factor: F.array().cast(LIMBS) if factor == 0 else limbs(number, factor)
+        expr = F
+        for name, factors in spec["tiers"].items():
+            expr = expr.when(t == F.lit(name), term(factors[i]))
+        return expr.otherwise(term(spec["other"][i]))
+    return {m: chain(i) for i, m in enumerate(MATERIALS)}
+
+
+def split_rejects(df: DataFrame, path: str, demand: str = "demand") -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """The rows whose demand is a number (or null) and those whose demand is
+    other text, and how many of each: one scan of ``df``, one write to two
+    folders under ``path``, counted while it is written."""
+    rejected = F.coalesce(~is_number(F.col(demand)), F.lit(False))
+    counts = Observation("cdcmart_rejects")
+    told = df.withColumn("rejected", rejected).observe(
+        counts, F.count(F.when(~F.col("rejected"), 1)).alias("good"), F.count(F.when(F.col("rejected"), 1)).alias("rejected"))
+    told.write.partitionBy("rejected").parquet(path)
+    spark = df.sparkSession
+    both = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("rejected", T.BooleanType())])).parquet(path)
+    return both.where(~F.col("rejected")).drop("rejected"), both.where("rejected").drop("rejected"), dict(counts.get)
+
+
 def _grams(tier: Column, amount: Column, recipe: str, index: int) -> Column:
     try:
         spec = RECIPES[recipe]

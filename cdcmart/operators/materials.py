@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.recipes import GRAMS_DECIMAL, MATERIALS, material_columns
+from ..functions.exact import from_limbs, limbs, sum_exact
+from ..functions.recipes import GRAMS_DECIMAL, MATERIALS, material_columns, material_limbs
 from ..session import scratch_path
 
 _RANK = "__cdcmart_material_rank"
@@ -76,6 +77,22 @@ def material_demand(df: DataFrame, unit: str = "g", recipe: str | None = None,
     return out
 
 
+def exact_material_demand(df: DataFrame, unit: str = "g", recipe: str | None = None, strict: bool = True) -> DataFrame:
+    """``material_demand`` for demand of any size and scale: the same groups
+    and rows, the amounts added up without bound and given as plain decimal
+    text (the marts' own column type)."""
+    if unit not in ("g", "kg"):
+        raise ValueError(f"unit must be 'g' or 'kg': {unit!r}")
+    amounts = material_limbs(recipe or ("sql" if unit == "g" else "frame"), strict=strict)
+    if unit == "g":
+        sums = sum_exact(df, ["date", "shop_id"], amounts)
+        return unpivot_materials(sums, ["date", "shop_id"], "material_name", "quantity_g")
+    known = df.where(F.col("date").isNotNull() & F.col("shop_id").isNotNull())
+    out = unpivot_materials(sum_exact(known, ["date", "shop_id"], amounts), ["date", "shop_id"], "raw_material", "grams")
+    kg = from_limbs(limbs(F.concat(F.coalesce("grams", F.lit("0")), F.lit("e-3"))))
+    return out.select(F.col("date").cast(T.DateType()).alias("date"), "shop_id", "raw_material", kg.alias("demand_kg"))
+
+
 def ordered(df: DataFrame, name_col: str = "raw_material") -> DataFrame:
     """Material-major order (the melt order): material, then date, then shop."""
     rank = F.array_position(F.array(*[F.lit(m) for m in MATERIALS]), F.col(name_col))

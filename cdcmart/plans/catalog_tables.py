@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.interval import Interval, in_interval
-from ..functions.recipes import MATERIALS, expand_materials
+from ..functions.exact import from_limbs
+from ..functions.recipes import MATERIALS, expand_materials, material_limbs, split_rejects
 from ..operators.catchup import catch_up
 from ..operators.checks import column_checks
 from ..operators.keys import ConstraintViolation
 from ..operators.latest import latest_per_key
-from ..operators.materials import material_demand, with_position
+from ..operators.materials import exact_material_demand, material_demand, with_position
 from ..operators.merge import apply_changes
 from ..schemas import DEMAND_SCHEMA, RETAIL_COLUMNS, RETAIL_COLUMNS_NO_OP, RETAIL_SCHEMA
 from ..session import scratch_path
@@ -189,6 +190,41 @@ def recipe_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expand_materials(lines, "sql").select("shop_id", "line", F.col(MATERIALS[0]).cast("double").alias("grams"))
 
 
+@register("recipe_unbounded", """
+WITH parts AS (SELECT l_suppkey, sum(l_orderkey) AS high, sum(l_linenumber) AS low FROM lineitem GROUP BY l_suppkey)
+SELECT CAST(l_suppkey AS VARCHAR) AS shop_id,
+       concat(high * 20, repeat('0', 50), '.', rtrim(lpad(CAST(low * 20 AS VARCHAR), 40, '0'), '0')) AS local_arabica
+FROM parts""")
+def recipe_unbounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Demand of up to a hundred digits, and of ten to the minus fortieth
+    beside it, added up exactly (E3, A1)."""
+    key, line = F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")
+    demand = fx.table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("shop_id"), F.lit(None).cast("timestamp_ntz").alias("date"), F.lit("cheap").alias("product_name"),
+        F.concat(key, F.repeat(F.lit("0"), 50), F.lit("."), F.lpad(line, 40, "0")).alias("demand"))
+    mart = exact_material_demand(demand, unit="g")
+    return mart.where(F.col("material_name") == MATERIALS[0]).select("shop_id", F.col("quantity_g").alias(MATERIALS[0]))
+
+
+@register("recipe_rejects", """
+SELECT l_orderkey AS shop_id, l_linenumber AS line, l_linenumber IN (3, 5) AS rejected,
+       CASE WHEN l_linenumber NOT IN (3, 5) THEN l_linenumber * 20.0 / 100000 END AS grams,
+       count(*) FILTER (WHERE l_linenumber IN (3, 5)) OVER () AS n_rejected
+FROM lineitem""")
+def recipe_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Demand with texts that are no numbers: good and bad rows written apart
+    in one pass and counted; the good ones through the recipe (E3)."""
+    line = F.col("l_linenumber")
+    text = F.when(line == 3, "n/a").when(line == 5, F.lit("1,5")).otherwise(F.concat(F.lit("0.0000"), line.cast("string")))
+    demand = fx.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("shop_id"), line.alias("line"), F.lit("cheap").alias("product_name"), text.alias("demand"))
+    good, bad, counts = split_rejects(demand, scratch_path(spark, "rejects"))
+    grams = from_limbs(material_limbs("sql")[MATERIALS[0]]).cast("double")
+    out = good.select("shop_id", "line", F.lit(False).alias("rejected"), grams.alias("grams")).unionByName(
+        bad.select("shop_id", "line", F.lit(True).alias("rejected"), F.lit(None).cast("double").alias("grams")))
+    return out.withColumn("n_rejected", F.lit(counts["rejected"]).cast("long"))
+
+
 @register("mart_order_grams", with_fixtures("demand") + ",\n" + _mart_sql("sql", "mart") + """
 SELECT date, shop_id, material_name, CAST(quantity_g AS DOUBLE) AS quantity_g,
        row_number() OVER (ORDER BY date NULLS FIRST, shop_id NULLS FIRST, material_name) AS position FROM mart""")

@@ -21,6 +21,8 @@ are judged each by its own text. Extra columns pass through;
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,12 +53,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     kept = near_duplicates(docs, percent=80, identity=True).where("kept AND doc_id IS NOT NULL")
+    own = uuid.uuid4().hex  # no column of the table has such a name
+    kept_id, kept_digest, digest = f"id_{own}", f"kept_{own}", f"digest_{own}"
     # of a component's rows with its smallest doc_id one text; a text without words is a component of its own
     one = (kept.groupBy("doc_id", F.coalesce(F.col("part").cast("string"), "digest").alias("group")).agg(F.min("digest").alias("digest"))
-           .select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest")).distinct())
-    told = docs.withColumn("__digest", text_digest(F.col("text")))
-    named = told.join(one, (F.col("doc_id") == F.col("kept_id")) & (F.col("__digest") == F.col("kept_digest")), "left_semi")
-    return (named.dropDuplicates(["doc_id", "__digest"]).drop("__digest")
+           .select(F.col("doc_id").alias(kept_id), F.col("digest").alias(kept_digest)).distinct())
+    told = docs.withColumn(digest, text_digest(F.col("text")))
+    named = told.join(one, (F.col("doc_id") == F.col(kept_id)) & (F.col(digest) == F.col(kept_digest)), "left_semi")
+    return (named.dropDuplicates(["doc_id", digest]).drop(digest)
             .unionByName(docs.where(F.col("doc_id").isNull())))
 
 

@@ -23,6 +23,8 @@ DIMENSIONS = 16
 ROWS_PER_LANGUAGE = 600
 LANGUAGES = 200
 UNDETERMINED = "und"
+#: running sums held at once: bytes of a run times languages
+SCORE_CELLS = 1 << 21
 #: share of held-back sample rows that calibration may reject
 REJECTED_SHARE = 0.002
 
@@ -57,19 +59,25 @@ class LanguageModel:
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Calibrated probabilities of each row's languages."""
         out = np.zeros((len(offsets) - 1, len(self.languages)))
-        for lo, hi in row_chunks(offsets, 1 << 18):
+        most = max(1 << 12, SCORE_CELLS // len(self.languages))
+        for lo, hi in row_chunks(offsets, most):
             part, edges = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
             length = np.diff(edges)
             sums, counts = np.zeros((hi - lo, len(self.languages))), np.zeros(hi - lo)
-            for n, codes in zip(SIZES, subwords(part)):
-                if not len(codes):
-                    continue
-                whole = length >= n  # a subword never reaches into the next row
-                running = np.cumsum(self.logits[codes], axis=0, dtype=np.float64)
-                ends = edges[1:][whole] - n
-                begin = edges[:-1][whole]
-                sums[whole] += running[ends] - np.where(begin[:, None] > 0, running[begin - 1], 0)
-                counts[whole] += length[whole] - n + 1
+            for begin in range(0, len(part), most):
+                # a row longer than a run is scored in runs that share their last bytes
+                run = part[begin:begin + most + max(SIZES) - 1]
+                for n, codes in zip(SIZES, subwords(run)):
+                    codes = codes[:most]
+                    if not len(codes):
+                        continue
+                    whole = length >= n  # a subword never reaches into the next row
+                    running = np.zeros((len(codes) + 1, len(self.languages)))
+                    np.cumsum(self.logits[codes], axis=0, dtype=np.float64, out=running[1:])
+                    ends = np.clip(edges[1:][whole] - n + 1 - begin, 0, len(codes))
+                    starts = np.clip(edges[:-1][whole] - begin, 0, len(codes))
+                    sums[whole] += running[ends] - running[starts]
+                    counts[whole] += ends - starts
             out[lo:hi] = sums / np.maximum(counts, 1)[:, None] + self.bias
         return softmax(out / self.temperature)
 
@@ -146,8 +154,10 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
 def _judge(model: LanguageModel | None, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Language, score and rejection of each text of an Arrow column."""
     data, offsets = utf8(texts)
-    letters = np.concatenate([[0], np.cumsum((_FOLD[data] >= 97) & (_FOLD[data] <= 122))])
-    has = letters[offsets[1:]] > letters[offsets[:-1]]
+    has, filled = np.zeros(len(offsets) - 1, bool), np.flatnonzero(np.diff(offsets) > 0)
+    if len(filled):
+        folded = _FOLD[data]
+        has[filled] = np.logical_or.reduceat((folded >= 97) & (folded <= 122), offsets[filled])
     for i in np.flatnonzero(~has & (np.diff(offsets) > 0)):
         has[i] = any(c.isalpha() for c in data[offsets[i]:offsets[i + 1]].tobytes().decode("utf-8", "replace"))
     if model is None or not len(has):

@@ -95,17 +95,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: powers kept in a worker between calls; those of a longer text go with it
+_KEPT_POWERS = 1 << 21
 _POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
 def powers(n: int, key: str = "up") -> np.ndarray:
-    """BASE ** i (or its inverse) modulo 2 ** 64 for i < n; kept between calls."""
-    if len(_POWERS[key]) < n:
-        size = 1 << int(n - 1).bit_length()
-        step = np.full(size, BASE if key == "up" else BASE_INVERSE, np.uint64)
-        step[0] = 1
-        _POWERS[key] = np.cumprod(step, dtype=np.uint64)
-    return _POWERS[key]
+    """BASE ** i (or its inverse) modulo 2 ** 64 for i < n (at least; short ones kept between calls)."""
+    if len(_POWERS[key]) >= n:
+        return _POWERS[key]
+    size = min(1 << int(n - 1).bit_length(), max(n, _KEPT_POWERS))
+    step = np.full(size, BASE if key == "up" else BASE_INVERSE, np.uint64)
+    step[0] = 1
+    np.cumprod(step, dtype=np.uint64, out=step)
+    if size <= _KEPT_POWERS:
+        _POWERS[key] = step
+    return step
 
 
 def running_hash(data: np.ndarray) -> np.ndarray:

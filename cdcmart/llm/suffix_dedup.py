@@ -36,6 +36,8 @@ LENGTH = 50
 ANCHOR_BYTES, PIECE_WINDOWS = 25, 256
 BLOCK_BYTES, SHARD_BYTES = 2 << 20, 8 << 20
 LEAST_BLOCKS, LEAST_SHARDS = 32, 64
+#: bytes of pieces sorted at once; the pieces of one anchor stay together
+SORT_BYTES = 1 << 20
 _CHUNK = 1 << 17
 #: the census compares so many low bytes of an anchor; a chance match only lets a piece through
 _CENSUS_BYTES = 5
@@ -144,6 +146,18 @@ def _on_pair(method):
     return run
 
 
+def anchor_runs(anchor: np.ndarray, size: np.ndarray, rows: np.ndarray, most: int = SORT_BYTES) -> list[np.ndarray]:
+    """``rows`` (in the order of their anchors) cut into runs of about ``most``
+    bytes; the pieces of one anchor are never parted, and pieces of different
+    anchors share no window."""
+    if not len(rows):
+        return []
+    begins = np.flatnonzero(np.insert(anchor[1:] != anchor[:-1], 0, True))
+    before = np.cumsum(size) - size
+    run = before[begins] // most
+    return np.split(rows, begins[np.flatnonzero(run[1:] != run[:-1]) + 1])
+
+
 class _Deduper:
     """The steps that run inside tasks; it holds numbers only."""
 
@@ -243,8 +257,9 @@ class _Deduper:
         same = anchor[one][1:] == anchor[one][:-1]
         meets = np.append(same, False) | np.insert(same, 0, False) if len(one) else np.zeros(0, bool)
         sorted_ones = np.flatnonzero(meets)
-        runs_of, lengths, docs = self._first_documents(
-            text[ragged(begin[one[sorted_ones]], size[one[sorted_ones]])], size[one[sorted_ones]], owner[sorted_ones])
+        found = [self._first_documents(text[ragged(begin[one[part]], size[one[part]])], size[one[part]], owner[part])
+                 for part in anchor_runs(anchor[one[sorted_ones]], size[one[sorted_ones]], sorted_ones)]
+        runs_of, lengths, docs = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
         n_runs = np.ones(len(one), np.int64)
         n_runs[sorted_ones] = runs_of
         to = np.cumsum(n_runs) - n_runs

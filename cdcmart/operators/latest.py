@@ -7,13 +7,11 @@ Catalyst plans as a partial ``WindowGroupLimit`` *before* the shuffle: each
 map task already drops all but its own top row per key, so a key that holds a
 third of all rows reaches the reducer as at most one row per map task.
 
-``first_per_key`` is the literal ``first_value(col) OVER w`` + ``DISTINCT``
-formulation of the same thing. It first keeps one top row per key
-(``row_number() = 1``, reduced before the shuffle like above; among rows tied
-for the top the literal form picks an arbitrary one too, so a key whose rows
-all tie still reaches one task as one row per map task), then evaluates the
-``first_value`` window and the DISTINCT over that remainder; both reuse the
-key partitioning, so there is one exchange.
+``first_per_key`` gives what ``first_value(col) OVER w`` + ``DISTINCT`` gives,
+as one aggregate instead of a window: the greatest ordered struct per key, in
+which a NULL precedes every value and the carried columns settle ties. It is
+partial, so whatever share of the rows a key holds, also when all of them tie,
+one row per map task and key is shuffled.
 """
 
 from __future__ import annotations
@@ -24,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RN = "__cdcmart_rn"
+_FIRST = "__cdcmart_first"
 
 
 def _as_list(value: str | Sequence[str] | None) -> list[str]:
@@ -57,19 +56,21 @@ def latest_per_key(df: DataFrame, keys: str | Sequence[str] = "id",
 
 def first_per_key(df: DataFrame, keys: str | Sequence[str] = "id",
                   order_by: str | Sequence[str] = "last_updated",
-                  columns: Sequence[str] | None = None) -> DataFrame:
+                  columns: Sequence[str] | None = None, tie_break: str | Sequence[str] = ()) -> DataFrame:
     """``SELECT DISTINCT keys, first_value(c) OVER w ...`` with
     ``w = PARTITION BY keys ORDER BY order_by DESC``.
 
-    ``columns`` are the carried columns (default: all non-key columns).
+    ``columns`` are the carried columns (default: all non-key columns). Rows
+    tied by ``order_by`` are told apart by ``tie_break`` and then by the carried
+    columns in their order, each descending with NULLs first, so the result is
+    the same at every run and that of ``latest_per_key`` with these tie breaks.
     """
-    keys, order_by = _as_list(keys), _as_list(order_by)
+    keys, order_by, tie_break = _as_list(keys), _as_list(order_by), _as_list(tie_break)
     if columns is None:
         columns = [c for c in df.columns if c not in keys]
-    w = latest_window(keys, order_by)
-    # one top row per key (an arbitrary one among ties); the reduction runs map-side.
-    top = (df.withColumn(_RN, F.row_number().over(w))
-             .where(F.col(_RN) == 1)
-             .drop(_RN))
-    firsts = [F.first(F.col(c), ignorenulls=False).over(w).alias(c) for c in columns]
-    return top.select(*[F.col(k) for k in keys], *firsts).distinct()
+    ranks = list(dict.fromkeys([*order_by, *tie_break, *columns]))
+    place = {c: i for i, c in enumerate(ranks)}
+    first = F.max(F.struct(*[part for i, c in enumerate(ranks)
+                             for part in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"c{i}"))])).alias(_FIRST)
+    return (df.groupBy(*keys).agg(first)
+              .select(*keys, *[F.col(_FIRST)[f"c{place[c]}"].alias(c) for c in columns]))

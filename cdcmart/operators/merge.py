@@ -116,6 +116,20 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: str | Sequence[st
     return kept.unionByName(inserted)
 
 
+def _outcome(op: Column, matched: Column) -> Column:
+    return (F.when(matched & (op == OP_DELETE), "delete")
+             .when(matched & (op == OP_UPDATE), "update")
+             .when(matched, "matched_noop")
+             .when(op == OP_INSERT, "insert")
+             .otherwise("unmatched_ignored"))
+
+
+def _key_counts(target: DataFrame, keys: list[str]) -> DataFrame:
+    """How many target rows carry each key. The keys are counted in the map
+    tasks before any join, so of a hot key a join sees one row."""
+    return target.groupBy(*keys).agg(F.count(F.lit(1)).alias("target_rows"))
+
+
 def classify_changes(target: DataFrame, changes: DataFrame, keys: str | Sequence[str] = "id",
                      op_col: str = "operation") -> DataFrame:
     """Outcome per change row: keys, operation, matched, target_rows, outcome.
@@ -125,34 +139,27 @@ def classify_changes(target: DataFrame, changes: DataFrame, keys: str | Sequence
     unmatched_ignored.
     """
     keys = _as_list(keys)
-    ck = changes.select(*keys, F.col(op_col).alias("operation"))
-    counts = (target.select(*keys).join(changes.select(*keys).distinct(), keys, "left_semi")
-              .groupBy(*keys).agg(F.count(F.lit(1)).alias("target_rows")))
-    out = ck.join(counts, keys, "left")
+    out = changes.select(*keys, F.col(op_col).alias("operation")).join(_key_counts(target, keys), keys, "left")
     matched = F.col("target_rows").isNotNull()
-    opc = F.col("operation")
-    outcome = (F.when(matched & (opc == OP_DELETE), "delete")
-                .when(matched & (opc == OP_UPDATE), "update")
-                .when(matched, "matched_noop")
-                .when(opc == OP_INSERT, "insert")
-                .otherwise("unmatched_ignored"))
     return out.select(*keys, "operation", matched.alias("matched"),
                       F.coalesce(F.col("target_rows"), F.lit(0)).cast("bigint").alias("target_rows"),
-                      outcome.alias("outcome"))
+                      _outcome(F.col("operation"), matched).alias("outcome"))
 
 
 def merge_outcomes(target: DataFrame, changes: DataFrame, keys: str | Sequence[str] = "id",
                    op_col: str = "operation") -> DataFrame:
     """Counts per outcome: matched outcomes count target rows, unmatched ones
-    count change rows, plus ``untouched`` target rows (no change for the key)."""
+    count change rows, plus ``untouched`` target rows (no change for the key;
+    always a row, 0 if there are none)."""
     keys = _as_list(keys)
-    per_change = classify_changes(target, changes, keys, op_col)
-    counted = per_change.groupBy("outcome").agg(
-        F.sum(F.when(F.col("matched"), F.col("target_rows")).otherwise(F.lit(1))).cast("bigint").alias("n"))
-    untouched = (target.select(*keys).join(changes.select(*keys), keys, "left_anti")
-                 .agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-                 .select(F.lit("untouched").alias("outcome"), "n"))
-    return counted.unionByName(untouched)
+    told = changes.select(*keys, F.col(op_col).alias(_OP), F.lit(True).alias(_M))
+    met = _key_counts(target, keys).join(told, keys, "full")
+    n = F.coalesce(F.col("target_rows"), F.lit(1)).cast("bigint")
+    changed = _truthy(F.col(_M))
+    counted = (met.select(F.when(changed, _outcome(F.col(_OP), F.col("target_rows").isNotNull())).otherwise("untouched")
+                          .alias("outcome"), n.alias("n"))
+               .unionByName(changes.sparkSession.range(1).select(F.lit("untouched").alias("outcome"), F.lit(0).cast("bigint").alias("n"))))
+    return counted.groupBy("outcome").agg(F.sum("n").alias("n"))
 
 
 def cdc_interval(target: DataFrame, changes: DataFrame, interval: Interval | None = None,

@@ -498,16 +498,13 @@ def _streamed(spark: SparkSession, sf_dir: str, cut: Callable[[DataFrame], list[
 
 @register("merge_bucketed", _MERGE_O)
 def merge_bucketed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The target stored partitioned by id bucket; the merge reads and rewrites
-    only the buckets the latest changes touch (staged, then partition
-    overwrite); the whole table afterwards (J1, M2-M5 at scale)."""
-    from ..session import scratch_path
-    from ..sources.bucketed import merge_bucketed, read_bucketed, write_bucketed
-    root = scratch_path(spark, "bucketed")
-    write_bucketed(fx.origin_o(spark, sf_dir), f"{root}/table", "id", buckets=64)
-    merge_bucketed(spark, f"{root}/table", latest_per_key(fx.stage_o(spark, sf_dir)), f"{root}/staging-1",
-                   "id", buckets=64)
-    return read_bucketed(spark, f"{root}/table")
+    """The target as a table that Spark keeps bucketed by id: the merge moves
+    only the changes, its result has the same buckets (J1, M2-M5 at scale)."""
+    from ..sources.bucketed import create_bucketed, merge_bucketed
+    from .catalog_tables import _names
+    target, result = _names(spark, "target", "merged")
+    create_bucketed(fx.origin_o(spark, sf_dir), target, "id", buckets=64)
+    return merge_bucketed(spark, target, latest_per_key(fx.stage_o(spark, sf_dir)), result)
 
 
 @register("merge_classified", with_fixtures("origin_o", "stage_o") + ",\n" + _latest_sql("stage_o") + """,

@@ -22,13 +22,14 @@ from ..schemas import DEMAND_SCHEMA, RETAIL_COLUMNS, RETAIL_COLUMNS_NO_OP, RETAI
 from ..session import scratch_path
 from ..sources.delimited import csv_writer, read_delimited
 from ..sources.lake import read_interval, write_interval, write_partitioned
+from ..sources.mart_state import start_state
 from ..sources.snapshots import SnapshotStore
 from ..sources.tables import append, clear, ensure_table, full_refresh, read_table
 from . import fixtures as fx
 from .catalog import (_COLS, _COLS_NO_OP, KG_SQL, REPLAY_ORACLE_DAYS, REPLAY_ORACLE_START, SLICE_END, SLICE_START, _latest_sql, _mart_query_sql, _mart_sql,
                       _merge_sql, _replay_sql, register)
 from .fixtures import with_fixtures
-from .jobs import data_span, refresh, replay, rerun, run_day, run_extract, run_material_g_landing, run_material_kg
+from .jobs import data_span, refresh, replay, rerun, run_day, run_extract, run_material_delta, run_material_g_landing, run_material_kg
 
 _DAY = "TIMESTAMP '2024-01-03' AND invoicedate < TIMESTAMP '2024-01-04'"
 
@@ -403,3 +404,22 @@ def job_material_g(spark: SparkSession, sf_dir: str) -> DataFrame:
     assert left.isEmpty(), "the landing table is cleared at the end of a run"
     return (spark.read.parquet(store.newest()[1])
             .withColumn("quantity_g", F.col("quantity_g").cast("double")))
+
+
+_WITHDRAWN = "(date >= TIMESTAMP '1998-03-01' AND date < TIMESTAMP '1998-06-01' AND product_name = 'cheap')"
+
+
+@register("job_material_delta", "WITH every AS (SELECT * FROM (" + with_fixtures("demand") + "\nSELECT * FROM demand)),\n"
+          + f"demand AS (SELECT * FROM every WHERE ({_WITHDRAWN}) IS NOT TRUE),\n" + _mart_sql("sql", "mart") + """
+SELECT date, shop_id, material_name, CAST(quantity_g AS DOUBLE) AS quantity_g FROM mart""")
+def job_material_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grams mart kept by signed deltas: everything loaded, then three
+    months run again without a tier that was withdrawn; the rows of both runs
+    cancel and only the groups that differ change (A1, A2, B5)."""
+    demand, path = fx.demand(spark, sf_dir), scratch_path(spark, "mart-state")
+    start_state(spark, path)
+    run_material_delta(spark, path, None, demand, "load")
+    before = in_interval(demand, Interval.parse("1998-03-01", "1998-06-01"), "date")
+    after = before.where("product_name IS DISTINCT FROM 'cheap'")
+    mart = run_material_delta(spark, path, before, after, "rerun")
+    return mart.withColumn("quantity_g", F.col("quantity_g").cast("double"))

@@ -19,10 +19,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.interval import DateLike, Interval, in_interval, interval_predicate
 from ..operators.checks import ObservedChecks, column_checks
+from ..operators.deltas import mart_rows, signed_sums
 from ..operators.keys import ConstraintViolation, ObservedConstraints
 from ..operators.latest import latest_per_key
 from ..operators.materials import material_demand
@@ -32,6 +32,7 @@ from ..schemas import (DEMAND_SCHEMA, MATERIAL_G_SCHEMA, MATERIAL_KG_SCHEMA, OP_
                        RETAIL_SCHEMA)
 from ..session import scratch_path
 from ..sources.lake import read_interval, write_interval
+from ..sources.mart_state import load_delta, read_state
 from ..sources.snapshots import SnapshotStore
 from ..sources.tables import append, clear, ensure_table, read_table
 
@@ -309,53 +310,49 @@ def rerun(store: SnapshotStore, origin: DataFrame, changes: DataFrame, ds: DateL
                   previous=before[1] if before else None, **kwargs)
 
 
-# ----------------------------------------------------------------- bucketed daily job
-
-def run_day_bucketed(spark: SparkSession, path: str, origin: DataFrame, changes: DataFrame, ds: DateLike,
-                     staging: str, column: str = "invoicedate", checks: Mapping | None = RETAIL_CHECKS,
-                     keys: Sequence[str] | None = ("id", "last_updated"), buckets: int = 64,
-                     schema=RETAIL_SCHEMA) -> list[int]:
-    """The daily append + merge on a table partitioned by id bucket, reading and
-    rewriting only the buckets the day's new rows and changes touch.
-
-    The key check is local to those buckets (a key's rows share its bucket).
-    The checks run over the untouched buckets (checked columns only) plus the
-    staged new buckets *before* anything is replaced, so a failing day leaves
-    the table as it was. Returns the touched buckets.
-    """
-    from ..sources.bucketed import BUCKET, bucket_of, stage_bucketed, swap_staged
+def run_material_delta(spark: SparkSession, path: str, removed: DataFrame | None, added: DataFrame | None,
+                       batch: str, recipe: str = "sql") -> DataFrame:
+    """Load demand rows into a grams mart kept by signed deltas (B5): ``removed``
+    are rows that an earlier load took in and that hold no more, ``added`` the
+    rows that hold now (for an interval run again: its old and its new rows).
+    Rows in both cancel; only the groups that differ change, and only their
+    months are read and rewritten. A run cut short is repeated with the same
+    ``batch``. Returns the mart."""
+    load_delta(spark, path, signed_sums(added, removed, recipe), batch)
+    return mart_rows(read_state(spark, path))
+
+
+def run_day_bucketed(spark: SparkSession, table: str, result: str, origin: DataFrame, changes: DataFrame, ds: DateLike,
+                     column: str = "invoicedate", checks: Mapping | None = RETAIL_CHECKS,
+                     keys: Sequence[str] | None = ("id", "last_updated")) -> DataFrame:
+    """One day's append and merge on a bucketed table: written as the bucketed
+    table ``result``, which the next day starts from; returns it. Failing checks drop ``result`` and raise; ``table`` is never changed."""
+    from ..sources.bucketed import bucket_spec, bucketed_target, create_bucketed
     interval = Interval.day(ds)
-    origin_day = in_interval(origin, interval, column)
+    by, buckets = bucket_spec(spark, table)
+    state = run_origin(bucketed_target(spark, table), origin, interval, column, keys)
     latest = latest_per_key(in_interval(changes, interval, column))
-    ids = origin_day.select("id").unionByName(latest.select("id"))
-    touched = sorted(r[BUCKET] for r in ids.select(bucket_of("id", buckets).alias(BUCKET)).distinct().collect())
-    if not touched:
-        return []
-    table = spark.read.schema(T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType())])).parquet(path)
-    current = table.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-    state = run_origin(current, origin, interval, column, keys)
-    merged = apply_changes(state, latest, size_probe=in_interval(changes, interval, column))
-    written = stage_bucketed(spark, merged, staging, touched, "id", buckets)
+    create_bucketed(apply_changes(state, latest, by), result, by, buckets)
+    out = spark.table(result)
     if checks:
-        whole = table.where(~F.col(BUCKET).isin(touched)).unionByName(written)
-        failed = column_checks(whole, checks).where(~F.col("passed")).collect()
+        failed = column_checks(out, checks).where(~F.col("passed")).collect()
         if failed:
+            spark.sql(f"DROP TABLE {result}")
             raise ConstraintViolation(f"checks failed for {interval.ds}; table left unchanged: "
                                       + "; ".join(f"{r['column']}.{r['check']}={r['actual']}" for r in failed))
-    swap_staged(spark, path, staging, schema, touched)
-    return touched
-
-
-def replay_bucketed(spark: SparkSession, path: str, origin: DataFrame, changes: DataFrame,
-                    start: DateLike, end: DateLike, staging_root: str, buckets: int = 64,
-                    schema=RETAIL_SCHEMA, **kwargs) -> DataFrame:
-    """Every day of ``[start, end)`` in order on a bucketed table that starts
-    empty; returns the table (without its bucket column). Size ``buckets`` to
-    the table (e.g. a few hundred MB per bucket): each touched bucket is one
-    folder rewritten per day."""
-    from ..sources.bucketed import read_bucketed, write_bucketed
-    write_bucketed(spark.createDataFrame([], schema), path, "id", buckets)
-    for n, day in enumerate(Interval.parse(start, end).days()):
-        run_day_bucketed(spark, path, origin, changes, day.start, f"{staging_root.rstrip('/')}/day-{n}",
-                         buckets=buckets, schema=schema, **kwargs)
-    return read_bucketed(spark, path)
+    return out
+
+
+def replay_bucketed(spark: SparkSession, table: str, origin: DataFrame, changes: DataFrame, start: DateLike, end: DateLike,
+                    buckets: int = 64, schema=RETAIL_SCHEMA, **kwargs) -> DataFrame:
+    """Every day of ``[start, end)`` in order from an empty bucketed table; each
+    day's table is ``table`` with the day's number, the last one is returned and
+    the others are dropped once the next one stands."""
+    from ..sources.bucketed import create_bucketed
+    held = f"{table}_0"
+    create_bucketed(spark.createDataFrame([], schema), held, "id", buckets)
+    for n, day in enumerate(Interval.parse(start, end).days(), 1):
+        run_day_bucketed(spark, held, f"{table}_{n}", origin, changes, day.start, **kwargs)
+        spark.sql(f"DROP TABLE {held}")
+        held = f"{table}_{n}"
+    return spark.table(held)

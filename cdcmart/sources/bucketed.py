@@ -1,103 +1,76 @@
-"""A target table partitioned by key bucket, merged by rewriting only the
-buckets a change set touches.
-
-``bucket = pmod(xxhash64(keys), buckets)`` is a function of the key, so every
-row of a key and every change for it fall in the same bucket: matching and the
-"does the key exist" test of an insert are local to a bucket. A day's merge
-therefore
-
-1. collects the set of touched buckets (at most ``buckets`` values),
-2. reads only those partitions of the table (partition pruning),
-3. merges them with ``apply_changes`` and writes the result to a *new* staging
-   folder (the live table is never read and overwritten by the same job),
-4. replaces exactly those partitions of the live table from the staging copy
-   (dynamic partition overwrite) and empties touched buckets left with no rows.
-
-The staging folder also records the touched buckets; a failure in step 4
-leaves it complete, and ``swap_staged(spark, path, staging, schema)`` finishes
-the swap from it. Untouched buckets are neither read nor written: the cost of a day is
-proportional to the touched buckets, not to the table.
+"""A target kept as one of Spark's own bucketed tables, so that a daily merge
+moves the changes to the target's buckets and never the target.
+
+``create_bucketed`` writes the table with ``bucketBy`` on the key. The catalog
+holds the number of buckets and the key, and Spark's scan reports the table as
+already dealt out by them: in ``merge_bucketed`` both joins of
+``apply_changes`` and the distinct target keys run bucket by bucket, without an
+exchange above the target's scan. The result is written as a new table with the
+same buckets, which the caller takes as the next day's target; a run cut short
+leaves the old one as it was.
+
+A bucket is read by one task, so a table is measured when it is created (rows
+by bucket, from the key column alone) and the largest bucket's share stands in
+its properties. Where that is more than ``HOT`` times the mean, as with one id
+that holds a third of all rows, ``bucketed_target`` reads the files as a plain
+table instead, whose joins adaptive execution can split.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.latest import _as_list
 from ..operators.merge import apply_changes
 
-BUCKET = "bucket"
-
-
-def bucket_of(keys: str | Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in _as_list(keys)]), F.lit(buckets)).cast("int")
-
-
-def write_bucketed(df: DataFrame, path: str, keys: str | Sequence[str] = "id", buckets: int = 64) -> None:
-    """Create (replace) the table at ``path`` partitioned by key bucket."""
-    out = df.withColumn(BUCKET, bucket_of(keys, buckets)).hint("rebalance", BUCKET)
-    out.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
-
-
-def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
-    """The table without its bucket column."""
-    return spark.read.parquet(path).drop(BUCKET)
-
-
-def _record_touched(spark: SparkSession, staging: str, touched: list[int]) -> None:
-    spark.range(1).select(F.array(*[F.lit(b) for b in touched]).alias("touched")) \
-        .write.mode("errorifexists").json(f"{staging.rstrip('/')}/_touched")
-
-
-def staged_touched(spark: SparkSession, staging: str) -> list[int]:
-    """The touched buckets recorded with a staged merge."""
-    return list(spark.read.json(f"{staging.rstrip('/')}/_touched").first()["touched"])
-
-
-def swap_staged(spark: SparkSession, path: str, staging: str, schema, touched: list[int] | None = None) -> None:
-    """Replace the touched buckets of the live table with the staged ones and
-    empty touched buckets the staging holds no rows for. Repeatable: if it
-    fails part-way, calling it again with the same staging folder finishes it."""
-    touched = staged_touched(spark, staging) if touched is None else touched
-    staged_schema = schema if BUCKET in schema.fieldNames() else \
-        T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType())])
-    written = spark.read.schema(staged_schema).parquet(f"{staging.rstrip('/')}/data")
-    (written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET).parquet(path))
-    kept = {r[BUCKET] for r in written.select(BUCKET).distinct().collect()}
-    empty = spark.createDataFrame([], written.drop(BUCKET).schema)
-    for b in touched:
-        if b not in kept:  # every row of the bucket was deleted
-            empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BUCKET}={b}")
-
-
-def stage_bucketed(spark: SparkSession, merged: DataFrame, staging: str, touched: list[int],
-                   keys: str | Sequence[str] = "id", buckets: int = 64) -> DataFrame:
-    """Write the merged touched buckets and the touched list to a new staging
-    folder; returns the staged rows (with their bucket column)."""
-    staged = merged.withColumn(BUCKET, bucket_of(keys, buckets)).hint("rebalance", BUCKET)
-    staged.write.mode("errorifexists").partitionBy(BUCKET).parquet(f"{staging.rstrip('/')}/data")
-    _record_touched(spark, staging, touched)
-    return spark.read.schema(staged.schema).parquet(f"{staging.rstrip('/')}/data")
-
-
-def merge_bucketed(spark: SparkSession, path: str, changes: DataFrame, staging: str,
-                   keys: str | Sequence[str] = "id", buckets: int = 64, op_col: str = "operation",
-                   strategy: str = "auto") -> list[int]:
-    """Merge ``changes`` (one row per key) into the bucketed table at ``path``,
-    rewriting only touched buckets. Returns the touched buckets."""
-    keys = _as_list(keys)
-    touched = sorted(r[BUCKET] for r in
-                     changes.select(bucket_of(keys, buckets).alias(BUCKET)).distinct().collect())
-    if not touched:
-        return []
-    table = spark.read.parquet(path)
-    current = table.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-    merged = apply_changes(current, changes, keys, op_col, strategy=strategy)
-    stage_bucketed(spark, merged, staging, touched, keys, buckets)
-    swap_staged(spark, path, staging, current.schema, touched)
-    return touched
+#: a largest bucket of more than so many times the mean is read in splits
+HOT = 4.0
+_LARGEST = "cdcmart.largest_bucket_over_mean"
+
+
+def create_bucketed(df: DataFrame, table: str, keys: str | Sequence[str] = "id", buckets: int = 64) -> None:
+    """Write ``df`` as the catalog table ``table`` in ``buckets`` buckets of the
+    key (a few hundred MB each). A table of that name is an error."""
+    spark, keys = df.sparkSession, _as_list(keys)
+    df.write.bucketBy(buckets, *keys).saveAsTable(table, format="parquet", mode="errorifexists")
+    sizes = (spark.table(table).groupBy(F.pmod(F.hash(*keys), F.lit(buckets)).alias("bucket"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    most, rows = sizes.agg(F.max("n"), F.sum("n")).first()
+    share = most * buckets / rows if rows else 1.0
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_LARGEST}' = '{share:.3f}')")
+
+
+def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+
+
+def bucket_spec(spark: SparkSession, table: str) -> tuple[list[str], int]:
+    """The key and the number of buckets of ``table``, as the catalog holds them."""
+    told = _described(spark, table)
+    if "Num Buckets" not in told:
+        raise ValueError(f"not a bucketed table: {table}")
+    return [c.strip(" `") for c in told["Bucket Columns"].strip("[]").split(",")], int(told["Num Buckets"])
+
+
+def bucketed_target(spark: SparkSession, table: str) -> DataFrame:
+    """The table as a merge target: by bucket, or in splits if a bucket is hot."""
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if float(properties.get(_LARGEST, 1)) <= HOT:
+        return spark.table(table)
+    return spark.read.schema(spark.table(table).schema).parquet(_described(spark, table)["Location"])
+
+
+def merge_bucketed(spark: SparkSession, table: str, changes: DataFrame, result: str, **kwargs) -> DataFrame:
+    """Merge ``changes`` (one row per key) into ``table`` and write ``result``
+    with the same key and buckets; returns it. ``table`` stays as it is."""
+    keys, buckets = bucket_spec(spark, table)
+    create_bucketed(merged_frame(spark, table, changes, **kwargs), result, keys, buckets)
+    return spark.table(result)
+
+
+def merged_frame(spark: SparkSession, table: str, changes: DataFrame, **kwargs) -> DataFrame:
+    """The merge of ``changes`` into ``table``, not yet written."""
+    return apply_changes(bucketed_target(spark, table), changes, bucket_spec(spark, table)[0], strategy="shuffle", **kwargs)

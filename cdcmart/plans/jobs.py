@@ -20,7 +20,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.interval import DateLike, Interval, in_interval, interval_predicate
+from ..functions.interval import DateLike, Interval, in_interval
 from ..operators.checks import ObservedChecks, column_checks
 from ..operators.deltas import mart_rows, signed_sums
 from ..operators.keys import ConstraintViolation, ObservedConstraints
@@ -34,7 +34,7 @@ from ..session import scratch_path
 from ..sources.lake import read_interval, write_interval
 from ..sources.mart_state import load_delta, read_state
 from ..sources.snapshots import SnapshotStore
-from ..sources.tables import append, clear, ensure_table, read_table
+from ..sources.tables import append, clear, ensure_table, read_table, replace_days
 
 
 def new_key_collisions(state: DataFrame, new_rows: DataFrame, keys: Sequence[str],
@@ -247,26 +247,17 @@ def run_material_kg(spark: SparkSession, root: str, interval: Interval,
                     table: str | None = None) -> DataFrame:
     """Lake -> frame recipe -> kg mart -> lake (B4); returns the interval's mart
     rows as the lake holds them. With ``table`` they are loaded into that mart
-    table, which is created if absent; rows of the interval that an earlier run
-    loaded are replaced (the table's other rows are staged in the shared
-    folder, so a load cut short can be repeated from there)."""
+    table, which is created if absent, partitioned by date; the interval's days
+    are replaced one partition each, all others are left alone. A load cut
+    short is repeated."""
     demand = read_interval(spark, root, raw, DEMAND_SCHEMA, interval)
     path = scratch_path(spark, "mart")
     material_demand(demand, unit="kg").write.parquet(path)  # the lake's day files are read once
     write_interval(spark.read.schema(MATERIAL_KG_SCHEMA).parquet(path), root, out, interval, column="date", fmt="csv")
     mart = read_interval(spark, root, out, MATERIAL_KG_SCHEMA, interval)
     if table is not None:
-        ensure_table(spark, table, MATERIAL_KG_SCHEMA)
-        loaded = read_table(spark, table)
-        inside = in_interval(loaded, interval, "date")
-        if inside.isEmpty():
-            append(mart, table)
-        else:
-            others = loaded.where(F.coalesce(~interval_predicate(loaded, "date", interval), F.lit(True)))
-            path = scratch_path(spark, "mart-load")
-            others.unionByName(mart).write.parquet(path)
-            clear(spark, table)
-            append(spark.read.schema(MATERIAL_KG_SCHEMA).parquet(path), table)
+        ensure_table(spark, table, MATERIAL_KG_SCHEMA, partition_by=("date",))
+        replace_days(mart, table, interval)
     return mart
 
 

@@ -13,7 +13,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import datetime as dt
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,6 +117,47 @@ def clear(spark: SparkSession, name: str) -> None:
     spark.sql(f"TRUNCATE TABLE {name}")
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrite only the partitions that are written: ``insertInto`` takes this
+    from the session, not from the writer's options, so it is put back after."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def replace_days(df: DataFrame, name: str, interval: Interval, column: str = "date") -> None:
+    """Make ``df`` the interval's rows of a table partitioned by the day
+    ``column``; ``df`` must hold no other days.
+
+    Only the interval's partitions are written (dynamic partition overwrite);
+    days that have no rows any more are dropped afterwards, by the names in the
+    catalog. Other days are neither read nor written, and a reader finds every
+    day's old or new rows but while that day's folder is swapped."""
+    spark = df.sparkSession
+    parts = [f.name for f in spark.catalog.listColumns(name) if f.isPartition]
+    if parts != [column]:
+        raise ValueError(f"table {name} is partitioned by {parts}, not by {column}")
+    days = df.select(column).distinct()
+    written = {r[0] for r in days.collect()}
+    outside = sorted(str(d) for d in written if d is None or not interval.start <= d < interval.end)
+    if outside:
+        raise ValueError(f"rows of days outside {interval.start} to {interval.end}: {', '.join(outside[:5])}")
+    held = {dt.date.fromisoformat(v) for v in (r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect())
+            if v != "__HIVE_DEFAULT_PARTITION__"}
+    if written:
+        with _dynamic_overwrite(spark):
+            df.select(*spark.table(name).columns).hint("rebalance", column).write.insertInto(name, overwrite=True)
+    stale = sorted(d for d in held - written if interval.start <= d < interval.end)
+    if stale:
+        spec = ", ".join(f"PARTITION (`{column}` = DATE '{d}')" for d in stale)
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {spec}")
+
+
 def full_refresh(spark: SparkSession, path: str, name: str, schema: T.StructType,
                  header: bool = True, columns: Sequence[str] | None = None,
                  defaults: Mapping[str, str] | None = None) -> None:

@@ -184,6 +184,10 @@ def write_bundles(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
     return scratch_table(decided.mapInArrow(write, INDEX_SCHEMA), "warc-index")
 
 
+#: bytes of records that a reading task is given
+READ_BYTES = 1 << 24
+
+
 def _index(rows: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
@@ -232,5 +236,7 @@ def read_records(index: DataFrame, folder: str, with_payload: bool = False) -> D
             reader.close()
 
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    ordered = index.repartition("bundle").sortWithinPartitions("bundle", "frame", "start")
+    # the index is small, what it names is not: tasks by the bytes of the records
+    n_bytes = index.agg(F.sum("size")).first()[0] or 0
+    ordered = index.repartition(1 + n_bytes // READ_BYTES, "bundle").sortWithinPartitions("bundle", "frame", "start")
     return ordered.mapInArrow(read, schema + ", payload binary" if with_payload else schema)

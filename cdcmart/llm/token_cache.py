@@ -16,6 +16,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import scratch_table
+
 CACHE_SCHEMA = "digest binary, n_tokens long, version string"
 #: distinct words a worker remembers before it starts again
 WORDS_KEPT = 1_000_000
@@ -110,8 +112,9 @@ def count_tokens(docs: DataFrame, cache_path: str, tokenizer_path: str, pattern:
         return (read_cache(spark, cache_path).where(F.col("version") == version)
                 .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))
 
-    misses = (keyed.select("digest", "content").join(known().select("digest"), "digest", "left_anti")
-              .groupBy("digest").agg(F.first("content").alias("content")))
+    # copies meet in the map tasks, so a content that a third of the rows hold is moved once a task
+    misses = (keyed.groupBy("digest").agg(F.first("content").alias("content"))
+              .join(known().select("digest"), "digest", "left_anti"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = TokenCounter(tokenizer_path, pattern)
@@ -124,5 +127,7 @@ def count_tokens(docs: DataFrame, cache_path: str, tokenizer_path: str, pattern:
 
     (misses.mapInArrow(encode, "digest binary, n_tokens long").withColumn("version", F.lit(version))
      .write.mode("append").parquet(cache_path))
+    # written first: a join right above its aggregation could not be split where a digest is hot
+    counts = scratch_table(known(), "token-counts")
     return (keyed.select("doc_id", "digest", F.octet_length("content").cast("long").alias("n_bytes"))
-            .join(known(), "digest").select("doc_id", "n_bytes", "n_tokens"))
+            .join(counts, "digest").select("doc_id", "n_bytes", "n_tokens"))

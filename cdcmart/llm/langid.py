@@ -6,6 +6,7 @@ sample of labelled rows; ``identify`` applies it to every whole text.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -97,6 +98,29 @@ def _features(text: str) -> tuple[np.ndarray, np.ndarray]:
     return idx.astype(np.int64), (n / n.sum()).astype(np.float32)
 
 
+def _dealt(labelled: DataFrame, counts: dict[str, int], rows: int) -> list:
+    """Of each label in ``counts`` the ``rows`` rows with the smallest (deal, text).
+
+    A label with many rows is first cut at a deal below which about twice as
+    many lie, so a window sees a bounded number of rows of a label, however hot;
+    a label of which too few lie below it (many rows of one id) is ranked whole."""
+    def ranked(part: DataFrame) -> list:
+        order = Window.partitionBy("lang").orderBy("deal", "text")
+        return part.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows).drop("rank").collect()
+
+    low, span = -(1 << 63), 1 << 64
+    cut = {lang: low + span * 2 * rows // n for lang, n in counts.items() if n > 4 * rows}
+    below = F.lit(True)
+    for lang, most in cut.items():
+        below = below & ((F.col("lang") != lang) | (F.col("deal") < most))
+    sample = ranked(labelled.where(F.col("lang").isin(list(counts)) & below))
+    found = Counter(r["lang"] for r in sample)
+    short = [lang for lang in cut if found[lang] < rows]
+    if short:
+        sample = [r for r in sample if r["lang"] not in short] + ranked(labelled.where(F.col("lang").isin(short)))
+    return sample
+
+
 def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           rows_per_language: int = ROWS_PER_LANGUAGE, languages: int = LANGUAGES, epochs: int = 6,
           rate: float = 0.4, seed: int = 0) -> LanguageModel | None:
@@ -110,12 +134,9 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
     labelled = (docs.where(usable & docs[lang_col].isNotNull() & docs[text_col].rlike("\\p{L}"))
                 .select(docs[lang_col].alias("lang"), docs[text_col].alias("text"),
                         F.xxhash64(docs[id_col].cast("string"), F.lit(seed)).alias("deal")))
-    ranked = labelled.withColumn(
-        "rank", F.row_number().over(Window.partitionBy("lang").orderBy("deal", "text")))
-    names = [r["lang"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(languages).collect()]
-    sample = (ranked.where((F.col("rank") <= rows_per_language) & F.col("lang").isin(names))
-              .select("lang", "text", "deal").collect()) if names else []
+    counts = (labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect())
+    names = [r["lang"] for r in counts]
+    sample = _dealt(labelled, {r["lang"]: r["n"] for r in counts}, rows_per_language) if names else []
     if not sample:
         return None
     sample.sort(key=lambda r: (r["deal"], r["lang"], r["text"]))

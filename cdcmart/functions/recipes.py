@@ -57,9 +57,8 @@ def demand_number(demand: str | Column = "demand", strict: bool = True) -> Colum
 def material_limbs(recipe: str = "sql", tier: str = "product_name", demand: str = "demand", strict: bool = True) -> dict[str, Column]:
     """The exact grams of each material as limbs (see ``exact``), for demand of
     any size and scale. A text that is no number raises (``strict``) or is null."""
-    spec, t, d = RECIPES[recipe], F.col(tier), F.col(demand)
-    wrong = F.raise_error(F.concat(F.lit("not a number: "), d)).cast(LIMBS)
-    number = d if not strict else F.when(d.isNull() | is_number(d), d).otherwise(wrong.cast("string"))
+    spec, t = RECIPES[recipe], F.col(tier)
+    number = checked_number(demand) if strict else F.col(demand)
 
     def chain(i: int) -> Column:
         term = lambda factor: F.array().cast(LIMBS) if factor == 0 else limbs(number, factor)
@@ -70,6 +69,22 @@ def material_limbs(recipe: str = "sql", tier: str = "product_name", demand: str
     return {m: chain(i) for i, m in enumerate(MATERIALS)}
 
 
+def material_factors(recipe: str = "sql", tier: str = "product_name") -> dict[str, Column]:
+    """The grams of each material a unit of demand takes, by tier."""
+    def chain(i: int) -> Column:
+        expr = F
+        for name, factors in RECIPES[recipe]["tiers"].items():
+            expr = expr.when(F.col(tier) == F.lit(name), F.lit(factors[i]))
+        return expr.otherwise(F.lit(RECIPES[recipe]["other"][i]))
+    return {m: chain(i) for i, m in enumerate(MATERIALS)}
+
+
+def checked_number(demand: str = "demand") -> Column:
+    """Demand text as it is; text that is no number raises."""
+    d = F.col(demand)
+    return F.when(d.isNull() | is_number(d), d).otherwise(F.raise_error(F.concat(F.lit("not a number: "), d)).cast("string"))
+
+
 def split_rejects(df: DataFrame, path: str, demand: str = "demand") -> tuple[DataFrame, DataFrame, dict[str, int]]:
     """The rows whose demand is a number (or null) and those whose demand is
     other text, and how many of each: one scan of ``df``, one write to two
@@ -103,9 +118,12 @@ def _grams(tier: Column, amount: Column, recipe: str, index: int) -> Column:
 def material_columns(recipe: str = "sql", tier: str = "product_name", demand: str = "demand",
                      strict: bool = True) -> list[Column]:
     """The three material columns (grams, decimal(38,4)) for ``recipe``."""
-    t = F.col(tier)
-    amount = demand_number(demand, strict)
-    return [_grams(t, amount, recipe, i).alias(m) for i, m in enumerate(MATERIALS)]
+    return gram_columns(F.col(tier), demand_number(demand, strict), recipe)
+
+
+def gram_columns(tier: Column, amount: Column, recipe: str = "sql") -> list[Column]:
+    """The three material columns of an amount that is a number already."""
+    return [_grams(tier, amount, recipe, i).alias(m) for i, m in enumerate(MATERIALS)]
 
 
 def expand_materials(df: DataFrame, recipe: str = "sql", strict: bool = True,

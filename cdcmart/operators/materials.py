@@ -25,12 +25,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exact import from_limbs, limbs, sum_exact
-from ..functions.recipes import GRAMS_DECIMAL, MATERIALS, material_columns, material_limbs
+from ..functions.exact import from_limbs, limbs, sum_products
+from ..functions.recipes import GRAMS_DECIMAL, MATERIALS, checked_number, demand_number, gram_columns, material_factors
 from ..session import scratch_path
 
 _RANK = "__cdcmart_material_rank"
 _PLACE = "__cdcmart_place"
+_AMOUNT = "__cdcmart_amount"
 KG_DECIMAL = T.DecimalType(38, 7)
 
 
@@ -53,7 +54,9 @@ def material_demand(df: DataFrame, unit: str = "g", recipe: str | None = None,
         date = F.date_trunc("day", date).cast(df.schema["date"].dataType)
     elif grain != "timestamp":
         raise ValueError(f"grain must be 'timestamp' or 'day': {grain!r}")
-    wide = df.select(date.alias("date"), F.col("shop_id"), *material_columns(recipe, strict=strict))
+    # each demand is read as a number once, not in every branch of every material
+    read = df.select(date.alias("date"), "shop_id", "product_name", demand_number(strict=strict).alias(_AMOUNT))
+    wide = read.select("date", "shop_id", *gram_columns(F.col("product_name"), F.col(_AMOUNT), recipe))
     if unit == "kg":
         wide = wide.where(F.col("date").isNotNull() & F.col("shop_id").isNotNull())
         sums = [F.coalesce(F.sum(m), F.lit(0).cast(GRAMS_DECIMAL)).alias(m) for m in MATERIALS]
@@ -83,12 +86,13 @@ def exact_material_demand(df: DataFrame, unit: str = "g", recipe: str | None = N
     text (the marts' own column type)."""
     if unit not in ("g", "kg"):
         raise ValueError(f"unit must be 'g' or 'kg': {unit!r}")
-    amounts = material_limbs(recipe or ("sql" if unit == "g" else "frame"), strict=strict)
+    grams = material_factors(recipe or ("sql" if unit == "g" else "frame"))
+    number = checked_number() if strict else F.col("demand")
     if unit == "g":
-        sums = sum_exact(df, ["date", "shop_id"], amounts)
+        sums = sum_products(df, ["date", "shop_id"], number, grams)
         return unpivot_materials(sums, ["date", "shop_id"], "material_name", "quantity_g")
     known = df.where(F.col("date").isNotNull() & F.col("shop_id").isNotNull())
-    out = unpivot_materials(sum_exact(known, ["date", "shop_id"], amounts), ["date", "shop_id"], "raw_material", "grams")
+    out = unpivot_materials(sum_products(known, ["date", "shop_id"], number, grams), ["date", "shop_id"], "raw_material", "grams")
     kg = from_limbs(limbs(F.concat(F.coalesce("grams", F.lit("0")), F.lit("e-3"))))
     return out.select(F.col("date").cast(T.DateType()).alias("date"), "shop_id", "raw_material", kg.alias("demand_kg"))
 

@@ -7,7 +7,7 @@ import pytest
 from conftest import plan_of, ts
 from pyspark.sql import functions as F
 
-from cdcmart.functions.exact import from_limbs, is_number, limbs, sum_exact, times
+from cdcmart.functions.exact import from_limbs, is_number, limbs, sum_exact, sum_products, times
 from cdcmart.functions.recipes import MATERIALS, split_rejects
 from cdcmart.operators.materials import exact_material_demand, material_demand
 from cdcmart.schemas import DEMAND_SCHEMA
@@ -78,3 +78,21 @@ def test_rejects_in_one_scan(spark, tmp_path):
     assert counts == {"good": 3, "rejected": 2}
     assert sorted(r.id for r in good.collect()) == [1, 3, 4] and sorted(r.id for r in bad.collect()) == [2, 5]
     assert "PartitionFilters" in plan_of(bad) and MATERIALS
+
+
+def test_sums_of_products_read_each_number_once(spark):
+    rng = random.Random(10)
+    rows = [(k, rng.choice(numbers()), rng.choice([0, 20, 10])) for k in range(8) for _ in range(40)]
+    rows += [(50, None, 10), (51, None, 0), (52, "x", 10), (53, "1", 10), (53, "-1", 10), (54, "x", 0)]
+    df = spark.createDataFrame(rows, "k int, t string, f int")
+    out = sum_products(df, ["k"], F.col("t"), {"a": F.col("f"), "b": F.lit(3)})
+    plan = plan_of(out)
+    assert plan[plan.index("Generate"):].count("RLIKE") == 1 and "transform(" not in plan[plan.index("Generate"):]
+    got = {r["k"]: (r["a"], r["b"]) for r in out.collect()}
+    limit = {k: limbs_sum for k, limbs_sum in ((r["k"], (r["a"], r["b"])) for r in sum_exact(df, ["k"], {
+        "a": F.when(F.col("f") == 0, limbs(F.lit("0"))).when(F.col("f") == 20, limbs(F.col("t"), 20)).otherwise(limbs(F.col("t"), 10)),
+        "b": limbs(F.col("t"), 3)}).collect())}
+    assert got == limit and got[50] == (None, None) and got[51] == ("0", None) and got[53] == ("0", "0")
+    for k in range(8):
+        held = [(Decimal(t), f) for j, t, f in rows if j == k]
+        assert got[k] == (plain(sum(t * f for t, f in held)), plain(sum(t * 3 for t, _ in held))), k

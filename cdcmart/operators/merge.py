@@ -17,10 +17,11 @@ AQE when one key is hot. Instead the merge is two joins that both scale:
   the broadcast limit) or a shuffled join on the key (AQE splits a hot target
   key, the change side holds one row per key).
 * ``(I changes) LEFT ANTI JOIN distinct(target keys)``: inserts need to know
-  which keys exist. The target is read for its key columns only and reduced
-  by a partial aggregate before any shuffle, so a hot key costs one row per
-  map task. In the broadcast plan the target keys are first semi-joined
-  against the broadcast insert keys, so only matching keys are shuffled.
+  which keys exist. The target is read for its key columns only and first
+  joined with the insert keys, so that only matching keys are made
+  distinct and met by the inserts. The insert keys are broadcast or, when they
+  do not fit, one hash table per shuffle partition: the target's keys stream
+  past it, none of them is sorted or held, whatever share one key has.
 
 Target rows keep their multiplicity (a U rewrites every row of that key).
 """
@@ -29,7 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.interval import Interval, in_interval
@@ -37,7 +38,7 @@ from ..schemas import OP_DELETE, OP_INSERT, OP_UPDATE
 from ..session import scratch_path
 from .keys import require_key
 from .latest import _as_list, latest_per_key
-from .sizing import fits_broadcast
+from .sizing import build_side, fits_broadcast, row_bytes
 
 _M = "__cdcmart_matched"
 _OP = "__cdcmart_op"
@@ -108,11 +109,9 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: str | Sequence[st
 
     insert_ops = [OP_INSERT, OP_UPDATE] if upsert_unmatched_updates else [OP_INSERT]
     candidates = changes.where(op.isin(*insert_ops))
-    target_keys = target.select(*keys)
-    if fits_broadcast(candidates.select(*keys), broadcast_limit_bytes):
-        target_keys = target_keys.join(F.broadcast(candidates.select(*keys)), keys, "left_semi")
-    target_keys = target_keys.distinct()
-    inserted = candidates.join(target_keys, keys, "left_anti").select(*cols)
+    # one candidate a key: an inner join finds what a semi-join would
+    known = target.select(*keys).join(build_side(candidates.select(*keys), broadcast_limit_bytes), keys).distinct()
+    inserted = candidates.join(known, keys, "left_anti").select(*cols)
     return kept.unionByName(inserted)
 
 
@@ -193,19 +192,21 @@ def upsert(target: DataFrame, source: DataFrame,
 
     A key repeated inside ``source`` is an error (as a database raises when a
     row would be affected twice); ``check`` enforces it before the merge.
-    NULL key parts never conflict. The source keys are broadcast to the anti
-    join only when their measured size fits the broadcast limit (a daily batch
-    against a large mart: the mart is then never shuffled).
+    NULL key parts never conflict. The source keys' size is measured while the
+    source is written; they are broadcast to the anti join only when it fits
+    the broadcast limit (a daily batch against a large mart: the mart is then
+    never shuffled), else looked up in hash tables by shuffle partition while
+    these are small, so that the mart is not sorted.
     """
     keys = list(keys)
     spark, path = source.sparkSession, scratch_path(source.sparkSession, "upsert")
-    source.write.parquet(path)  # computed once: it is checked, measured, joined and added
+    size = Observation("cdcmart_upsert")
+    told = source.observe(size, F.sum(row_bytes(source.select(*keys))).alias("b"))
+    told.write.parquet(path)  # computed once: it is checked, measured, joined and added
     source = spark.read.schema(source.schema).parquet(path)
     if check:
         require_key(source, keys, allow_null=True)
-    source_keys = source.select(*keys)
-    if fits_broadcast(source_keys, broadcast_limit_bytes):
-        source_keys = F.broadcast(source_keys)
+    source_keys = build_side(source.select(*keys), broadcast_limit_bytes, int(size.get.get("b") or 0))
     kept = target.join(source_keys, keys, "left_anti")
     return kept.unionByName(source.select(*target.columns))
 

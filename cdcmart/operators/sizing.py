@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+HASH_SIDE_BYTES = 16 << 20  # a hash table of this size fits any task beside its rows
 ROW_OVERHEAD_BYTES = 48  # hash-table entry + UnsafeRow header, per row
 
 _FIXED = {
@@ -82,6 +83,20 @@ def measure_many(frames: list[DataFrame]) -> list[tuple[int, int]]:
     return [(int(got[f"r{i}"]), int(got[f"b{i}"])) for i in range(len(frames))]
 
 
+def build_side(df: DataFrame, limit_bytes: int | None = None, size: int | None = None) -> DataFrame:
+    """``df`` (one row a key) as the side of a join that is looked up in, with
+    the hint that its measured ``size`` in bytes allows: broadcast within the
+    limit; a hash table per shuffle partition where these are small (the other
+    side is then neither sorted nor held); else none, so that both sides are
+    sorted and may spill."""
+    spark = df.sparkSession
+    limit = broadcast_limit(spark) if limit_bytes is None else limit_bytes
+    size = measure(df)[1] if size is None else size
+    if 0 <= limit and size <= limit:
+        return F.broadcast(df)
+    return df.hint("shuffle_hash") if size <= HASH_SIDE_BYTES * int(spark.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def fits_broadcast(df: DataFrame, limit_bytes: int | None = None) -> bool:
     """True when the measured size of ``df`` is within ``limit_bytes``
     (default: the session's broadcast threshold)."""

@@ -1,7 +1,7 @@
 """Merge semantics: the outcome table, multiplicity, strategies, slices, upsert."""
 
 import pytest
-from conftest import retail, rows_of, srt, ts
+from conftest import plan_of, retail, rows_of, srt, ts
 
 from cdcmart.functions.interval import Interval
 from cdcmart.operators.keys import ConstraintViolation
@@ -179,3 +179,14 @@ def test_merge_into_file_table_is_rejected(spark):
         merge_into_table(changes_10(spark), "wh_test.merge_target")
     assert "does not support MERGE" in str(err.value)
     spark.sql("DROP TABLE wh_test.merge_target")
+
+
+def test_target_keys_are_neither_sorted_nor_held_whole(spark):
+    target = retail(spark, [(i % 300, f"T{i}", i, ts("2024-01-01"), ts("2024-01-01"), None) for i in range(900)])
+    changes = retail(spark, [(i, f"C{i}", 1, ts("2024-01-01"), ts("2024-01-01"), "I") for i in range(200, 400)] + [(None, "N", 1, ts("2024-01-01"), ts("2024-01-01"), "I")])
+    out = apply_changes(target, changes, strategy="shuffle", broadcast_limit_bytes=0)
+    plan = plan_of(out)
+    probe = plan[plan.index("ShuffledHashJoin"):]  # below the step that makes the matching keys distinct
+    assert "Inner, BuildRight" in probe and "HashAggregate" not in probe and "ShuffledHashJoin" in plan
+    got = rows_of(out.where("invoice LIKE 'C%' OR invoice = 'N'"), "id")
+    assert got == [(i,) for i in range(300, 400)] + [(None,)] and out.count() == 1001

@@ -190,3 +190,15 @@ def test_target_keys_are_neither_sorted_nor_held_whole(spark):
     assert "Inner, BuildRight" in probe and "HashAggregate" not in probe and "ShuffledHashJoin" in plan
     got = rows_of(out.where("invoice LIKE 'C%' OR invoice = 'N'"), "id")
     assert got == [(i,) for i in range(300, 400)] + [(None,)] and out.count() == 1001
+
+
+def test_a_mart_is_not_sorted_for_an_upsert(spark):
+    schema = "date timestamp_ntz, shop_id string, material_name string, quantity_g int"
+    mart = spark.createDataFrame([(ts("2024-01-01"), f"S{i}", "robusta", i) for i in range(50)] + [(ts("2024-01-01"), None, "robusta", 7)], schema)
+    batch = spark.createDataFrame([(ts("2024-01-01"), f"S{i}", "robusta", -1) for i in range(40, 60)] + [(ts("2024-01-01"), None, "robusta", -1)], schema)
+    out = upsert(mart, batch, broadcast_limit_bytes=0)
+    plan = plan_of(out)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert rows_of(out.where("quantity_g >= 0"), "quantity_g") == sorted([(i,) for i in range(40)] + [(7,)])
+    assert out.count() == 41 + 21
+    assert upsert(mart, batch.limit(0)).count() == 51

@@ -30,7 +30,6 @@ from ..operators.merge import append_interval, apply_changes, upsert
 from ..operators.sizing import broadcast_limit, fits_broadcast, row_bytes
 from ..schemas import (DEMAND_SCHEMA, MATERIAL_G_SCHEMA, MATERIAL_KG_SCHEMA, OP_DELETE, OP_UPDATE, RETAIL_CHECKS, RETAIL_LENGTHS,
                        RETAIL_SCHEMA)
-from ..session import scratch_path
 from ..sources.lake import read_interval, write_interval
 from ..sources.mart_state import load_delta, read_state
 from ..sources.snapshots import SnapshotStore
@@ -251,13 +250,11 @@ def run_material_kg(spark: SparkSession, root: str, interval: Interval,
     are replaced one partition each, all others are left alone. A load cut
     short is repeated."""
     demand = read_interval(spark, root, raw, DEMAND_SCHEMA, interval)
-    path = scratch_path(spark, "mart")
-    material_demand(demand, unit="kg").write.parquet(path)  # the lake's day files are read once
-    write_interval(spark.read.schema(MATERIAL_KG_SCHEMA).parquet(path), root, out, interval, column="date", fmt="csv")
+    write_interval(material_demand(demand, unit="kg"), root, out, interval, column="date", fmt="csv")
     mart = read_interval(spark, root, out, MATERIAL_KG_SCHEMA, interval)
     if table is not None:
         ensure_table(spark, table, MATERIAL_KG_SCHEMA, partition_by=("date",))
-        replace_days(mart, table, interval)
+        replace_days(mart, table, interval, rebalance=False)  # the lake's files hold one day each
     return mart
 
 

@@ -12,6 +12,10 @@ large share of the rows is split into several tasks instead of one.
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +24,7 @@ from ..functions.interval import Interval, in_interval, interval_predicate
 from .delimited import csv_writer, read_delimited
 
 PARTITION_COLUMNS = ("year", "month", "ds")
+_DAY = "__cdcmart_day"
 
 
 def interval_path(interval: Interval) -> str:
@@ -53,9 +58,11 @@ def write_partitioned(df: DataFrame, root: str, dataset: str, column: str = "dat
     split). Input already clustered by date (e.g. read from date-ordered files)
     can skip that shuffle with ``rebalance=False``: rows are then only sorted
     by day inside each task, which writes its few days one after another."""
-    out = _with_partitions(df, column)
-    out = (out.hint("rebalance", *PARTITION_COLUMNS) if rebalance
-           else out.sortWithinPartitions(*PARTITION_COLUMNS))
+    if rebalance:  # by the date itself: the folders' texts are made after the shuffle
+        dated = df.withColumn(_DAY, F.to_date(F.col(column))).hint("rebalance", _DAY)
+        out = _with_partitions(dated, _DAY).drop(_DAY)
+    else:
+        out = _with_partitions(df, column).sortWithinPartitions(*PARTITION_COLUMNS)
     (_writer(out, fmt, header).mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITION_COLUMNS)
@@ -67,7 +74,9 @@ def write_interval(df: DataFrame, root: str, dataset: str, interval: Interval,
     """Write the rows of ``df`` inside ``interval`` and replace those days.
 
     Every day of the interval is replaced, also one that now has no rows: after
-    the write, day folders that hold rows of days without any are overwritten empty.
+    the write, day folders that hold rows of days without any are overwritten
+    empty. They are told by their files' names, as a folder that was written
+    holds none of its old files, so ``df`` is computed once.
     """
     sliced = in_interval(df, interval, column)
     if interval.end.toordinal() - interval.start.toordinal() == 1:
@@ -76,24 +85,41 @@ def write_interval(df: DataFrame, root: str, dataset: str, interval: Interval,
         (_writer(sliced.hint("rebalance"), fmt, header).mode("overwrite")
             .save(partition_path(root, dataset, interval.start)))
     else:
-        written = {r["d"] for r in sliced.select(F.to_date(F.col(column)).alias("d")).distinct().collect()}
+        before = _day_files(df, root, dataset, interval, fmt)
         write_partitioned(sliced, root, dataset, column, fmt, header)
-        for day in _days_held(df, root, dataset, interval, fmt, written):
+        after = _day_files(df, root, dataset, interval, fmt) if before else {}
+        left = [day for day, files in before.items() if files & after.get(day, set())]
+        for day in _days_held(df, root, dataset, left, fmt):
             (_writer(sliced.limit(0), fmt, header).mode("overwrite")
                 .save(partition_path(root, dataset, day)))
 
 
-def _days_held(df: DataFrame, root: str, dataset: str, interval: Interval, fmt: str, written: set) -> list:
-    """Days of the interval outside ``written`` whose folders hold rows; only
-    their files are read."""
-    held = df.sparkSession.read.schema(df.schema).format(fmt).load(f"{root.rstrip('/')}/{dataset}")
-    if "ds" not in held.columns:
+def _held(df: DataFrame, root: str, dataset: str, fmt: str) -> DataFrame:
+    return df.sparkSession.read.schema(df.schema).format(fmt).load(f"{root.rstrip('/')}/{dataset}")
+
+
+def _day_files(df: DataFrame, root: str, dataset: str, interval: Interval, fmt: str) -> dict[dt.date, set[str]]:
+    """The names of the files in the interval's day folders; no file is read."""
+    try:
+        names = _held(df, root, dataset, fmt).inputFiles()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    out: dict[dt.date, set[str]] = {}
+    for name in names:
+        day = re.search(r"/ds=(\d{4}-\d\d-\d\d)/", name)
+        if day and interval.start <= (d := dt.date.fromisoformat(day[1])) < interval.end:
+            out.setdefault(d, set()).add(name)
+    return out
+
+
+def _days_held(df: DataFrame, root: str, dataset: str, days: list[dt.date], fmt: str) -> list[dt.date]:
+    """Those of the days whose folders hold rows; only their files are read."""
+    if not days:
         return []
     day = F.col("ds").cast("date")
-    stale = held.where((day >= F.lit(interval.start)) & (day < F.lit(interval.end)))
-    if written:
-        stale = stale.where(~day.isin(sorted(written)))
-    return [r["d"] for r in stale.select(day.alias("d")).distinct().collect()]
+    return [r["d"] for r in _held(df, root, dataset, fmt).where(day.isin(sorted(days))).select(day.alias("d")).distinct().collect()]
 
 
 def read_partitioned(spark: SparkSession, root: str, dataset: str, schema: T.StructType,

@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
@@ -25,6 +26,9 @@ from ..functions.interval import Interval, today_midnight
 from .delimited import read_delimited
 
 
+_OUTSIDE = "rows of days outside"
+
+
 def read_table(spark: SparkSession, name: str, interval: Interval | None = None,
                column: str = "date") -> DataFrame:
     """``SELECT * FROM name [WHERE start <= column < end]``, as SQL with bound
@@ -130,29 +134,41 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def replace_days(df: DataFrame, name: str, interval: Interval, column: str = "date") -> None:
+def replace_days(df: DataFrame, name: str, interval: Interval, column: str = "date", rebalance: bool = True) -> None:
     """Make ``df`` the interval's rows of a table partitioned by the day
     ``column``; ``df`` must hold no other days.
 
-    Only the interval's partitions are written (dynamic partition overwrite);
+    Only the interval's partitions are written (dynamic partition overwrite),
+    and a row of another day ends the write before anything is changed;
     days that have no rows any more are dropped afterwards, by the names in the
     catalog. Other days are neither read nor written, and a reader finds every
-    day's old or new rows but while that day's folder is swapped."""
+    day's old or new rows but while that day's folder is swapped. Apart from
+    days that the table holds already, ``df`` is computed once. ``rebalance``
+    shuffles the rows by day; a ``df`` that comes day after day, as from day
+    files, is written without (each task sorts its own few days)."""
     spark = df.sparkSession
     parts = [f.name for f in spark.catalog.listColumns(name) if f.isPartition]
     if parts != [column]:
         raise ValueError(f"table {name} is partitioned by {parts}, not by {column}")
-    days = df.select(column).distinct()
-    written = {r[0] for r in days.collect()}
-    outside = sorted(str(d) for d in written if d is None or not interval.start <= d < interval.end)
-    if outside:
-        raise ValueError(f"rows of days outside {interval.start} to {interval.end}: {', '.join(outside[:5])}")
     held = {dt.date.fromisoformat(v) for v in (r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect())
             if v != "__HIVE_DEFAULT_PARTITION__"}
-    if written:
+    held = {d for d in held if interval.start <= d < interval.end}
+    day = F.col(column)
+    written = {r[0] for r in df.where(day.isin(sorted(held))).select(column).distinct().collect()} if held else set()
+    inside = (day >= F.lit(interval.start)) & (day < F.lit(interval.end))
+    refused = F.raise_error(F.concat(F.lit(f"{_OUTSIDE} {interval.start} to {interval.end}: "),
+                                     F.coalesce(day.cast("string"), F.lit("none"))))
+    checked = df.withColumn(column, F.when(inside, day).otherwise(refused.cast(df.schema[column].dataType)))
+    checked = checked.select(*spark.table(name).columns)
+    try:
         with _dynamic_overwrite(spark):
-            df.select(*spark.table(name).columns).hint("rebalance", column).write.insertInto(name, overwrite=True)
-    stale = sorted(d for d in held - written if interval.start <= d < interval.end)
+            (checked.hint("rebalance", column) if rebalance else checked).write.insertInto(name, overwrite=True)
+    except Exception as e:
+        found = re.search(rf"{_OUTSIDE} [^\n\"']*", str(e))
+        if found is None:
+            raise
+        raise ValueError(found[0]) from e
+    stale = sorted(held - written)
     if stale:
         spec = ", ".join(f"PARTITION (`{column}` = DATE '{d}')" for d in stale)
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {spec}")

@@ -9,6 +9,7 @@ from conftest import rows_of, ts
 from cdcmart.functions.interval import Interval
 from cdcmart.plans.jobs import run_extract, run_material_kg
 from cdcmart.schemas import DEMAND_SCHEMA, MATERIAL_KG_SCHEMA
+from cdcmart.sources.lake import read_interval, write_interval
 from cdcmart.sources.tables import ensure_table, read_table, replace_days
 
 TABLE = "mart_days_kg"
@@ -72,3 +73,31 @@ def test_the_kg_job_run_again(spark, table, tmp_path):
     run_material_kg(spark, root, Interval.day("2024-01-02"), table=table)
     got = {(str(r["date"]), r["shop_id"]) for r in read_table(spark, table).collect()}
     assert got == {("2024-01-01", "A"), ("2024-01-02", "B")}
+
+
+def test_writing_days_computes_the_rows_once(spark, table, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(df):
+        def one(row):
+            seen.add(1)
+            return row
+        return spark.createDataFrame(df.rdd.map(one), df.schema)
+
+    span, root = Interval.parse("2024-01-01", "2024-01-04"), str(tmp_path)
+    rows = mart(spark, (1, "A", 1.0), (2, "A", 2.0), (3, "A", 3.0))
+    write_interval(counted(rows), root, "kg", span)
+    assert seen.value == 3
+    replace_days(counted(rows), table, span)
+    assert seen.value == 6
+    write_interval(counted(rows.where("date != DATE '2024-01-02'")), root, "kg", span)  # a day without rows is emptied
+    assert seen.value == 8
+    assert rows_of(read_interval(spark, root, "kg", MATERIAL_KG_SCHEMA, span).selectExpr("day(date) AS d")) == [(1,), (3,)]
+
+
+def test_a_load_with_a_row_of_another_day_changes_nothing(spark, table):
+    span = Interval.parse("2024-01-01", "2024-01-03")
+    replace_days(mart(spark, (1, "A", 1.0), (2, "A", 2.0)), table, span)
+    with pytest.raises(ValueError, match="outside"):
+        replace_days(mart(spark, (1, "B", 5.0), (9, "B", 5.0)), table, span)
+    assert rows_of(read_table(spark, table).select("shop_id")) == [("A",), ("A",)]

@@ -92,13 +92,13 @@ def _levels(grams: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.nd
     return out
 
 
-def trie_arrays(grams: list[np.ndarray], log_prob: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
+def trie_arrays(grams: list[np.ndarray], log_prob: np.ndarray | None, counts: np.ndarray) -> dict[str, np.ndarray]:
     """A trie of sorted distinct n-grams (one array of word ids per place).
 
     A level holds its words by parent, each raised by parent times the id
     bound, which makes the level monotone, and the monotone pointers to each
-    parent's first child; the last level also the quantised probability and
-    the running sum of the counts.
+    parent's first child; the last level also the quantised probability (if
+    there are any) and the running sum of the counts.
     """
     bound = 1 + max((int(g.max(initial=0)) for g in grams))
     out = {"bound": np.array([bound], np.int64)}
@@ -110,7 +110,9 @@ def trie_arrays(grams: list[np.ndarray], log_prob: np.ndarray, counts: np.ndarra
         out |= {f"{k}.{name}.{x}": a for name, arrays in parts.items() for x, a in arrays.items()}
         parents = len(words)
     sums = np.concatenate([[0], np.cumsum(counts)])
-    return out | {"steps": quantised(log_prob)} | {f"counts.{x}": a for x, a in EliasFano.arrays(sums, int(sums[-1]) + 1).items()}
+    if log_prob is not None:
+        out["steps"] = quantised(log_prob)
+    return out | {f"counts.{x}": a for x, a in EliasFano.arrays(sums, int(sums[-1]) + 1).items()}
 
 
 class Trie:
@@ -121,7 +123,7 @@ class Trie:
             return EliasFano({x: arrays[f"{name}.{x}"] for x in ("head", "low", "high", "before")})
         self.bound = int(arrays["bound"][0])
         self.levels = [(sequence(f"{k}.words"), sequence(f"{k}.pointers")) for k in range(order)]
-        self.steps, self.counts = arrays["steps"], sequence("counts")
+        self.steps, self.counts = arrays.get("steps"), sequence("counts")
 
     @classmethod
     def mapped(cls, arrays: dict[str, np.ndarray], order: int, folder: str) -> "Trie":

@@ -10,14 +10,17 @@ one unknown word. Texts start after start marks and close with one end token.
 
 Every table row of the work is a block: some megabytes of whole texts, as
 numbers of the block's distinct words. Per order the distinct n-grams of each
-block go, packed, to shards by their hash; a shard adds up the counts of all
-blocks, builds an Elias-Fano trie of what was learned (see ``elias_fano``),
-memory-mapped from the task's own folder, looks up every n-gram asked for, and
-answers the blocks, or, for the last order, adds up the log probabilities of
-each text. The answer also says whether any other block holds the n-gram. If
-none does, the longer n-grams with it are in no other block either, and the
-block resolves them in a trie of its own. Copies of a frequent n-gram are added
-up in the blocks, and n-grams are spread by their whole hash, so neither a
+block go, packed, to shards; a shard adds up the counts of all blocks, builds an
+Elias-Fano trie of what was learned (see ``elias_fano``), memory-mapped from the
+task's own folder, looks up every n-gram asked for, and answers the blocks. The
+answer is the count alone: a block knows all else that a probability is made of.
+For the last order it builds such a trie with 16-bit probabilities of what its
+texts need, and looks them up there. The answer also says whether any other
+block holds the n-gram. If none does, the longer n-grams with it are in no other
+block either, and the block asks no shard for them. Copies of a frequent n-gram
+are added up in the blocks. N-grams are spread by their context,
+so that what is sent of a context is sent once, and those of a frequent context
+by the last word too, in as many lanes as its count asks for, so neither a
 frequent word nor a frequent context can fill a shard.
 """
 
@@ -37,12 +40,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import mix, released_table, row_chunks, running_hash, span_hash, total_bytes, utf8
+from .common import mix, released, released_table, row_chunks, running_hash, span_hash, total_bytes, utf8
 from .elias_fano import STEPS, Trie, quantised, trie_arrays
 
 BLOCK_BYTES, SHARD_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20, 32 << 20
 #: Spark's own bound for a table's buckets
 MOST_BUCKETS = 100_000
+#: a context goes to one more shard for each so many of its occurrences
+LANE_PLACES = 1024
 #: how many observations the shorter context's estimate is worth, by order
 WEIGHT = {2: 1000.0, 3: 50.0}
 START, END, UNKNOWN = 0, 1, -1
@@ -71,7 +76,7 @@ def unpack(data: bytes) -> dict[str, np.ndarray]:
 # --------------------------------------------------------------------------- blocks
 
 _BLOCK = ("block long, doc_id array<bigint>, train array<boolean>, tokens binary, words binary, times binary, "
-          "learned long, docs_learned long")
+          "learned long, docs_learned long, places long")
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
@@ -117,7 +122,8 @@ def _blocks(shards: int):
                      pa.array([pack({"index": index.astype(np.uint32), "sizes": sizes.astype(np.uint32)})], pa.binary()),
                      pa.array([zstandard.ZstdCompressor(level=3).compress(blob)], pa.binary()),
                      pa.array([pack({"times": times.astype(np.uint64), "shard": shard.astype(np.uint32)})], pa.binary()),
-                     pa.array([int(learned.sum())], pa.int64()), pa.array([int(train.sum())], pa.int64())],
+                     pa.array([int(learned.sum())], pa.int64()), pa.array([int(train.sum())], pa.int64()),
+                     pa.array([len(index)], pa.int64())],
                     [f.split()[0] for f in _BLOCK.split(", ")])
                 number += 1
     return cut
@@ -136,17 +142,16 @@ def _ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _row(names: list[str], values: list) -> pa.RecordBatch:
-    kinds = {"words": pa.binary(), "asked": pa.binary(), "info": pa.binary(), "answer": pa.binary()}
+    kinds = {"words": pa.binary(), "asked": pa.binary(), "answer": pa.binary()}
     return pa.RecordBatch.from_arrays([pa.array([v], kinds.get(n, pa.int64())) for n, v in zip(names, values)], names)
 
 
-_ANSWER = "block long, level int, shard long, answer binary, known long"
+_ANSWER = "block long, shard long, answer binary, known long"
 
 
-def _answers(blocks: list, level: int, shard: int, answers: list[bytes | None], known: list) -> pa.Table:
-    return pa.table([pa.array(blocks, pa.int64()), pa.array([level] * len(blocks), pa.int32()),
-                     pa.array([shard] * len(blocks), pa.int64()), pa.array(answers, pa.binary()), pa.array(known, pa.int64())],
-                    ["block", "level", "shard", "answer", "known"])
+def _answers(blocks: list, shard: int, answers: list[bytes | None], known: list) -> pa.Table:
+    return pa.table([pa.array(blocks, pa.int64()), pa.array([shard] * len(blocks), pa.int64()),
+                     pa.array(answers, pa.binary()), pa.array(known, pa.int64())], ["block", "shard", "answer", "known"])
 
 
 def _count_words(shards: int):
@@ -171,17 +176,56 @@ def _count_words(shards: int):
             at += len(mine)
             out.append(pack({"ids": ids[mine], "counts": counts[mine].astype(np.uint64), "alone": alone[mine].astype(np.uint8)}))
         blocks = table.column("block").to_pylist()
-        return _answers([*blocks, None], 1, key[0].as_py(), [*out, None], [None] * len(blocks) + [int((counts > 0).sum())])
+        return _answers([*blocks, None], key[0].as_py(), [*out, None], [None] * len(blocks) + [int((counts > 0).sum())])
     return count
 
 
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one at a time: with its answers, that of a block has many parts."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield from batch.slice(k, 1).to_pylist()
+
+
+def _by_shard(shard: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of every shard, in order, one shard after another, and where each begins."""
+    kind = np.uint16 if shards <= 1 << 16 else np.uint32
+    return np.argsort(shard.astype(kind), kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))])
+
+
+_STATE = "block long, doc_id array<bigint>, train array<boolean>, state binary"
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The blocks with their words numbered in the order of the ids, unknown
+    words last; frequent words thus have small numbers, and no text is needed."""
+    for row in _each(batches):
+        stored, shard = unpack(row["tokens"]), unpack(row["times"])["shard"]
+        ids, counts, alone = np.full(len(shard), UNKNOWN, np.int64), np.zeros(len(shard), np.uint64), np.zeros(len(shard), np.uint8)
+        places, cuts = _by_shard(shard, int(shard.max(initial=0)) + 1)
+        for a in row["answers"] or []:
+            at, part = places[cuts[a["shard"]]:cuts[a["shard"] + 1]], unpack(a["answer"])
+            ids[at], counts[at], alone[at] = part["ids"], part["counts"], part["alone"]
+        order = np.lexsort((ids, ids == UNKNOWN))
+        number = np.empty(len(order), np.uint32)
+        number[order] = np.arange(len(order))
+        known = order[:np.count_nonzero(ids != UNKNOWN)]
+        state = pack({"index": number[stored["index"]], "sizes": stored["sizes"], "alone": alone[order],
+                      "ids": np.diff(ids[known], prepend=0).astype(np.uint64), "counts": counts[known]})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([row["block"]], pa.int64()), pa.array([row["doc_id"]], pa.list_(pa.int64())),
+             pa.array([row["train"]], pa.list_(pa.bool_())), pa.array([state], pa.binary())],
+            [f.split()[0] for f in _STATE.split(", ")])
+
+
 # --------------------------------------------------------------------------- n-grams
 
 class _Corpus:
-    """What every task knows: tokens, words and texts learned, and the weights by order."""
+    """What every task knows: tokens, words and texts learned, the weights by
+    order, and how many learned occurrences of a context go to one shard."""
 
-    def __init__(self, tokens: int, words: int, texts: int, weights: dict[int, float]):
-        self.tokens, self.words, self.texts, self.weights = tokens, words, texts, weights
+    def __init__(self, tokens: int, words: int, texts: int, weights: dict[int, float], lane: int = LANE_PLACES):
+        self.tokens, self.words, self.texts, self.weights, self.lane = tokens, words, texts, weights, lane
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 1.0) / (self.tokens + self.words + 1.0))
@@ -191,14 +235,12 @@ class _Block:
     """A block's texts as one sequence: per text its start marks, its words
     and the end; with the state of one order at every place."""
 
-    def __init__(self, tokens: bytes, times: bytes, train: list[bool], words: list[dict], corpus: _Corpus, order: int, shards: int):
-        stored, word_shard = unpack(tokens), unpack(times)["shard"]
+    def __init__(self, state: bytes, train: list[bool], corpus: _Corpus, order: int, shards: int):
+        stored = unpack(state)
         index, sizes = stored["index"].astype(np.int64), stored["sizes"].astype(np.int64)
-        n_words = int(index.max(initial=-1)) + 1
-        ids, counts, alone = np.full(n_words, UNKNOWN, np.int64), np.zeros(n_words, np.int64), np.zeros(n_words, bool)
-        for part in words:
-            at = np.flatnonzero(word_shard == part["shard"])
-            ids[at], counts[at], alone[at] = part["ids"], part["counts"].astype(np.int64), part["alone"] > 0
+        alone, known = stored["alone"] > 0, len(stored["ids"])
+        ids, counts = np.full(len(alone), UNKNOWN, np.int64), np.zeros(len(alone), np.int64)
+        ids[:known], counts[:known] = np.cumsum(stored["ids"].astype(np.int64)), stored["counts"].astype(np.int64)
         pad = order - 1
         length = sizes + pad + 1
         starts = np.cumsum(length) - length
@@ -213,10 +255,8 @@ class _Block:
         self.ids[starts + length - 1] = END
         self.ids[word], self.count[word] = ids[index], counts[index]
         # the block's own numbers, in the order of the ids; unknown words come last, each for itself
-        own = np.empty(n_words, np.int64)
-        own[np.lexsort((ids, ids == UNKNOWN))] = np.arange(n_words) + 2
         self.word = self.ids.copy()
-        self.word[word] = own[index]
+        self.word[word] = index + 2
         self.alone = np.zeros(total, bool)  # no other block has the n-gram that ends here
         self.alone[word] = alone[index]
         self.sizes = sizes + 1
@@ -226,7 +266,7 @@ class _Block:
         self.log_prob = self.base.copy()
         self.rank = np.where(self.scored, self.word, -1)
         self.clear = self.ids != UNKNOWN  # no unknown word in the n-gram that ends here
-        self.weights, self.level, self.shards = corpus.weights, 1, shards
+        self.weights, self.lane, self.level, self.shards = corpus.weights, corpus.lane, 1, shards
 
     def step(self) -> None:
         """Take up the n-grams one longer: their context counts, ranks, distinct ones."""
@@ -236,7 +276,7 @@ class _Block:
         self.clear &= self.clear[before]
         key = (self.rank[before] + 1 << 32) | self.word
         at = np.flatnonzero(self.scored)
-        _, first, inverse = np.unique(key[at], return_index=True, return_inverse=True)
+        first, inverse = _distinct(key[at])
         rank = np.full(len(self.ids), -1, np.int64)
         rank[at] = inverse
         self.rank, self.first, self.at, self.inverse = rank, at[first], at, inverse
@@ -250,34 +290,38 @@ class _Block:
         self.own = np.flatnonzero(wanted & self.alone[self.first])
         self.asks = np.flatnonzero(wanted & ~self.alone[self.first])
         self.times = np.bincount(inverse, weights=self.train[at], minlength=len(first)).astype(np.int64)
-        grams = self.columns(self.asks)
+        grams = self.grams(self.asks)
         code = np.zeros(len(self.asks), np.uint64)
-        for k in range(self.level):
-            code = mix(code * np.uint64(31) + grams[f"g{k}"] + np.uint64(1))
-        self.shard = (code % np.uint64(self.shards)).astype(np.int64)
-        counts, log_prob, alone = np.zeros(len(first), np.int64), self.log_prob[self.first], self.alone[self.first]
-        if len(self.own):
-            mine = self.columns(self.own)
-            mine["g0"] = np.diff(mine["g0"], prepend=np.uint64(0))
-            found, found_prob, _, row = _resolve([mine], self.level, weight)
-            counts[self.own], log_prob[self.own] = found[row], found_prob[row]
-        self.found = counts, log_prob, alone
-
-    def columns(self, which: np.ndarray) -> dict[str, np.ndarray]:
-        """Words, occurrences learned, context count and shorter estimate of some of the distinct n-grams."""
+        for g in grams[:-1]:
+            code = mix(code * np.uint64(31) + g.astype(np.uint64) + np.uint64(1))
+        lanes = (1 + self.context[self.first[self.asks]] // self.lane).astype(np.uint64)
+        code = mix(code * np.uint64(31) + mix(grams[-1].astype(np.uint64)) % lanes)
+        self.by_shard, self.cuts = _by_shard((code % np.uint64(self.shards)).astype(np.int64), self.shards)
+
+    def grams(self, which: np.ndarray) -> list[np.ndarray]:
+        """The words of some of the distinct n-grams."""
         place = self.first[which]
-        out = {f"g{k}": self.ids[place - self.level + 1 + k].astype(np.uint64) for k in range(self.level)}
-        return out | {"times": self.times[which].astype(np.uint32), "context": self.context[place].astype(np.uint64),
-                      "lower": quantised(self.lower[place])}
+        return [self.ids[place - self.level + 1 + k] for k in range(self.level)]
 
-    def absorb(self, answers: list[dict]) -> None:
-        """Take the shards' answers, then what is known of every distinct n-gram to all its places."""
-        counts, log_prob, alone = self.found
+    def absorb(self, answers: list[dict], last: bool = False) -> None:
+        """Take the shards' answers, then what is known of every distinct
+        n-gram to all its places; for the last order from a trie."""
+        total, alone = self.times.copy(), self.alone[self.first]
         for part in answers:
-            mine = self.asks[self.shard == part["shard"]]
-            counts[mine] = part["counts"].astype(np.int64)
-            log_prob[mine] = -part["steps"].astype(np.float64) / STEPS
+            mine = self.asks[self.by_shard[self.cuts[part["shard"]]:self.cuts[part["shard"] + 1]]]
+            total[mine] += part["others"].astype(np.int64)
             alone[mine] = part["alone"] > 0
+        counts, log_prob = np.zeros(len(self.first), np.int64), self.log_prob[self.first]
+        known = np.sort(np.concatenate([self.own, self.asks]))
+        place = self.first[known]
+        smooth = _smoothed(total[known], self.context[place], quantised(self.lower[place]), self.weights[self.level])
+        if last:
+            counts[known], log_prob[known] = _looked_up(self.grams(known), total[known], smooth)
+        else:
+            rounded = total > 0  # as tries hold them; what a shard was asked for, also if it was not learned
+            rounded[self.asks] = True
+            counts[known] = total[known]
+            log_prob[known] = np.where(rounded[known], -quantised(smooth).astype(np.float64) / STEPS, smooth)
         self.log_prob[self.at] = log_prob[self.inverse]
         self.alone[self.at] = alone[self.inverse]
         self.count = self.count.copy()
@@ -287,135 +331,140 @@ class _Block:
         return np.bincount(self.doc, weights=values, minlength=len(self.sizes))
 
 
-_ASK = "shard long, block long, asked binary, info binary"
+def _differences(grams: list[np.ndarray]) -> list[np.ndarray]:
+    """Sorted n-grams, every word as the difference from the row above where
+    all words before it are the same."""
+    out, same = [], np.ones(len(grams[0]), bool)
+    for g in grams:
+        out.append(np.where(same, np.diff(g, prepend=0), g))
+        same &= out[-1] == 0
+    return out
+
+
+def _from_differences(differences: list[np.ndarray]) -> list[np.ndarray]:
+    out, same = [], np.ones(len(differences[0]), bool)
+    for d in differences:
+        begins = ~same
+        begins[:1] = True
+        run = np.maximum.accumulate(np.where(begins, np.arange(len(d)), 0))
+        upto = np.cumsum(d)
+        out.append(upto - (upto - d)[run])
+        same &= d == 0
+    return out
+
+
+_ASK = "shard long, block long, asked binary"
+
+
+def _at_level(row: dict, level: int, order: int, shards: int, corpus: _Corpus) -> _Block:
+    """A block that has taken up the n-grams of a level, with all shorter ones answered."""
+    block = _Block(row["state"], row["train"], corpus, order, shards)
+    block.step()
+    while block.level < level:
+        block.absorb(_parts(row, block.level))
+        block.step()
+    return block
+
+
+def _parts(row: dict, level: int) -> list[dict]:
+    return [unpack(a["answer"]) | {"shard": a["shard"]} for a in row[f"answers_{level}"] or []]
 
 
 def _ask_grams(level: int, order: int, shards: int, corpus: _Corpus):
-    """The distinct n-grams of every block to their shards. For the last order
-    with the texts that hold them; its first shard also gets what the block
-    knows of its texts, and hands it on."""
+    """The distinct n-grams of every block to their shards."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                parts: dict[int, list[dict]] = {}
-                for a in row["answers"] or []:
-                    parts.setdefault(a["level"], []).append(unpack(a["answer"]) | {"shard": a["shard"]})
-                block = _Block(row["tokens"], row["times"], row["train"], parts.get(1, []), corpus, order, shards)
-                block.step()
-                while block.level < level:
-                    block.absorb(parts.get(block.level, []))
-                    block.step()
-                yield from _asked(row["block"], block, level == order)
+        for row in _each(batches):
+            yield from _asked(row["block"], _at_level(row, level, order, shards, corpus))
     return ask
 
 
-def _asked(number: int, block: _Block, last: bool) -> Iterator[pa.RecordBatch]:
-    names, info, shard = ["shard", "block", "asked", "info"], None, block.shard
-    columns = block.columns(block.asks)
-    cuts = np.searchsorted(np.sort(shard), np.arange(block.shards + 1))
-    order = np.argsort(shard, kind="stable")
-    if last:
-        asked = np.full(len(block.first), -1, np.int64)
-        asked[block.asks] = np.arange(len(block.asks))
-        of, docs = asked[block.inverse], max(1, len(block.sizes))
-        entry, often = np.unique(of[of >= 0] * docs + block.doc[block.at][of >= 0], return_counts=True)
-        gram, doc = entry // docs, entry % docs
-        by_shard = np.argsort(shard[gram], kind="stable")
-        entry_cuts = np.searchsorted(shard[gram][by_shard], np.arange(block.shards + 1))
-        rest = np.zeros(len(block.ids))  # what the shards do not add
-        rest[block.at[of < 0]] = block.found[1][block.inverse[of < 0]]
-        info = pack({"tokens": block.sizes, "known": block.per_doc(block.known), "base": block.per_doc(block.base),
-                     "rest": block.per_doc(rest)})
-    for s in range(block.shards):
-        mine = order[cuts[s]:cuts[s + 1]]
-        if len(mine) == 0 and not (last and s == 0):
-            continue
-        part = {k: c[mine] for k, c in columns.items()}
-        part["g0"] = np.diff(part["g0"], prepend=np.uint64(0))  # sorted by the first word
-        if last:
-            e = by_shard[entry_cuts[s]:entry_cuts[s + 1]]
-            part |= {"holders": np.bincount(np.searchsorted(mine, gram[e]), minlength=len(mine)).astype(np.uint32),
-                     "doc": doc[e].astype(np.uint32), "often": often[e].astype(np.uint32),
-                     "docs": np.array([len(block.sizes)], np.uint32)}
-        yield _row(names, [s, number, pack(part), info if s == 0 else None])
+def _asked(number: int, block: _Block) -> Iterator[pa.RecordBatch]:
+    grams, times = block.grams(block.asks), block.times[block.asks].astype(np.uint32)
+    for s in np.flatnonzero(np.diff(block.cuts)).tolist():
+        mine = block.by_shard[block.cuts[s]:block.cuts[s + 1]]
+        part = {f"g{k}": d.astype(np.uint64) for k, d in enumerate(_differences([g[mine] for g in grams]))}
+        yield _row(["shard", "block", "asked"], [s, number, pack(part | {"times": times[mine]})])
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A row of every distinct key, in order, and each row's key."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    inverse = np.empty(len(keys), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return order[new], inverse
 
 
 def _merge(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Distinct n-grams in order, the first row of each, and each row's n-gram."""
+    """Distinct n-grams in order, a row of each, and each row's n-gram."""
     inverse = np.zeros(len(columns[0]), np.int64)
     first = np.zeros(0, np.int64)
     for c in columns:
-        c = c.astype(np.int64)
         if int(c.max(initial=0)) >> 32:  # by rank, where the ids are wider
             c = np.unique(c, return_inverse=True)[1]
-        _, first, inverse = np.unique((inverse << 32) | c, return_index=True, return_inverse=True)
-    return [c[first].astype(np.int64) for c in columns], first, inverse
-
-
-def _resolve(asked: list[dict], level: int, weight: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Counts and log probabilities of the distinct n-grams of a shard, from
-    its trie, whether one block alone asked, and the n-gram of every row asked."""
-    columns = [np.concatenate([np.cumsum(a["g0"]) for a in asked])]
-    columns += [np.concatenate([a[f"g{k}"] for a in asked]) for k in range(1, level)]
-    grams, first, inverse = _merge(columns)
-    total = np.bincount(inverse, weights=np.concatenate([a["times"] for a in asked]), minlength=len(first)).astype(np.int64)
-    context = np.concatenate([a["context"] for a in asked])[first].astype(np.float64)
-    lower = -np.concatenate([a["lower"] for a in asked])[first].astype(np.float64) / STEPS
-    log_prob, counts = lower + np.log10(weight / (context + weight)), np.zeros(len(first), np.int64)
-    learned = np.flatnonzero(total)
+        first, inverse = _distinct((inverse << 32) | c)
+    return [c[first] for c in columns], first, inverse
+
+
+def _smoothed(counts: np.ndarray, context: np.ndarray, lower: np.ndarray, weight: float) -> np.ndarray:
+    """Log probabilities from counts, context counts and shorter estimates."""
+    context, lower, out = context.astype(np.float64), -lower.astype(np.float64) / STEPS, np.empty(len(counts))
+    seen = counts > 0
+    out[~seen] = lower[~seen] + np.log10(weight / (context[~seen] + weight))
+    out[seen] = np.log10((counts[seen] + weight * 10.0 ** lower[seen]) / (context[seen] + weight))
+    return out
+
+
+def _looked_up(grams: list[np.ndarray], counts: np.ndarray, log_prob: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+    """What a trie of the n-grams learned, of sorted distinct ones, says of each
+    of them: counts and log probabilities, if it is given any."""
+    learned = np.flatnonzero(counts)
+    found, found_prob = np.zeros(len(counts), np.int64), None if log_prob is None else log_prob.copy()
     if len(learned):
-        smooth = np.log10((total[learned] + weight * 10.0 ** lower[learned]) / (context[learned] + weight))
-        arrays = trie_arrays([g[learned] for g in grams], smooth, total[learned])
+        arrays = trie_arrays([g[learned] for g in grams], None if log_prob is None else log_prob[learned], counts[learned])
         with tempfile.TemporaryDirectory(prefix="ngrams-") as folder:  # the task's own, gone with it
-            trie = Trie.mapped(arrays, level, folder)
+            trie = Trie.mapped(arrays, len(grams), folder)
             leaf = trie.find(grams)
             there = np.flatnonzero(leaf >= 0)
-            log_prob[there], counts[there] = trie.log_prob(leaf[there]), trie.count(leaf[there])
+            found[there] = trie.count(leaf[there])
+            if log_prob is not None:
+                found_prob[there] = trie.log_prob(leaf[there])
             del trie
-    return counts, log_prob, np.bincount(inverse, minlength=len(first)) == 1, inverse
+    return found, found_prob
 
 
-def _answer_grams(level: int, weight: float):
+def _answer_grams(level: int):
     def answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         asked = [unpack(a) for a in table.column("asked").to_pylist()]
-        counts, log_prob, alone, inverse = _resolve(asked, level, weight)
-        steps, out, at = quantised(log_prob), [], 0
+        read = [_from_differences([a[f"g{k}"].astype(np.int64) for k in range(level)]) for a in asked]
+        grams, first, inverse = _merge([np.concatenate([r[k] for r in read]) for k in range(level)])
+        total = np.bincount(inverse, weights=np.concatenate([a["times"] for a in asked]), minlength=len(first)).astype(np.int64)
+        counts, _ = _looked_up(grams, total)
+        alone, out, at = np.bincount(inverse, minlength=len(first)) == 1, [], 0  # a block asks once for an n-gram
         for a in asked:
             mine = inverse[at:at + len(a["times"])]
             at += len(mine)
-            out.append(pack({"counts": counts[mine].astype(np.uint64), "steps": steps[mine], "alone": alone[mine].astype(np.uint8)}))
-        return _answers(table.column("block").to_pylist(), level, key[0].as_py(), out, [None] * len(out))
+            out.append(pack({"others": (counts[mine] - a["times"]).astype(np.uint64), "alone": alone[mine].astype(np.uint8)}))
+        return _answers(table.column("block").to_pylist(), key[0].as_py(), out, [None] * len(out))
     return answer
 
 
-def _sum_texts(level: int, weight: float):
-    def add(table: pa.Table) -> pa.Table:
-        asked = [unpack(a) for a in table.column("asked").to_pylist()]
-        _, log_prob, _, inverse = _resolve(asked, level, weight)
-        out, at = [], 0
-        for a in asked:
-            mine = log_prob[inverse[at:at + len(a["times"])]]
-            at += len(a["times"])
-            sums = np.bincount(a["doc"], weights=np.repeat(mine, a["holders"]) * a["often"], minlength=int(a["docs"][0]))
-            out.append(pack({"sums": sums.astype(np.float32)}))
-        return pa.table([table.column("block"), pa.array(out, pa.binary()), table.column("info")], ["block", "answer", "info"])
-    return add
-
-
 _SCORED = "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            info = unpack(next(p["info"] for p in row["parts"] if p["info"] is not None))
-            score = info["rest"].copy()
-            for p in row["parts"]:
-                score += unpack(p["answer"])["sums"]
+def _score(order: int, shards: int, corpus: _Corpus):
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(batches):
+            block = _at_level(row, order, order, shards, corpus)
+            block.absorb(_parts(row, order), last=True)
+            values = [block.sizes, block.per_doc(block.known).astype(np.int64), block.per_doc(block.base), block.per_doc(block.log_prob)]
+            del block  # before the next one
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row["doc_id"], pa.int64()), pa.array(row["train"], pa.bool_()), pa.array(info["tokens"].astype(np.int64)),
-                 pa.array(info["known"].astype(np.int64)), pa.array(info["base"]), pa.array(score)],
+                [pa.array(row["doc_id"], pa.int64()), pa.array(row["train"], pa.bool_()), *map(pa.array, values)],
                 [f.split()[0] for f in _SCORED.split(", ")])
+    return score
 
 
 def score_corpus(docs: DataFrame, train: Column, order: int = 3, id_col: str = "doc_id", text_col: str = "text",
@@ -437,32 +486,42 @@ def score_corpus(docs: DataFrame, train: Column, order: int = 3, id_col: str = "
                        F.coalesce(train, F.lit(False)).alias("train"))
     size = total_bytes(rows)
     shards, buckets = max(1, -(-size // shard_bytes)), max(1, min(MOST_BUCKETS, size // BUCKET_BYTES))
-    # bucketed by block, so that only the answers move when they come back to the blocks
-    spark, table = docs.sparkSession, f"ngram_blocks_{uuid.uuid4().hex}"
-    (rows.mapInArrow(_blocks(shards), _BLOCK).write.bucketBy(buckets, "block")
-     .option("path", scratch_path(spark, table)).saveAsTable(table))
-    blocks = spark.table(table)
-    answers = [released_table(
-        blocks.select("block", "words", "times").mapInArrow(_ask_words, "shard long, block long, words binary, asked binary")
-        .repartition(shards, "shard").groupBy("shard").applyInArrow(_count_words(shards), _ANSWER), "words")]
-    texts, tokens = blocks.agg(F.sum("docs_learned"), F.sum("learned")).first()
-    texts, tokens = int(texts or 0), int(tokens or 0)
-    words = int(answers[0].agg(F.sum("known")).first()[0] or 0)
-    corpus = _Corpus(tokens + texts, words + (texts > 0), texts, weights)
-    slim = blocks.select("block", "train", "tokens", "times")
-    for level in range(2, order + 1):
-        given = answers[0].where("block IS NOT NULL")
-        for more in answers[1:]:
-            given = given.unionByName(more)
-        given = given.repartition(buckets, "block").groupBy("block").agg(F.collect_list(F.struct("level", "shard", "answer")).alias("answers"))
-        asked = (slim.join(given, "block", "left").mapInArrow(_ask_grams(level, order, shards, corpus), _ASK)
-                 .repartition(shards, "shard").groupBy("shard"))
-        if level < order:
-            answers.append(released_table(asked.applyInArrow(_answer_grams(level, weights[level]), _ANSWER), f"grams-{level}"))
-    sums = released_table(asked.applyInArrow(_sum_texts(order, weights[order]), "block long, answer binary, info binary"), "sums")
-    parts = sums.repartition(buckets, "block").groupBy("block").agg(F.collect_list(F.struct("answer", "info")).alias("parts"))
-    scored = (blocks.select("block", "doc_id", "train").join(parts, "block")
-              .mapInArrow(_finish, _SCORED))
-    out = released_table(scored, "scored").withColumn("train_tokens", F.lit(corpus.tokens).cast("long"))
-    spark.sql(f"DROP TABLE {table}")
-    return out
+    spark, tables = docs.sparkSession, []
+
+    def bucketed(df: DataFrame, name: str) -> DataFrame:
+        """Bucketed by block, so that no row moves to meet its block again."""
+        table = f"ngram_{name}_{uuid.uuid4().hex}"
+        tables.append(table)
+        with released(spark):
+            df.write.bucketBy(buckets, "block").saveAsTable(table, format="parquet")
+        return spark.table(table)
+
+    def answered(df: DataFrame, name: str) -> DataFrame:
+        """One row a block; the words learned are in a row without block."""
+        part = F.when(F.col("block").isNotNull(), F.struct("shard", "answer"))
+        return bucketed(df.repartition(buckets, "block").groupBy("block")
+                        .agg(F.collect_list(part).alias(name), F.sum("known").alias("known")), name)
+
+    try:
+        blocks = bucketed(rows.mapInArrow(_blocks(shards), _BLOCK), "blocks")
+        words = answered(blocks.select("block", "words", "times")
+                         .mapInArrow(_ask_words, "shard long, block long, words binary, asked binary")
+                         .repartition(shards, "shard").groupBy("shard").applyInArrow(_count_words(shards), _ANSWER), "answers")
+        texts, tokens, places = (int(n or 0) for n in blocks.agg(F.sum("docs_learned"), F.sum("learned"), F.sum("places")).first())
+        n_words = int(words.agg(F.sum("known")).first()[0] or 0)
+        # where few texts are learned from, a context that is asked for often has a small count
+        lane = max(1, LANE_PLACES * tokens // max(1, places))
+        corpus = _Corpus(tokens + texts, n_words + (texts > 0), texts, weights, lane)
+        held = bucketed(blocks.select("block", "doc_id", "train", "tokens", "times").join(words.select("block", "answers"), "block", "left")
+                        .mapInArrow(_settle, _STATE), "state")
+        while len(tables) > 1:  # the texts of the words, and their answers
+            spark.sql(f"DROP TABLE {tables.pop(0)}")
+        for level in range(2, order + 1):
+            asked = held.drop("doc_id").mapInArrow(_ask_grams(level, order, shards, corpus), _ASK)
+            more = answered(asked.repartition(shards, "shard").groupBy("shard").applyInArrow(_answer_grams(level), _ANSWER), f"answers_{level}")
+            held = held.join(more.drop("known"), "block", "left")
+        scored = released_table(held.mapInArrow(_score(order, shards, corpus), _SCORED), "scored")
+    finally:
+        for table in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return scored.withColumn("train_tokens", F.lit(corpus.tokens).cast("long"))

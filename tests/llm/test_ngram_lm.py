@@ -1,16 +1,19 @@
 """The n-gram scores against a brute-force model."""
 
 import math
+import os
 import random
 import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cdcmart.llm import ngram_lm
 from cdcmart.llm.elias_fano import EliasFano, Trie, trie_arrays
+from cdcmart.session import shared_dir
 
 SCHEMA = "doc_id long, text string, learn boolean, block long, words string, `train` string"
 
@@ -108,3 +111,61 @@ def test_sequences_and_tries(tmp_path):
         assert (trie.find([grams[:5, k] for k in range(order)]) == leaf[:5]).all()  # few: without reading whole levels
         assert np.abs(trie.log_prob(leaf[learned]) - log_prob).max() <= 0.5 / 1024
 
+
+def test_differences_are_read_back():
+    rng = np.random.default_rng(8)
+    for order in (1, 2, 3):
+        for n in (0, 1, 500):
+            grams = np.unique(rng.integers(0, 9, (n, order)), axis=0).reshape(-1, order)
+            columns = [grams[:, k] for k in range(order)]
+            back = ngram_lm._from_differences([d.astype(np.uint64).astype(np.int64) for d in ngram_lm._differences(columns)])
+            assert all((a == b).all() for a, b in zip(columns, back, strict=True))
+
+
+def asked_block(words=300, texts=400, shards=8, learn=1.0, lane=ngram_lm.LANE_PLACES):
+    """A block of Zipf-like texts that has taken up its trigrams; no n-gram is the block's alone."""
+    rng = np.random.default_rng(4)
+    index = np.minimum(rng.zipf(1.3, texts * 60) - 1, words - 1)
+    used = np.bincount(index, minlength=words)
+    state = ngram_lm.pack({"index": index.astype(np.uint32), "sizes": np.full(texts, 60, np.uint32), "alone": np.zeros(words, np.uint8),
+                           "ids": np.ones(words, np.uint64) * 2, "counts": np.maximum(used, 1).astype(np.uint64)})
+    corpus = ngram_lm._Corpus(len(index), words, texts, ngram_lm.WEIGHT, lane)
+    block = ngram_lm._Block(state, [True] * texts, corpus, 3, shards)
+    block.step()
+    block.absorb([{"shard": s, "others": np.zeros(n, np.uint64), "alone": np.zeros(n, np.uint8)}
+                  for s, n in enumerate(np.diff(block.cuts))])
+    block.step()
+    return block
+
+
+def test_only_ngrams_and_their_counts_travel():
+    block = asked_block()
+    parts = [b.to_pylist()[0] for b in ngram_lm._asked(7, block)]
+    assert all(set(ngram_lm.unpack(p["asked"])) == {"g0", "g1", "g2", "times"} for p in parts)
+    assert sum(len(p["asked"]) for p in parts) < 5 * len(block.asks)
+    answers = ngram_lm._answer_grams(3)((pa.scalar(0),), pa.Table.from_pylist([{k: parts[0][k] for k in ("block", "asked")}]))
+    assert set(ngram_lm.unpack(answers["answer"][0].as_py())) == {"others", "alone"}
+
+
+def test_frequent_contexts_are_spread():
+    for lane in (1, 50):
+        block = asked_block(words=40, lane=lane, shards=16)
+        size = np.diff(block.cuts)
+        assert size.max() < 2 * size.mean()
+        context = block.grams(block.asks)[:2]
+        shard = np.repeat(np.arange(16), size)
+        rare = {}
+        count = block.context[block.first[block.asks]]
+        for place, s in zip(block.by_shard.tolist(), shard.tolist()):
+            if count[place] < lane:
+                rare.setdefault((context[0][place], context[1][place]), set()).add(s)
+        assert all(len(shards) == 1 for shards in rare.values())
+
+
+def test_tables_of_the_rounds_are_gone(spark):
+    before = set(os.listdir(shared_dir(spark).removeprefix("file:"))), {t.name for t in spark.catalog.listTables()}
+    scored = ngram_lm.score_corpus(frame(spark, odd_rows()), F.col("learn"), shard_bytes=5000)
+    assert scored.count() == len(odd_rows())
+    left = set(os.listdir(shared_dir(spark).removeprefix("file:"))) - before[0]
+    assert [name.startswith("llm-scored") for name in left] == [True]
+    assert {t.name for t in spark.catalog.listTables()} == before[1]

@@ -142,8 +142,13 @@ class Trie:
             above = node[parent]
             known = np.flatnonzero((above >= 0) & (word < self.bound))
             lo, end = pointers[above[known]], pointers[above[known] + 1]
-            hi, wanted = end.copy(), above[known] * self.bound + word[known]
-            open_ = np.flatnonzero(lo < hi)
+            wanted = above[known] * self.bound + word[known]
+            if isinstance(words, np.ndarray):  # read whole: the level is in order over all parents
+                lo = np.maximum(lo, np.searchsorted(words, wanted))
+                open_ = np.zeros(0, np.int64)
+            else:
+                hi = end.copy()
+                open_ = np.flatnonzero(lo < hi)
             while len(open_):
                 middle = (lo[open_] + hi[open_]) >> 1
                 less = words[middle] < wanted[open_]

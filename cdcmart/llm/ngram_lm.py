@@ -323,6 +323,8 @@ class _Block:
             counts[known] = total[known]
             log_prob[known] = np.where(rounded[known], -quantised(smooth).astype(np.float64) / STEPS, smooth)
         self.log_prob[self.at] = log_prob[self.inverse]
+        if last:
+            return
         self.alone[self.at] = alone[self.inverse]
         self.count = self.count.copy()
         self.count[self.at] = counts[self.inverse]

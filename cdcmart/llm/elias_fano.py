@@ -23,10 +23,14 @@ def quantised(log_prob: np.ndarray) -> np.ndarray:
 
 def _packed(values: np.ndarray, width: int) -> np.ndarray:
     """The low ``width`` bits of every value, one after another, with 8 spare bytes."""
-    bits = np.zeros((len(values), width), np.uint8)
-    for k in range(width):
-        bits[:, k] = (values >> np.uint64(k)) & np.uint64(1)
-    return np.concatenate([np.packbits(bits.ravel(), bitorder="little"), np.zeros(8, np.uint8)])
+    out = [np.zeros(0, np.uint8)]
+    for lo in range(0, len(values), 1 << 16):  # whole bytes, as these are multiples of 8 values
+        part = values[lo:lo + (1 << 16)]
+        bits = np.zeros((len(part), width), np.uint8)
+        for k in range(width):
+            bits[:, k] = (part >> np.uint64(k)) & np.uint64(1)
+        out.append(np.packbits(bits.ravel(), bitorder="little"))
+    return np.concatenate([*out, np.zeros(8, np.uint8)])
 
 
 class EliasFano:

@@ -316,7 +316,10 @@ class _Block:
         place = self.first[known]
         smooth = _smoothed(total[known], self.context[place], quantised(self.lower[place]), self.weights[self.level])
         if last:
-            counts[known], log_prob[known] = _looked_up(self.grams(known), total[known], smooth)
+            grams, total = self.grams(known), total[known]
+            # what only longer n-grams would need goes before the trie is made
+            del place, counts, alone, self.ids, self.word, self.rank, self.clear, self.lower, self.context, self.count, self.alone
+            log_prob[known] = _looked_up(grams, total, smooth)[1]
         else:
             rounded = total > 0  # as tries hold them; what a shard was asked for, also if it was not learned
             rounded[self.asks] = True

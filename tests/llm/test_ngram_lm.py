@@ -169,3 +169,11 @@ def test_tables_of_the_rounds_are_gone(spark):
     left = set(os.listdir(shared_dir(spark).removeprefix("file:"))) - before[0]
     assert [name.startswith("llm-scored") for name in left] == [True]
     assert {t.name for t in spark.catalog.listTables()} == before[1]
+
+
+def test_sequences_of_many_numbers():
+    rng = np.random.default_rng(5)
+    for bound in (3, 10 ** 9):
+        values = np.sort(rng.integers(0, bound, (1 << 17) + 13))
+        held = EliasFano(EliasFano.arrays(values, bound))
+        assert (held.read(len(values)) == values).all() and (held[np.arange(0, len(values), 7)] == values[::7]).all()

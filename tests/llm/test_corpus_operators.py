@@ -460,7 +460,7 @@ def test_pipeline_query(spark):
 def test_query_matches_oracle(spark, name):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
     got = queries.queries()[name](spark, "/root/testdata/sf0.001")
     want = con.sql(queries.oracle_sql()[name])

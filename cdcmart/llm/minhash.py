@@ -10,23 +10,24 @@
    every other node. The pairs are confirmed on the full shingle sets.
 4. A node left outside the largest component of one of its buckets meets the
    nodes of that bucket's other components too, so no bucketed pair between
-   two components goes unchecked. Such a pair comes out of the join only if
+   two components goes unchecked. Such a pair goes on to the full sets only if
    the odd sketches of both sets differ in no more bits than linked sets may
-   differ in shingles.
+   differ in shingles. Buckets are cut into blocks of bounded size whose pairs
+   are compared in numpy; of a large bucket, a node goes first that has too
+   many shingles that no other node of a large bucket has, as for a template
+   around texts of their own.
 """
 
 from __future__ import annotations
 
-import functools
-import operator
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, mix, row_chunks, running_hash, scratch_table, slices, span_hash, text_rows, utf8
+from .common import CHUNK_BYTES, mix, ragged, row_chunks, running_hash, scratch_table, slices, span_hash, text_rows, utf8
 from .components import connected_components
 
 WORDS = 5
@@ -34,6 +35,10 @@ BANDS, ROWS = 25, 4
 #: sets up to this size get exact keys besides the bands (see ``band_keys``)
 SMALL = 13
 SKETCH_LONGS = 32
+#: nodes of a bucket that meet in one group of a task (so many on either side), and pairs that are compared at once
+BLOCK, PAIRS = 4096, 1 << 15
+#: buckets with more nodes are rid of those that link with none before they are paired
+WIDE = 256
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
 _STEP = [np.uint64(pow(0xD1342543DE82EF95, i, 1 << 64)) for i in range(WORDS)]
@@ -204,18 +209,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
               .select("key", "node", "n", F.coalesce("component", "node").alias("part")))
     parts = placed.groupBy("key", "part").agg(F.count("*").alias("size"))
     several = scratch_table(
-        parts.groupBy("key").agg(F.max(F.struct("size", "part")).alias("m"), F.count("*").alias("parts"))
-        .where("parts > 1").select("key", F.col("m.part").alias("largest")), "several")
+        parts.groupBy("key").agg(F.max(F.struct("size", "part")).alias("m"), F.count("*").alias("parts"), F.sum("size").alias("size"))
+        .where("parts > 1").select("key", F.col("m.part").alias("largest"), "size"), "several")
     apart = scratch_table(placed.join(several, "key").join(nodes.select("node", "sketch"), "node"), "apart")
-    left = apart.where("part != largest").select("key", "node", "n", "part", "sketch")
-    right = apart.select("key", F.col("node").alias("other"), F.col("n").alias("other_n"),
-                         F.col("part").alias("other_part"), F.col("sketch").alias("other_sketch"))
-    differing = functools.reduce(operator.add, (F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("other_sketch")[i]))
-                                                for i in range(SKETCH_LONGS)))
-    # a link allows at most so many differing shingles, so the bound drops no link
-    possible = differing * (100 + percent) <= (F.col("n") + F.col("other_n")) * (100 - percent)
-    pairs = (left.join(right, (left["key"] == right["key"]) & (F.col("part") != F.col("other_part")) & F.expr(close) & possible)
-             .select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other")).distinct())
+    pairs = (_blocks(apart, sets, percent).repartition("key", "cell").sortWithinPartitions("key", "cell")
+             .mapInArrow(_near_pairs(percent), "node long, other long").distinct())
     more = _confirmed(pairs, sets, percent)
     joined = connected_components(links.unionByName(more), "node", "other")
 
@@ -231,6 +229,73 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
+def _blocks(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``apart`` by bucket and cell: a bucket of several blocks has a
+    cell for each pair of them, in which the ``asks`` of the one meet the
+    ``told`` of the other. ``lone`` is how many shingles of a node of a wide
+    bucket no other such node has; a node that has too many links with none
+    there and is left out."""
+    wide = F.col("size") > WIDE
+    alone = (sets.join(apart.where(wide).select("node").distinct(), "node", "left_semi")
+             .select("node", F.explode("shingles").alias("shingle"))
+             .groupBy("shingle").agg(F.count("*").alias("times"), F.min("node").alias("node")).where("times = 1")
+             .groupBy("node").agg(F.count("*").alias("alone")))
+    rows = (apart.join(alone, "node", "left").withColumn("lone", F.when(wide, F.coalesce("alone", F.lit(0))).otherwise(F.lit(0)))
+            .where(100 * (F.col("n") - F.col("lone")) >= percent * F.col("n"))
+            .withColumn("asks", F.col("part") != F.col("largest"))
+            .withColumn("blocks", F.ceil(F.col("size") / BLOCK)).withColumn("own", F.expr("pmod(xxhash64(node), blocks)")))
+    cells = F.expr("""array_distinct(concat(transform(sequence(0L, blocks - 1), i -> i * blocks + own),
+                      if(asks, transform(sequence(0L, blocks - 1), i -> own * blocks + i), array())))""")
+    return (rows.withColumn("cell", F.explode(cells))
+            .select("key", "cell", "node", "n", "lone", "part", "sketch",
+                    F.expr("asks AND cell div blocks = own").alias("asks"), F.expr("cell % blocks = own").alias("told")))
+
+
+def _near_pairs(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From rows of ``_blocks`` that lie together by key and cell: the pairs
+    (node, other) of different parts whose sizes, lone shingles and sketches
+    leave a link possible."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            key, cell = (rows.column(c).to_numpy() for c in ("key", "cell"))
+            begin = np.flatnonzero((key[1:] != key[:-1]) | (cell[1:] != cell[:-1])) + 1
+            last = int(begin[-1]) if len(begin) else 0  # the last group may go on in the next batch
+            yield from _compared(rows.slice(0, last), begin, percent)
+            held = rows.slice(last)
+        if held is not None:
+            yield from _compared(held, np.zeros(0, np.int64), percent)
+    return run
+
+
+def _compared(rows: pa.Table, begin: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+    """``_near_pairs`` of whole groups, which begin at row 0 and at ``begin``."""
+    if not len(rows):
+        return
+    node, n, lone, part, asks, told = (rows.column(c).to_numpy() for c in ("node", "n", "lone", "part", "asks", "told"))
+    sketch = rows.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH_LONGS)
+    group = np.searchsorted(begin, np.arange(len(rows)), "right")
+    left, right = np.flatnonzero(asks), np.flatnonzero(told)
+    first, end = (np.searchsorted(group[right], group[left], side) for side in ("left", "right"))
+    upto = np.append(0, np.cumsum(end - first))
+    lo = 0
+    while lo < len(left):
+        hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] + PAIRS, "right")) - 1)
+        a, b = np.repeat(left[lo:hi], end[lo:hi] - first[lo:hi]), right[ragged(first[lo:hi], end[lo:hi] - first[lo:hi])]
+        common = np.minimum(n[a] - lone[a], n[b] - lone[b])  # at most
+        near = np.flatnonzero((part[a] != part[b]) & (100 * common >= percent * (n[a] + n[b] - common)))
+        a, b = a[near], b[near]
+        differing = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64)
+        # a link allows at most so many differing shingles, so the bound drops no link
+        near = np.flatnonzero(differing * (100 + percent) <= (n[a] + n[b]) * (100 - percent))
+        a, b = node[a[near]], node[b[near]]
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["node", "other"])
+        lo = hi
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (node, other) whose full shingle sets are similar enough."""
     a = sets.select(F.col("node").alias("a_node"), F.col("shingles").alias("a_set"))

@@ -7,7 +7,7 @@ import pytest
 
 from cdcmart.llm import queries, sampling
 
-TEXTS = ["", "the cat sat on the mat", "Unbelievable, 漢字 and 🎉\0!", "a  b ", " lead", "zq" * 60, "it was the best of times, " * 300]
+TEXTS = ["", "the cat sat on the mat", "Unbelievable, 漢字 and 🎉\0!", "a  b ", " lead", "zq" * 60, "it was the best of times, " * 3000]
 
 
 @pytest.fixture(scope="module")
